@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workload has no stream: every input is a bounded file and every operator
+runs as a batch job. Nothing is registered here; the prequential split
+(``cardsight.operators.split``) is the batch form of the stream-style
+validation the workload uses.
+"""
