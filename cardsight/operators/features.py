@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardsight import schema as S
 from cardsight.functions.time import epoch_seconds_of, is_night, is_weekend
-from cardsight.operators.windows import SEC, FrameAgg, trailing_aggregates
+from cardsight.operators.windows import SEC, FrameAgg, per_second_features, trailing_aggregates
 
 
 def add_calendar_flags(df: DataFrame, weekend: str = "reference", time_col: str = S.TX_DATETIME) -> DataFrame:
@@ -52,14 +52,21 @@ def build_features(
     risk is a window expression, never a self-join.
     """
     base = add_calendar_flags(tx.withColumn(SEC, epoch_seconds_of(tx, S.TX_DATETIME)), weekend)
-    out = trailing_aggregates(base, S.CUSTOMER_ID, customer_specs(days), strategy=strategy, seconds_col=SEC)
-    out = trailing_aggregates(
-        out,
-        S.TERMINAL_ID,
-        terminal_count_specs(days) + terminal_risk_specs(days, delay),
-        strategy=strategy,
-        seconds_col=SEC,
-    )
+    cust = customer_specs(days)
+    term = terminal_count_specs(days) + terminal_risk_specs(days, delay)
+    if strategy == "sliding":
+        out = trailing_aggregates(base, S.CUSTOMER_ID, cust, strategy="sliding", seconds_col=SEC)
+        out = trailing_aggregates(out, S.TERMINAL_ID, term, strategy="sliding", seconds_col=SEC)
+    elif strategy == "block":
+        # Both per-second tables aggregate straight from the (pruned) scan; the
+        # wide rows are shuffled once per entity for the two joins.
+        cust_f = per_second_features(base, S.CUSTOMER_ID, cust, SEC)
+        term_f = per_second_features(base, S.TERMINAL_ID, term, SEC)
+        out = base.join(cust_f, on=[S.CUSTOMER_ID, SEC], how="left").join(
+            term_f, on=[S.TERMINAL_ID, SEC], how="left"
+        )
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
     return out.select(*tx.columns, *feature_names(days))
 
 

@@ -23,7 +23,8 @@ Two physical strategies, same answers:
        ``RANGE BETWEEN UNBOUNDED PRECEDING AND x PRECEDING`` frames, which Spark
        evaluates in one linear pass; sums are exact because values are
        integral (``to_fixed``: whole cents for money).
-    4. Per-second results are joined back to the rows on (entity, second).
+    4. Per-second results are joined back to the rows on (entity, second);
+       hashing on the second spreads a hot entity's rows over all tasks.
 
 ``"sliding"``
     The direct form: ``func(field).over(partitionBy(entity).orderBy(sec)
@@ -104,7 +105,9 @@ def trailing_aggregates(
     if strategy == "sliding":
         out = _sliding(df, entity, specs, sec, scale)
     elif strategy == "block":
-        out = _block(df, entity, specs, sec, scale, block_factor)
+        # A left join keeps every input row (rows with a NULL entity get NULLs).
+        features = per_second_features(df, entity, specs, sec, scale, block_factor)
+        out = df.join(features, on=[entity, sec], how="left")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.drop(sec) if added else out
@@ -136,14 +139,19 @@ def _sliding(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, sc
 # --------------------------------------------------------------------------- block
 
 
-def _block(
+def per_second_features(
     df: DataFrame,
     entity: str,
     specs: Sequence[FrameAgg],
     sec: str,
-    scale: int,
-    block_factor: int,
+    scale: int = 2,
+    block_factor: int = 2,
 ) -> DataFrame:
+    """One row per (entity, second) of ``df`` carrying every spec's frame value.
+
+    Only ``entity``, ``sec`` and the spec fields are read from ``df``, so the
+    scan under it is column-pruned.
+    """
     fields: dict[str, bool] = {}
     for spec in specs:
         fields[spec.field] = fields.get(spec.field, False) or spec.needs_sum
@@ -194,10 +202,7 @@ def _block(
                 expr = ratio_or_zero(total, cnt)
         out_cols.append(expr.alias(spec.name))
 
-    features = blocked.select(entity, sec, "_copy", *out_cols).where(F.col("_copy") == 0).drop("_copy")
-
-    # 4. back to the rows; a left join keeps every input row.
-    return df.join(features, on=[entity, sec], how="left")
+    return blocked.select(entity, sec, "_copy", *out_cols).where(F.col("_copy") == 0).drop("_copy")
 
 
 # --------------------------------------------------------------------------- W1 generic

@@ -1,5 +1 @@
-"""Query registry and the oracle SQL that checks it."""
-
-from cardsight.plans.catalog import oracle_sql, queries
-
-__all__ = ["oracle_sql", "queries"]
+"""Query registry (``catalog``) and the oracle SQL that checks it (``oracle_sql``)."""
