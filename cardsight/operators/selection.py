@@ -2,43 +2,43 @@
 
 ``kth_smallest`` finds, for each target ``(group, k)``, the k-th smallest
 ``(value, tiebreak)`` pair among the rows of that group. Each round is one
-distributed ``groupBy(target, bucket).count()`` over the rows still in play;
-only ``targets x num_buckets`` counts reach the driver. When a target's
-candidate range holds at most ``final_max`` rows those pairs are collected
-(a bounded amount) and the answer is read off exactly. Callers then express
-"the first k rows in this order" as a plain filter, so no window ever spans
-a whole class.
+distributed ``groupBy(target, bucket).agg(count, min, max)`` over the rows
+still in play; only ``targets x num_buckets`` summary rows reach the driver.
+A target's candidate set is the chain of bucket predicates chosen so far, so
+integral and floating values are handled alike. When a candidate set holds at
+most ``final_max`` rows those pairs are collected (a bounded amount) and the
+answer is read off exactly; a set of equal values larger than that is
+resolved by selecting on the tiebreak. Callers then express "the first k rows
+in this order" as a plain filter, so no window ever spans a whole class.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NUM_BUCKETS = 4096
 FINAL_MAX = 200_000
 
 
-@dataclass
+@dataclass(eq=False)
 class _Target:
     group: object
     k: int  # 1-based rank within the group
-    lo: int
-    hi: int
-    below: int  # rows of the group with value < lo
-    in_range: int  # rows of the group with lo <= value <= hi
+    cond: Column  # rows of the group still in play
+    lo: object  # min value in play
+    hi: object  # max value in play
+    below: int  # rows of the group ordered before every row in play
+    in_range: int  # rows in play
 
 
-def _group_match(group_col: str, group: object):
+def _group_match(group_col: str, group: object) -> Column:
     return F.col(group_col).isNull() if group is None else (F.col(group_col) == F.lit(group))
 
 
-def _in_range(group_col: str, value_col: str, t: _Target):
-    return _group_match(group_col, t.group) & F.col(value_col).between(t.lo, t.hi)
-
-
 def kth_smallest(
     df: DataFrame,
     group_col: str,
@@ -47,15 +47,17 @@ def kth_smallest(
     targets: list[tuple[object, int]],
     num_buckets: int = NUM_BUCKETS,
     final_max: int = FINAL_MAX,
-) -> dict[tuple[object, int], tuple[int, object]]:
+) -> dict[tuple[object, int], tuple[object, object]]:
     """``{(group, k): (value, tiebreak)}`` of the k-th smallest pair per group.
 
-    ``value_col`` must be integral. Targets with ``k`` outside ``[1, count]``
-    are omitted from the result.
+    NULL values are ignored. Targets with ``k`` outside ``[1, count]`` are
+    omitted from the result.
     """
     if not targets:
         return {}
-    data = df.select(group_col, value_col, tiebreak_col)
+    cols = [group_col, value_col] + ([tiebreak_col] if tiebreak_col != value_col else [])
+    data = df.select(*cols).where(F.col(value_col).isNotNull())
+    integral = isinstance(data.schema[value_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     stats = {
         r["g"]: r
         for r in data.groupBy(F.col(group_col).alias("g"))
@@ -67,62 +69,72 @@ def kth_smallest(
         s = stats.get(group)
         if s is None or not 1 <= k <= s["n"]:
             continue
-        open_.append(_Target(group, k, int(s["lo"]), int(s["hi"]), 0, int(s["n"])))
+        open_.append(_Target(group, k, _group_match(group_col, group), s["lo"], s["hi"], 0, int(s["n"])))
 
-    result: dict[tuple[object, int], tuple[int, object]] = {}
+    result: dict[tuple[object, int], tuple[object, object]] = {}
     while open_:
         for t in [t for t in open_ if t.lo == t.hi and t.in_range > final_max]:
             # Many rows share one value: select among them by the tiebreak.
-            ties = data.where(_in_range(group_col, value_col, t))
+            ties = data.where(t.cond)
             tb = kth_smallest(ties, group_col, tiebreak_col, tiebreak_col, [(t.group, t.k - t.below)],
                               num_buckets, final_max)
             result[(t.group, t.k)] = (t.lo, tb[(t.group, t.k - t.below)][1])
             open_.remove(t)
         final = [t for t in open_ if t.in_range <= final_max]
         if final:
-            _finish(data, group_col, value_col, tiebreak_col, final, result)
+            _finish(data, value_col, tiebreak_col, final, result)
         open_ = [t for t in open_ if t not in final]
         if open_:
-            _refine(data, group_col, value_col, open_, num_buckets)
+            _refine(data, value_col, open_, num_buckets, integral)
     return result
 
 
-def _finish(data, group_col, value_col, tiebreak_col, final, result) -> None:
-    cond = None
-    for t in final:
-        c = _in_range(group_col, value_col, t)
-        cond = c if cond is None else (cond | c)
-    rows = data.where(cond).collect()  # at most len(final) * final_max rows
-    for t in final:
-        pairs = sorted(
-            (r[value_col], r[tiebreak_col])
-            for r in rows
-            if r[group_col] == t.group and t.lo <= r[value_col] <= t.hi
-        )
+def _finish(data, value_col, tiebreak_col, final, result) -> None:
+    flags = F.array(*[F.when(t.cond, F.lit(i)) for i, t in enumerate(final)])
+    rows = data.select(
+        value_col, tiebreak_col, F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("_t")
+    ).collect()  # at most len(final) * final_max rows
+    per: dict[int, list] = {}
+    for r in rows:
+        per.setdefault(r["_t"], []).append((r[value_col], r[tiebreak_col]))
+    for i, t in enumerate(final):
+        pairs = sorted(per.get(i, []))
         result[(t.group, t.k)] = pairs[t.k - t.below - 1]
 
 
-def _refine(data, group_col, value_col, open_: list[_Target], num_buckets: int) -> None:
-    widths = [max(1, -(-(t.hi - t.lo + 1) // num_buckets)) for t in open_]
-    flags = F.array(*[F.when(_in_range(group_col, value_col, t), F.lit(i)) for i, t in enumerate(open_)])
-    hits = F.filter(flags, lambda x: x.isNotNull())
-    # Exact integer bucket arithmetic (values may exceed 2^53).
-    lo_of = "array(" + ", ".join(f"{t.lo}L" for t in open_) + ")"
-    width_of = "array(" + ", ".join(f"{w}L" for w in widths) + ")"
-    bucket = F.expr(f"(v - element_at({lo_of}, t + 1)) div element_at({width_of}, t + 1)")
-    exploded = data.select(F.col(value_col).cast("long").alias("v"), F.explode(hits).alias("t"))
-    counts = exploded.groupBy("t", bucket.alias("b")).count().collect()
-    per: dict[int, list[tuple[int, int]]] = {}
-    for r in counts:
-        per.setdefault(r["t"], []).append((r["b"], r["count"]))
+def _bucket(t: _Target, num_buckets: int, integral: bool, value_col: str) -> Column:
+    """Monotone bucket index of the value within the target's [lo, hi]."""
+    if integral:
+        width = max(1, -(-(int(t.hi) - int(t.lo) + 1) // num_buckets))
+        # Exact integer arithmetic (values may exceed 2^53).
+        return F.expr(f"(`{value_col}` - {int(t.lo)}L) div {width}L")
+    width = (float(t.hi) - float(t.lo)) / num_buckets
+    return F.least(F.floor((F.col(value_col) - F.lit(float(t.lo))) / F.lit(width)), F.lit(num_buckets - 1))
+
+
+def _refine(data, value_col, open_: list[_Target], num_buckets: int, integral: bool) -> None:
+    flags = F.array(*[F.when(t.cond, F.lit(i)) for i, t in enumerate(open_)])
+    exploded = data.select("*", F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("_t"))
+    bucket = None
+    for i, t in enumerate(open_):
+        expr = _bucket(t, num_buckets, integral, value_col)
+        bucket = F.when(F.col("_t") == i, expr) if bucket is None else bucket.when(F.col("_t") == i, expr)
+    summary = (
+        exploded.groupBy("_t", bucket.cast("long").alias("_b"))
+        .agg(F.count("*").alias("n"), F.min(value_col).alias("lo"), F.max(value_col).alias("hi"))
+        .collect()
+    )
+    per: dict[int, list] = {}
+    for r in summary:
+        per.setdefault(r["_t"], []).append((r["_b"], r["n"], r["lo"], r["hi"]))
     for i, t in enumerate(open_):
         need = t.k - t.below
         seen = 0
-        for b, n in sorted(per.get(i, [])):
+        for b, n, lo, hi in sorted(per.get(i, []), key=lambda x: x[0]):
             if seen + n >= need:
-                width = widths[i]
+                expr = _bucket(t, num_buckets, integral, value_col)
+                t.cond = t.cond & (expr.cast("long") == F.lit(b))
                 t.below += seen
-                t.lo, t.hi = t.lo + b * width, min(t.hi, t.lo + (b + 1) * width - 1)
-                t.in_range = n
+                t.lo, t.hi, t.in_range = lo, hi, n
                 break
             seen += n

@@ -94,20 +94,22 @@ def _alloc_sql(i: int, n: int = 5) -> str:
     return f"CAST(floor((st + n - 1 - {i}) / {n}.0) - floor((st - 1 - {i}) / {n}.0) AS BIGINT)"
 
 
-def _folds_sql(n: int = 5) -> str:
+def folds_ctes(n: int = 5) -> str:
+    """CTEs ending in ``folded(TRANSACTION_ID, TX_FRAUD, fold)`` over ``tx``."""
     alloc = ", ".join(f"{_alloc_sql(i, n)} AS a{i}" for i in range(n))
     cum = [" + ".join(f"a{j}" for j in range(i)) for i in range(1, n)]
     fold = " + ".join(f"CAST(pos >= {c} AS INTEGER)" for c in cum)
-    return f"""WITH {Q.TX_CTE}, c AS (SELECT TX_FRAUD, count(*) AS n FROM tx GROUP BY TX_FRAUD),
-        s AS (SELECT TX_FRAUD, n, coalesce(sum(n) OVER (ORDER BY TX_FRAUD ROWS BETWEEN UNBOUNDED PRECEDING
-                                                    AND 1 PRECEDING), 0) AS st FROM c),
-        a AS (SELECT TX_FRAUD, {alloc} FROM s),
-        r AS (SELECT TRANSACTION_ID, TX_FRAUD,
-                     row_number() OVER (PARTITION BY TX_FRAUD ORDER BY TRANSACTION_ID) - 1 AS pos FROM tx)
-        SELECT TRANSACTION_ID, TX_FRAUD, CAST({fold} AS INTEGER) AS fold FROM r JOIN a USING (TX_FRAUD)"""
+    return f"""fc AS (SELECT TX_FRAUD, count(*) AS n FROM tx GROUP BY TX_FRAUD),
+        fs AS (SELECT TX_FRAUD, n, coalesce(sum(n) OVER (ORDER BY TX_FRAUD ROWS BETWEEN UNBOUNDED PRECEDING
+                                                     AND 1 PRECEDING), 0) AS st FROM fc),
+        fa AS (SELECT TX_FRAUD, {alloc} FROM fs),
+        fr AS (SELECT TRANSACTION_ID, TX_FRAUD,
+                      row_number() OVER (PARTITION BY TX_FRAUD ORDER BY TRANSACTION_ID) - 1 AS pos FROM tx),
+        folded AS (SELECT TRANSACTION_ID, TX_FRAUD, CAST({fold} AS INTEGER) AS fold
+                   FROM fr JOIN fa USING (TX_FRAUD))"""
 
 
-@register("b7_folds", _folds_sql(5))
+@register("b7_folds", f"WITH {Q.TX_CTE}, {folds_ctes(5)} SELECT * FROM folded")
 def q_folds(spark: SparkSession, sf: str) -> DataFrame:
     """5 contiguous, unshuffled stratified folds in id order."""
     tx = load_transactions(spark, sf).select(ID, LBL)
