@@ -118,15 +118,19 @@ def fit_balanced(
 ) -> BalancedModel:
     """scale -> SMOTE(oversample) -> undersample(ratio) -> estimator, resampling in fit only."""
     features = list(features)
+    # Cut the lineage once: every statistic, sample and neighbour pass below
+    # reads these materialised rows instead of re-running the feature plan.
+    train = train.select(id_col, *features, label).checkpoint(eager=True)
     stats = smp.fit_scaler(train, features)
-    rows = smp.apply_scaler(train, stats).select(id_col, *features, label)
+    rows = smp.apply_scaler(train, stats)
     if oversample:
         from cardsight.operators.neighbors import smote
 
         rows = smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed)
     if undersample:
         rows = smp.undersample(rows, label, id_col, ratio=undersample, seed=seed)
-    assembled = assemble(rows, features, label)
+    # The estimator iterates over its input: give it materialised rows.
+    assembled = assemble(rows, features, label).checkpoint(eager=True)
     if kind == "knn":
         from cardsight.operators.neighbors import KnnModel
 
@@ -163,17 +167,27 @@ def compete(
     label: str = S.LABEL_COLUMN,
     id_col: str = S.TRANSACTION_ID,
     seed: int = SEED,
+    study: str | None = None,
+    root: str | None = None,
     **balance,
 ) -> DataFrame:
     """Cross-validated fold scores: one row per (model, fold) with fit/score
     time and accuracy, F1, recall, precision and ROC AUC on the held-out fold.
-    Resampling happens inside each training fold only."""
+    Resampling happens inside each training fold only. With ``study`` every
+    finished (model, fold) is appended to the ``competition`` table and skipped
+    on a rerun, so an interrupted competition resumes."""
     spark = train.sparkSession
     models = models or COMPETITORS
-    folded = smp.stratified_folds(train, n_splits, label, id_col).checkpoint(eager=True)
-    rows = []
+    study = study or "competition-" + trk.dataset_profile(train, "training", "folds")["digest"]
+    table = trk.read_table(spark, "competition", root).where(F.col("study") == study)
+    done = {(r["model_name"], r["fold"]) for r in table.select("model_name", "fold").collect()}
+    folded = None
     for name, (kind, params) in models.items():
         for fold in range(n_splits):
+            if (name, fold) in done:
+                continue
+            if folded is None:
+                folded = smp.stratified_folds(train, n_splits, label, id_col).checkpoint(eager=True)
             t0 = time.time()
             fitted = fit_balanced(folded.where(F.col("fold") != fold).drop("fold"), kind, params,
                                   label=label, id_col=id_col, seed=seed, **balance)
@@ -183,13 +197,15 @@ def compete(
             auc = ev.roc_auc(scored, by=()).first()["roc_auc"]
             t2 = time.time()
             scored.unpersist()
-            rows.append((name, fold, t1 - t0, t2 - t1, m["accuracy"], m["f1"], m["recall"], m["precision"],
-                         float(auc) if auc is not None else None))
-    schema = (
-        "model_name string, fold int, fit_time double, score_time double, test_acc double, "
-        "test_f1 double, test_recall double, test_precision double, test_auc double"
+            row = (study, name, fold, t1 - t0, t2 - t1, m["accuracy"], m["f1"], m["recall"], m["precision"],
+                   float(auc) if auc is not None else None)
+            trk.append(spark, "competition", [row], root)
+    names = list(models)
+    return (
+        trk.read_table(spark, "competition", root)
+        .where((F.col("study") == study) & F.col("model_name").isin(names) & (F.col("fold") < n_splits))
+        .drop("study")
     )
-    return spark.createDataFrame(rows, schema)
 
 
 # --------------------------------------------------------------------------- M11: seeded random search
@@ -296,7 +312,7 @@ def training_curve(fitted: BalancedModel) -> list[float]:
     logistic regression from its objective history."""
     model = fitted.model
     if hasattr(model, "evaluateEachIteration") and fitted.training_rows is not None:
-        return list(model.evaluateEachIteration(fitted.training_rows, "logistic"))
+        return list(model.evaluateEachIteration(fitted.training_rows))
     summary = getattr(model, "summary", None) if getattr(model, "hasSummary", False) else None
     if summary is not None and hasattr(summary, "objectiveHistory"):
         return list(summary.objectiveHistory)

@@ -1 +1,220 @@
-"""Registered queries (see cardsight.plans.catalog)."""
+"""Registered neighbour, model and tracking queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cardsight import schema as S
+from cardsight.operators import evaluate as ev
+from cardsight.operators import features as feat
+from cardsight.operators import models as md
+from cardsight.operators import neighbors as nb
+from cardsight.operators import split as sp
+from cardsight.operators import tracking as trk
+from cardsight.plans import oracle_sql as Q
+from cardsight.plans.catalog import register
+from cardsight.sources.transactions import load_transactions
+
+START = "2024-01-01"
+# Integer-valued columns for the neighbour checks: squared distances are exact.
+KNN_FEATURES = ["AMOUNT_CENTS", S.TX_TIME_DAYS, S.TERMINAL_ID]
+SMOTE_SEED = 42
+SMOTE_RATIO = 0.3
+K = 5
+
+# A reduced search space for the registered query (the reference ranges are
+# ``models.REFERENCE_SPACE``; 100-1000 boosting rounds per trial is a long run).
+QUICK_SPACE = {
+    "iterations": ("int", 10, 40),
+    "learning_rate": ("log", 0.01, 0.3),
+    "depth": ("int", 3, 6),
+}
+QUICK_TRIALS = 3
+
+
+def _knn_rows(spark: SparkSession, sf: str) -> DataFrame:
+    tx = load_transactions(spark, sf)
+    return tx.select(
+        S.TRANSACTION_ID,
+        F.round(F.col(S.TX_AMOUNT) * 100).cast("long").cast("double").alias("AMOUNT_CENTS"),
+        F.col(S.TX_TIME_DAYS).cast("double").alias(S.TX_TIME_DAYS),
+        F.col(S.TERMINAL_ID).cast("double").alias(S.TERMINAL_ID),
+        S.TX_FRAUD,
+    )
+
+
+KNN_BASE = f"""m AS (SELECT TRANSACTION_ID AS id, CAST(round(TX_AMOUNT * 100) AS BIGINT) AS a,
+                      CAST(TX_TIME_DAYS AS BIGINT) AS b, TERMINAL_ID AS c FROM tx WHERE TX_FRAUD = 1),
+  p AS (SELECT q.id AS q_id, r.id AS r_id,
+               sqrt(CAST((q.a - r.a) * (q.a - r.a) + (q.b - r.b) * (q.b - r.b) + (q.c - r.c) * (q.c - r.c) AS DOUBLE))
+               AS distance
+        FROM m q JOIN m r ON q.id <> r.id),
+  nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, r_id) AS rank FROM p)
+         WHERE rank <= {K})"""
+
+
+@register(
+    "j5_knn",
+    f"WITH {Q.TX_CTE}, {KNN_BASE} SELECT q_id, CAST(rank AS INTEGER) AS rank, r_id, distance FROM nn",
+)
+def q_knn(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 nearest other fraudulent rows of every fraudulent row (exact)."""
+    frauds = _knn_rows(spark, sf).where(F.col(S.TX_FRAUD) == 1)
+    return nb.knn_join(frauds, frauds, KNN_FEATURES, K, S.TRANSACTION_ID, exclude_self=True)
+
+
+def _smote_sql() -> str:
+    def md5_int(seed: int, expr: str) -> str:
+        return f"CAST(('0x' || substr(md5('{seed}:' || {expr}), 1, 8)) AS BIGINT)"
+
+    src = "CAST(src AS VARCHAR) || ':' || CAST(copy AS VARCHAR)"
+    return f"""WITH {Q.TX_CTE}, {KNN_BASE},
+  cnt AS (SELECT sum(CASE WHEN TX_FRAUD = 1 THEN 1 ELSE 0 END) AS n_min,
+                 sum(CASE WHEN TX_FRAUD = 0 THEN 1 ELSE 0 END) AS n_maj FROM tx),
+  par AS (SELECT n_min, CAST(floor(CAST({SMOTE_RATIO} AS DOUBLE) * n_maj - n_min) AS BIGINT) AS n_new FROM cnt),
+  ord AS (SELECT id, row_number() OVER (ORDER BY substr(md5('{SMOTE_SEED}:' || CAST(id AS VARCHAR)), 1, 15), id) AS o
+          FROM m),
+  cp AS (SELECT ord.id AS src, n_new // n_min + CASE WHEN o <= n_new % n_min THEN 1 ELSE 0 END AS copies
+         FROM ord, par),
+  ex AS (SELECT src, unnest(range(CAST(1 AS BIGINT), CAST(copies + 1 AS BIGINT))) AS copy FROM cp WHERE copies > 0),
+  pick AS (SELECT src, copy, ({md5_int(SMOTE_SEED, src)} % {K}) + 1 AS nrank,
+                  CAST({md5_int(SMOTE_SEED + 1, src)} AS DOUBLE) / 4294967296.0 AS u FROM ex)
+  SELECT s.a + pick.u * (nb.a - s.a) AS AMOUNT_CENTS, s.b + pick.u * (nb.b - s.b) AS TX_TIME_DAYS,
+         s.c + pick.u * (nb.c - s.c) AS TERMINAL_ID
+  FROM pick JOIN nn ON nn.q_id = pick.src AND nn.rank = pick.nrank
+            JOIN m s ON s.id = pick.src JOIN m nb ON nb.id = nn.r_id"""
+
+
+@register("b2_smote", _smote_sql())
+def q_smote(spark: SparkSession, sf: str) -> DataFrame:
+    """Synthetic fraud rows: fraud/legit ratio raised to 0.3, k = 5, seed 42."""
+    rows = _knn_rows(spark, sf)
+    out = nb.smote(rows, KNN_FEATURES, S.TX_FRAUD, S.TRANSACTION_ID, SMOTE_RATIO, K, SMOTE_SEED)
+    return out.where(F.col(S.TRANSACTION_ID).isNull()).select(*KNN_FEATURES)
+
+
+# --------------------------------------------------------------------------- models
+
+
+def _splits(spark: SparkSession, sf: str):
+    features = feat.build_features(load_transactions(spark, sf))
+    return sp.three_way_split(features, START, 21, 7, 7, 7)
+
+
+def _model_query(kind: str, params: dict | None = None):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        train, validate, _ = _splits(spark, sf)
+        fitted = md.fit_balanced(train, kind, params)
+        return md.score(fitted, validate)
+
+    run.__doc__ = f"Balanced {kind} fitted on the training split, scored on validation: id, label, score, prediction."
+    return run
+
+
+for _name, _kind, _params in [
+    ("m1_gbt", "gbt", None),
+    ("m2_logistic", "logistic", None),
+    ("m3_random_forest", "random_forest", None),
+    ("m4_decision_tree", "decision_tree", None),
+    ("m5_naive_bayes", "naive_bayes", None),
+    ("m6_knn_vote", "knn", {"k": 5}),
+    ("m7_mlp", "mlp", {"hidden": (500, 500), "max_iter": 40}),
+]:
+    register(_name)(_model_query(_kind, _params))
+
+
+@register("b8_balanced_training_rows")
+def q_balanced_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows a balanced fit trains on: scaled, SMOTE to 0.3, undersampled to 1:1."""
+    train, _, _ = _splits(spark, sf)
+    fitted = md.fit_balanced(train, "naive_bayes")
+    return fitted.training_rows.select(*S.FEATURE_COLUMNS, "label")
+
+
+@register("m10_competition")
+def q_competition(spark: SparkSession, sf: str) -> DataFrame:
+    """5-fold cross-validated scores of every competitor on the training split."""
+    train, _, _ = _splits(spark, sf)
+    return md.compete(train)
+
+
+@register("e8_competition_ranking")
+def q_competition_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """Competitors ranked by mean fold F1, with mean and population std per metric."""
+    train, _, _ = _splits(spark, sf)
+    scores = md.compete(train)
+    metrics = ["test_acc", "test_f1", "test_recall", "test_precision", "test_auc", "fit_time", "score_time"]
+    return ev.rank_models(ev.fold_metric_summary(scores, metrics), "mean_test_f1")
+
+
+def _study(train: DataFrame) -> str:
+    return "card_fraud-" + trk.dataset_profile(train, "training", "events")["digest"]
+
+
+@register("m11_search")
+def q_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Seeded random search maximising validation recall; resumes from the trials table."""
+    train, validate, _ = _splits(spark, sf)
+    return md.random_search(train, validate, _study(train), QUICK_TRIALS, QUICK_SPACE)
+
+
+@register("a7_best_trial")
+def q_best(spark: SparkSession, sf: str) -> DataFrame:
+    train, validate, _ = _splits(spark, sf)
+    return md.best_trial(md.random_search(train, validate, _study(train), QUICK_TRIALS, QUICK_SPACE))
+
+
+def _refit(spark: SparkSession, sf: str) -> str:
+    train, validate, _ = _splits(spark, sf)
+    trials = md.random_search(train, validate, _study(train), QUICK_TRIALS, QUICK_SPACE)
+    best = md.best_trial(trials).first()["best_params"]
+    return md.refit_and_register(
+        train, validate, dict(best), "card_fraud_gbt", "gbt validation", source=f"{sf}/events.parquet"
+    )
+
+
+@register("m12_refit")
+def q_refit(spark: SparkSession, sf: str) -> DataFrame:
+    """Refit with the best trial, score validation, log the run: the run row."""
+    run_id = _refit(spark, sf)
+    return trk.read_table(spark, "runs").where(F.col("run_id") == run_id)
+
+
+@register("s7_model_registry")
+def q_registry(spark: SparkSession, sf: str) -> DataFrame:
+    run_id = _refit(spark, sf)
+    return trk.read_table(spark, "models").where(F.col("run_id") == run_id)
+
+
+@register("e9_curve")
+def q_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """Training loss per boosting round of the refitted model."""
+    run_id = _refit(spark, sf)
+    return trk.read_table(spark, "curves").where(F.col("run_id") == run_id)
+
+
+@register(
+    "s8_profile",
+    f"""WITH {Q.TX_CTE} SELECT 'transactions' AS name, count(*) AS num_rows, count(*) * 7 AS num_elements,
+        'events' AS source, 'training' AS context FROM tx""",
+)
+def q_profile(spark: SparkSession, sf: str) -> DataFrame:
+    tx = load_transactions(spark, sf)
+    p = trk.dataset_profile(tx, "transactions", "events", "training")
+    trk.log_dataset(spark, p)
+    return (
+        trk.read_table(spark, "datasets")
+        .where((F.col("digest") == p["digest"]) & (F.col("name") == "transactions"))
+        .select("name", "num_rows", "num_elements", "source", "context")
+        .limit(1)
+    )
+
+
+@register("s6_run_log")
+def q_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The run table after a logged refit (its latest row)."""
+    run_id = _refit(spark, sf)
+    return trk.read_table(spark, "runs").where(F.col("run_id") == run_id).select(
+        "run_id", "name", "status", "params", "metrics", "dataset_digest"
+    )
