@@ -62,8 +62,9 @@ def build_features(
         # wide rows are shuffled once per entity for the two joins.
         cust_f = per_second_features(base, S.CUSTOMER_ID, cust, SEC)
         term_f = per_second_features(base, S.TERMINAL_ID, term, SEC)
-        out = base.join(cust_f, on=[S.CUSTOMER_ID, SEC], how="left").join(
-            term_f, on=[S.TERMINAL_ID, SEC], how="left"
+        # The per-second tables grow with the data, so they are never broadcast.
+        out = base.join(cust_f.hint("merge"), on=[S.CUSTOMER_ID, SEC], how="left").join(
+            term_f.hint("merge"), on=[S.TERMINAL_ID, SEC], how="left"
         )
     else:
         raise ValueError(f"unknown strategy {strategy!r}")

@@ -17,6 +17,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -130,7 +131,7 @@ def fit_balanced(
     if undersample:
         rows = smp.undersample(rows, label, id_col, ratio=undersample, seed=seed)
     # The estimator iterates over its input: give it materialised rows.
-    assembled = assemble(rows, features, label).checkpoint(eager=True)
+    assembled = assemble(rows, features, label).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     if kind == "knn":
         from cardsight.operators.neighbors import KnnModel
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUM_BUCKETS = 4096
-FINAL_MAX = 200_000
+FINAL_MAX = 10_000
 
 
 @dataclass(eq=False)

@@ -107,7 +107,8 @@ def trailing_aggregates(
     elif strategy == "block":
         # A left join keeps every input row (rows with a NULL entity get NULLs).
         features = per_second_features(df, entity, specs, sec, scale, block_factor)
-        out = df.join(features, on=[entity, sec], how="left")
+        # One row per (entity, second): grows with the data, never broadcast.
+        out = df.join(features.hint("merge"), on=[entity, sec], how="left")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.drop(sec) if added else out

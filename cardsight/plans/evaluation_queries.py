@@ -258,7 +258,16 @@ def q_mean_std(spark: SparkSession, sf: str) -> DataFrame:
     return ev.fold_metric_summary(scores, METRICS)
 
 
-@register("e8_winners")
+def _winners_sql() -> str:
+    base = _ranking_sql()
+    body = base[: base.rindex("SELECT *, row_number()")]
+    unpivot = " UNION ALL ".join(f"SELECT model_name, '{m}' AS metric, mean_{m} AS mean FROM g" for m in METRICS)
+    return f"""{body}, lg AS ({unpivot}),
+      rk AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY mean DESC, model_name ASC) AS r FROM lg)
+    SELECT model_name, metric, mean FROM rk WHERE r = 1"""
+
+
+@register("e8_winners", _winners_sql())
 def q_winners(spark: SparkSession, sf: str) -> DataFrame:
     """The winning scorer per mean metric."""
     scores = rule_fold_scores(load_transactions(spark, sf))
