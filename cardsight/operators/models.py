@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import math
 import random
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -170,25 +172,28 @@ def compete(
     seed: int = SEED,
     study: str | None = None,
     root: str | None = None,
+    parallelism: int = 4,
     **balance,
 ) -> DataFrame:
     """Cross-validated fold scores: one row per (model, fold) with fit/score
     time and accuracy, F1, recall, precision and ROC AUC on the held-out fold.
-    Resampling happens inside each training fold only. With ``study`` every
-    finished (model, fold) is appended to the ``competition`` table and skipped
-    on a rerun, so an interrupted competition resumes."""
+    Resampling happens inside each training fold only. Fits run concurrently
+    from ``parallelism`` driver threads (each fit is itself distributed).
+    Every finished (model, fold) is appended to the ``competition`` table and
+    skipped on a rerun, so an interrupted competition resumes."""
     spark = train.sparkSession
     models = models or COMPETITORS
     study = study or "competition-" + trk.dataset_profile(train, "training", "folds")["digest"]
     table = trk.read_table(spark, "competition", root).where(F.col("study") == study)
     done = {(r["model_name"], r["fold"]) for r in table.select("model_name", "fold").collect()}
-    folded = None
-    for name, (kind, params) in models.items():
-        for fold in range(n_splits):
-            if (name, fold) in done:
-                continue
-            if folded is None:
-                folded = smp.stratified_folds(train, n_splits, label, id_col).checkpoint(eager=True)
+    todo = [(name, kind, params, fold) for name, (kind, params) in models.items()
+            for fold in range(n_splits) if (name, fold) not in done]
+    if todo:
+        folded = smp.stratified_folds(train, n_splits, label, id_col).checkpoint(eager=True)
+        lock = threading.Lock()
+
+        def one(task):
+            name, kind, params, fold = task
             t0 = time.time()
             fitted = fit_balanced(folded.where(F.col("fold") != fold).drop("fold"), kind, params,
                                   label=label, id_col=id_col, seed=seed, **balance)
@@ -200,7 +205,11 @@ def compete(
             scored.unpersist()
             row = (study, name, fold, t1 - t0, t2 - t1, m["accuracy"], m["f1"], m["recall"], m["precision"],
                    float(auc) if auc is not None else None)
-            trk.append(spark, "competition", [row], root)
+            with lock:  # one writer at a time into the table folder
+                trk.append(spark, "competition", [row], root)
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(one, todo))
     names = list(models)
     return (
         trk.read_table(spark, "competition", root)

@@ -48,17 +48,23 @@ def get_spark(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only where the session has none."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Spark checkpoints into a per-application subfolder of it; tables that must
+    outlive one application (runs, models, trials) live in the folder itself.
+    A folder of our own is chosen only when the session names none (tests).
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        current = sc.getCheckpointDir()
+        if current:
+            return os.path.dirname(current.rstrip("/"))
         # Unit-test path only: a cluster always names a shared folder.
         configured = tempfile.mkdtemp(prefix="cardsight-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
