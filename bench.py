@@ -20,7 +20,6 @@ from cardsight.plans import catalog  # noqa: E402
 
 HEADLINE = [
     "d1_features",  # D1: 12 window features + 2 flags
-    "w1_sliding_features",  # the same by the direct sliding windows
     "d2_split_train",  # D2: prequential split, training side
     "d2_split_test",  # D2: test side with the known-fraud anti join
     "d3_three_way_split",  # D3 over the feature table

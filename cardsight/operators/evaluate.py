@@ -152,14 +152,7 @@ def _curve_points(df, label, score, by):
     the next score's pos/neg, and the group totals P and N."""
     counts = score_counts(df, label, score, by)
     scanned = ordered_scan(counts, score, ["pos", "neg"], ["pos", "neg"], descending=True, group_cols=by)
-    totals = counts.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return scanned.join(totals, on=list(by), how="inner")
-
-
-def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str], bool]:
-    if by:
-        return df, list(by), False
-    return df.withColumn("_all", F.lit(0)), ["_all"], True
+    return scanned.withColumnsRenamed({"total_pos": "P", "total_neg": "N"})
 
 
 def roc_curve(
@@ -176,7 +169,7 @@ def roc_curve(
     adds the same (negatives, positives) as it did, i.e. it lies on the line
     through its neighbours; the first and last points are always kept.
     """
-    df, by, added = _grouped(df, by)
+    by = list(by)
     pts = _curve_points(df, label, score, by)
     first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
     last = F.col("next_pos").isNull()
@@ -194,25 +187,23 @@ def roc_curve(
         .distinct()
         .select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr_pct"), F.lit(0.0).alias("tpr_pct"))
     )
-    out = curve.unionByName(origin)
-    return out.drop("_all") if added else out
+    return curve.unionByName(origin)
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ("dataset",)) -> DataFrame:
     """Area under the ROC curve, ties counted half:
     ``sum(pos_s * (2 * neg_below_s + neg_s)) / (2 * P * N)``, with the sum in
     exact integer arithmetic."""
-    df, by, added = _grouped(df, by)
+    by = list(by)
     pts = _curve_points(df, label, score, by)
     term = F.col("pos").cast("decimal(38,0)") * (
         (F.lit(2) * (F.col("N") - F.col("cum_neg")) + F.col("neg")).cast("decimal(38,0)")
     )
     agg = pts.groupBy(*by).agg(F.sum(term).alias("num"), F.first("P").alias("P"), F.first("N").alias("N"))
-    out = agg.select(
+    return agg.select(
         *by,
         F.try_divide(F.col("num").cast("double"), F.lit(2.0) * F.col("P") * F.col("N")).alias("roc_auc"),
     )
-    return out.drop("_all") if added else out
 
 
 def average_precision(
@@ -220,13 +211,12 @@ def average_precision(
 ) -> DataFrame:
     """Area under the precision-recall curve as average precision:
     ``sum_s (pos_s / P) * precision_at_s`` over distinct scores, descending."""
-    df, by, added = _grouped(df, by)
+    by = list(by)
     pts = _curve_points(df, label, score, by)
     term = F.col("pos").cast("double") / F.col("P") * (
         F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg"))
     )
-    out = pts.groupBy(*by).agg(F.sum(term).alias("pr_auc"))
-    return out.drop("_all") if added else out
+    return pts.groupBy(*by).agg(F.sum(term).alias("pr_auc"))
 
 
 # --------------------------------------------------------------------------- E7: score distribution

@@ -49,14 +49,11 @@ def _dist(X: np.ndarray, Y: np.ndarray, rows: int = 256) -> np.ndarray:
 
 def _pivots(reference: DataFrame, features: list[str], id_col: str, n_ref: int, cell_target: int,
             max_pivots: int, seed: int) -> np.ndarray:
+    """The ``P`` reference rows with the smallest seeded keys: a bounded top-k
+    (each task keeps P rows), ``P <= max_pivots``."""
     p = max(1, min(max_pivots, math.ceil(n_ref / cell_target)))
-    keyed = reference.withColumn("_g", F.lit(0)).withColumn("_ok", smp.order_key(seed, id_col))
-    if p < n_ref:
-        from cardsight.operators.selection import kth_smallest
-
-        v, tb = kth_smallest(keyed, "_g", "_ok", id_col, [(0, p)])[(0, p)]
-        keyed = keyed.where((F.col("_ok") < v) | ((F.col("_ok") == v) & (F.col(id_col) <= tb)))
-    rows = keyed.select(*features).collect()  # at most max_pivots rows
+    keyed = reference.withColumn("_ok", smp.order_key(seed, id_col))
+    rows = keyed.orderBy("_ok", id_col).limit(p).select(*features).collect()
     return np.array([[float(r[c]) for c in features] for r in rows])
 
 

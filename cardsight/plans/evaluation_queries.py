@@ -239,7 +239,7 @@ def _ranking_sql() -> str:
                    coalesce({_d('tp')} / NULLIF(tp + fn, 0), 0.0) AS test_recall,
                    coalesce({_d('tp')} / NULLIF(tp + fp, 0), 0.0) AS test_precision FROM c),
       g AS (SELECT model_name, {means} FROM s GROUP BY model_name)
-    SELECT *, row_number() OVER (ORDER BY mean_test_f1 DESC, model_name ASC) AS rank FROM g"""
+    SELECT *, CAST(row_number() OVER (ORDER BY mean_test_f1 DESC, model_name ASC) AS INTEGER) AS rank FROM g"""
 
 
 @register("e8_model_ranking", _ranking_sql())
@@ -260,7 +260,7 @@ def q_mean_std(spark: SparkSession, sf: str) -> DataFrame:
 
 def _winners_sql() -> str:
     base = _ranking_sql()
-    body = base[: base.rindex("SELECT *, row_number()")]
+    body = base[: base.rindex("SELECT *, CAST(row_number()")]
     unpivot = " UNION ALL ".join(f"SELECT model_name, '{m}' AS metric, mean_{m} AS mean FROM g" for m in METRICS)
     return f"""{body}, lg AS ({unpivot}),
       rk AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY mean DESC, model_name ASC) AS r FROM lg)
