@@ -46,7 +46,13 @@ def preprocess(spark: SparkSession, input_path: str, output_path: str, weekend:
     if missing:
         raise ValueError(f"raw table lacks columns {sorted(missing)}")
     out = feat.build_features(raw, weekend=weekend, strategy=strategy)
-    return files.write_parquet(out, spark, "features", compression="gzip", path=output_path)
+    # Day-partitioned output: the split's day filters prune whole folders.
+    # Range partitioning on (day, time) keeps each task's files contiguous in
+    # time, and the time key splits a heavy day over many tasks.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = out.repartitionByRange(n, S.TX_TIME_DAYS, S.TX_DATETIME)
+    return files.write_parquet(laid_out, spark, "features", compression="gzip", path=output_path,
+                               partition_by=[S.TX_TIME_DAYS])
 
 
 def split(spark: SparkSession, input_path: str, output_dir: str, start: str, outer_train: int = 21,

@@ -17,7 +17,11 @@ def test_preprocess_split_train(spark, tmp_path):
     load_transactions(spark, SF01).write.parquet(raw)
     feats = jobs.preprocess(spark, raw, str(tmp_path / "features"))
     fdf = spark.read.parquet(feats)
-    assert fdf.count() == 10000 and fdf.columns[-14] == "IS_WKD"
+    assert fdf.count() == 10000 and "IS_WKD" in fdf.columns
+    assert sorted(os.listdir(feats))[0].startswith("TX_TIME_DAYS=") or "TX_TIME_DAYS=0" in os.listdir(feats)
+    test_days = fdf.where(F.col("TX_TIME_DAYS").between(23, 29))
+    plan = test_days._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan or "partitionfilters" in plan.lower()
     out = jobs.split(spark, feats, str(tmp_path / "splits"), "2024-01-01", 15, 7, 1, 7)
     counts = {}
     for name in jobs.SPLITS:
