@@ -92,9 +92,20 @@ def knn_join(
             cell = D.argmin(axis=1)
             own = D[np.arange(len(X)), cell]
             theta = np.sort(D, axis=1)[:, kk - 1] if n_piv >= kk else np.full(len(X), np.inf)
-            yield pd.DataFrame({"_id": pdf["_id"], "_cell": cell.astype("int32"), "_own": own, "_theta": theta})
+            out = pdf.copy()
+            out["_cell"] = cell.astype("int32")
+            out["_own"] = own
+            out["_theta"] = theta
+            yield out
 
-    assigned = q.mapInPandas(assign, "_id long, _cell int, _own double, _theta double")
+    # The assignment carries the query's features along, so the chunked side
+    # below needs no join back to the queries.
+    assign_schema = T.StructType(
+        q.schema.fields
+        + [T.StructField("_cell", T.IntegerType()), T.StructField("_own", T.DoubleType()),
+           T.StructField("_theta", T.DoubleType())]
+    )
+    assigned = q.mapInPandas(assign, assign_schema)
     cells = {
         row["_cell"]: (row["n"], row["u"], row["t"])
         for row in assigned.groupBy("_cell")
@@ -129,7 +140,7 @@ def knn_join(
     blocks_of = F.element_at(F.array(*[F.lit(int(x)) for x in c_blocks]), F.col("_cell") + 1)
 
     qside = (
-        q.join(assigned.select("_id", "_cell"), "_id")
+        assigned.drop("_own", "_theta")
         .withColumn("_chunk", F.pmod(F.xxhash64("_id"), chunks_of.cast("long")).cast("int"))
         .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks_of - 1)))
     )

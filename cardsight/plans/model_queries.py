@@ -98,7 +98,9 @@ def q_smote(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _splits(spark: SparkSession, sf: str):
-    features = feat.build_features(load_transactions(spark, sf))
+    # The split reads the feature table several times: materialise it once,
+    # as the batch job does by writing it to Parquet.
+    features = feat.build_features(load_transactions(spark, sf)).checkpoint(eager=True)
     return sp.three_way_split(features, START, 21, 7, 7, 7)
 
 

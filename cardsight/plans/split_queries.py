@@ -97,7 +97,8 @@ def _three_way_sql() -> str:
 @register("d3_three_way_split", _three_way_sql())
 def q_three_way(spark: SparkSession, sf: str) -> DataFrame:
     """Outer split with 21 training days, inner split of those with 7; trimmed to features + label."""
-    features = feat.build_features(load_transactions(spark, sf))
+    # Materialised once: the split reads the feature table several times.
+    features = feat.build_features(load_transactions(spark, sf)).checkpoint(eager=True)
     train, validate, test = sp.three_way_split(features, START, 21, 7, 7, 7)
     return sp.labelled_union(
         {"train": sp.field_trim(train), "validate": sp.field_trim(validate), "test": sp.field_trim(test)}
@@ -170,7 +171,7 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """train/validate/test written as three header CSVs and read back with a declared schema."""
     from cardsight.sources import files
 
-    features = feat.build_features(load_transactions(spark, sf))
+    features = feat.build_features(load_transactions(spark, sf)).checkpoint(eager=True)
     parts = dict(zip(("train", "validate", "test"), sp.three_way_split(features, START, 21, 7, 7, 7)))
     back = {}
     for name, part in parts.items():
