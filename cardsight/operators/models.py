@@ -129,9 +129,15 @@ def fit_balanced(
     if oversample:
         from cardsight.operators.neighbors import smote
 
-        rows = smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed)
+    # Class counts once; SMOTE's effect on them is known exactly.
+    counts = smp.class_count_map(train, label)
+    if oversample:
+        rows = smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed, counts=counts)
+        n_min, n_maj = counts.get(1, 0), max((n for c, n in counts.items() if c != 1), default=0)
+        if n_min >= 2:
+            counts = {**counts, 1: n_min + int(oversample * n_maj - n_min)}
     if undersample:
-        rows = smp.undersample(rows, label, id_col, ratio=undersample, seed=seed)
+        rows = smp.undersample(rows, label, id_col, ratio=undersample, seed=seed, counts=counts)
     # The estimator iterates over its input: give it materialised rows.
     assembled = assemble(rows, features, label).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     if kind == "knn":

@@ -69,15 +69,17 @@ def knn_join(
     chunk: int = 1024,
     block: int = 4096,
     seed: int = 0,
+    n_ref: int | None = None,
 ) -> DataFrame:
     """``q_id, rank, r_id, distance``: the k nearest reference rows per query
     (rank 1 is nearest). With ``exclude_self`` a reference row with the
-    query's id is skipped."""
+    query's id is skipped. ``n_ref`` (the reference row count, when known)
+    only sizes the pivot set."""
     features = list(features)
     spark = queries.sparkSession
     q = queries.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in features])
     r = reference.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in features])
-    n_ref = r.count()
+    n_ref = r.count() if n_ref is None else n_ref
     if n_ref == 0:
         return spark.createDataFrame([], "q_id long, rank int, r_id long, distance double")
     piv = _pivots(r.withColumnRenamed("_id", id_col), features, id_col, n_ref, cell_target, max_pivots, seed)
@@ -208,6 +210,7 @@ def smote(
     k: int = 5,
     seed: int = 42,
     minority: int = 1,
+    counts: dict | None = None,
 ) -> DataFrame:
     """Append ``int(ratio * n_majority - n_minority)`` synthetic minority rows.
 
@@ -218,7 +221,7 @@ def smote(
     minority already exceeds the ratio.
     """
     features = list(features)
-    counts = smp.class_count_map(rows, label)
+    counts = counts if counts is not None else smp.class_count_map(rows, label)
     n_min = counts.get(minority, 0)
     n_maj = max((n for c, n in counts.items() if c != minority), default=0)
     n_new = int(ratio * n_maj - n_min)
@@ -228,7 +231,7 @@ def smote(
         return rows
     kk = min(k, n_min - 1)
     mino = rows.where(F.col(label) == minority)
-    nn = knn_join(mino, mino, features, kk, id_col, exclude_self=True, seed=seed)
+    nn = knn_join(mino, mino, features, kk, id_col, exclude_self=True, seed=seed, n_ref=n_min)
 
     base, extra = divmod(n_new, n_min)
     copies = F.lit(base)

@@ -110,12 +110,14 @@ def sample_per_class(
     label: str = S.LABEL_COLUMN,
     id_col: str = S.TRANSACTION_ID,
     seed: int = 0,
+    counts: dict | None = None,
 ) -> DataFrame:
     """Exactly ``min(quota, count)`` rows of each class, uniformly without
     replacement: the rows with the smallest seeded order keys. Classes absent
-    from ``quotas`` are kept whole."""
+    from ``quotas`` are kept whole. ``counts`` (rows per class) skips a count
+    job when the caller already knows them."""
     keyed = df.withColumn(ORDER_KEY, order_key(seed, id_col))
-    counts = class_count_map(df, label)
+    counts = counts if counts is not None else class_count_map(df, label)
     targets = [(c, int(q)) for c, q in quotas.items() if 0 < q < counts.get(c, 0)]
     cuts = kth_smallest(keyed, label, ORDER_KEY, id_col, targets)
     keep = None
@@ -142,12 +144,13 @@ def undersample(
     id_col: str = S.TRANSACTION_ID,
     ratio: float = 1.0,
     seed: int = 0,
+    counts: dict | None = None,
 ) -> DataFrame:
     """Random undersampling of every majority class to ``n_minority / ratio`` rows."""
-    counts = class_count_map(df, label)
+    counts = counts if counts is not None else class_count_map(df, label)
     n_min = min(counts.values())
     quotas = {c: (n if n == n_min else int(n_min / ratio)) for c, n in counts.items()}
-    return sample_per_class(df, quotas, label, id_col, seed)
+    return sample_per_class(df, quotas, label, id_col, seed, counts)
 
 
 # --------------------------------------------------------------------------- stratified folds
