@@ -132,14 +132,22 @@ def fit_balanced(
     # Class counts once; SMOTE's effect on them is known exactly.
     counts = smp.class_count_map(train, label)
     if oversample:
-        rows = smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed, counts=counts)
+        # Materialised: the undersampler's histogram rounds read these rows
+        # several times, and each read would otherwise re-run the kNN plan.
+        rows = smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed,
+                     counts=counts).checkpoint(eager=True)
         n_min, n_maj = counts.get(1, 0), max((n for c, n in counts.items() if c != 1), default=0)
         if n_min >= 2:
             counts = {**counts, 1: n_min + int(oversample * n_maj - n_min)}
     if undersample:
         rows = smp.undersample(rows, label, id_col, ratio=undersample, seed=seed, counts=counts)
     # The estimator iterates over its input: give it materialised rows.
-    assembled = assemble(rows, features, label).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    # Sized to the cluster's cores: every boosting round or optimizer step is
+    # a job over these partitions, so one full wave per job.
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    assembled = (
+        assemble(rows, features, label).repartition(slots).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    )
     if kind == "knn":
         from cardsight.operators.neighbors import KnnModel
 
