@@ -40,7 +40,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cardsight import schema as S
 from cardsight.functions.numeric import from_fixed, ratio_or_zero, safe_ratio, to_fixed
@@ -279,6 +278,3 @@ def delayed_sums(
     ]
     return trailing_aggregates(df, entity, specs, strategy=strategy)
 
-
-def is_integral(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
