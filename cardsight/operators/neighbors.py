@@ -38,9 +38,11 @@ from cardsight.operators import sampling as smp
 SLACK = 1e-9
 
 
-def _dist(X: np.ndarray, Y: np.ndarray, rows: int = 256) -> np.ndarray:
-    """Exact pairwise Euclidean distances, ``len(X) x len(Y)``, in row blocks."""
+def _dist(X: np.ndarray, Y: np.ndarray, budget: int = 4_000_000) -> np.ndarray:
+    """Exact pairwise Euclidean distances, ``len(X) x len(Y)``, in row blocks
+    whose difference tensor holds at most ``budget`` doubles (~32 MB)."""
     out = np.empty((len(X), len(Y)))
+    rows = max(1, budget // max(1, len(Y) * max(1, X.shape[1] if X.ndim == 2 else 1)))
     for s in range(0, len(X), rows):
         diff = X[s : s + rows, None, :] - Y[None, :, :]
         out[s : s + rows] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
@@ -65,7 +67,7 @@ def knn_join(
     id_col: str = S.TRANSACTION_ID,
     exclude_self: bool = True,
     cell_target: int = 1000,
-    max_pivots: int = 256,
+    max_pivots: int = 4096,
     chunk: int = 1024,
     block: int = 4096,
     seed: int = 0,
@@ -85,12 +87,15 @@ def knn_join(
     piv = _pivots(r.withColumnRenamed("_id", id_col), features, id_col, n_ref, cell_target, max_pivots, seed)
     n_piv = len(piv)
     kk = k + 1 if exclude_self else k
+    sc = spark.sparkContext
+    piv_b = sc.broadcast(piv)  # at most max_pivots x features doubles
 
     # 2. per query: cell, distance to its pivot, theta.
     def assign(batches):
+        pv = piv_b.value
         for pdf in batches:
             X = pdf[features].to_numpy(float)
-            D = _dist(X, piv)
+            D = _dist(X, pv)
             cell = D.argmin(axis=1)
             own = D[np.arange(len(X)), cell]
             theta = np.sort(D, axis=1)[:, kk - 1] if n_piv >= kk else np.full(len(X), np.inf)
@@ -117,16 +122,18 @@ def knn_join(
     radius = np.full(n_piv, -1.0)
     for c, (_, u, t) in cells.items():
         radius[c] = (u + t) * (1 + SLACK) + SLACK
+    radius_b = sc.broadcast(radius)
     q_chunks = np.ones(n_piv, dtype=int)
     for c, (n, _, _) in cells.items():
         q_chunks[c] = max(1, math.ceil(n / chunk))
 
     # 3. candidates: each reference row goes to the cells it can serve.
     def candidates(batches):
+        pv, rad = piv_b.value, radius_b.value
         for pdf in batches:
             X = pdf[features].to_numpy(float)
-            D = _dist(X, piv)
-            hit_rows, hit_cells = np.nonzero(D <= radius[None, :])
+            D = _dist(X, pv)
+            hit_rows, hit_cells = np.nonzero(D <= rad[None, :])
             out = pdf.iloc[hit_rows].copy()
             out["_cell"] = hit_cells.astype("int32")
             yield out
@@ -138,17 +145,21 @@ def knn_join(
     for c, n in cand_counts.items():
         c_blocks[c] = max(1, math.ceil(n / block))
 
-    chunks_of = F.element_at(F.array(*[F.lit(int(x)) for x in q_chunks]), F.col("_cell") + 1)
-    blocks_of = F.element_at(F.array(*[F.lit(int(x)) for x in c_blocks]), F.col("_cell") + 1)
-
+    # One row per cell (at most max_pivots rows): a proven bound, so broadcast.
+    plan_rows = [(int(c), int(q_chunks[c]), int(c_blocks[c])) for c in range(n_piv)]
+    cell_plan = F.broadcast(spark.createDataFrame(plan_rows, "_cell int, _nchunks int, _nblocks int"))
     qside = (
         assigned.drop("_own", "_theta")
-        .withColumn("_chunk", F.pmod(F.xxhash64("_id"), chunks_of.cast("long")).cast("int"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), blocks_of - 1)))
+        .join(cell_plan, "_cell")
+        .withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.col("_nchunks").cast("long")).cast("int"))
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_nblocks") - 1)))
+        .drop("_nchunks", "_nblocks")
     )
     rside = (
-        cand.withColumn("_block", F.pmod(F.xxhash64("_id"), blocks_of.cast("long")).cast("int"))
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks_of - 1)))
+        cand.join(cell_plan, "_cell")
+        .withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_nblocks").cast("long")).cast("int"))
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_nchunks") - 1)))
+        .drop("_nchunks", "_nblocks")
     )
 
     # 4. exact distances per (cell, chunk, block), k best per query.
