@@ -209,7 +209,7 @@ def q_profile(spark: SparkSession, sf: str) -> DataFrame:
         trk.read_table(spark, "datasets")
         .where((F.col("digest") == p["digest"]) & (F.col("name") == "transactions"))
         .select("name", "num_rows", "num_elements", "source", "context")
-        .limit(1)
+        .distinct()  # the same profile may have been logged by earlier runs
     )
 
 
