@@ -37,6 +37,7 @@ from cardsight import schema as S
 from cardsight.operators import evaluate as ev
 from cardsight.operators import sampling as smp
 from cardsight.operators import tracking as trk
+from cardsight.session import materialize
 
 SEED = 42
 
@@ -123,7 +124,7 @@ def fit_balanced(
     features = list(features)
     # Cut the lineage once: every statistic, sample and neighbour pass below
     # reads these materialised rows instead of re-running the feature plan.
-    train = train.select(id_col, *features, label).checkpoint(eager=True)
+    train = materialize(train.select(id_col, *features, label))
     stats = smp.fit_scaler(train, features)
     rows = smp.apply_scaler(train, stats)
     if oversample:
@@ -134,8 +135,9 @@ def fit_balanced(
     if oversample:
         # Materialised: the undersampler's histogram rounds read these rows
         # several times, and each read would otherwise re-run the kNN plan.
-        rows = smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed,
-                     counts=counts).checkpoint(eager=True)
+        rows = materialize(
+            smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed, counts=counts)
+        )
         n_min, n_maj = counts.get(1, 0), max((n for c, n in counts.items() if c != 1), default=0)
         if n_min >= 2:
             counts = {**counts, 1: n_min + int(oversample * n_maj - n_min)}
@@ -146,7 +148,7 @@ def fit_balanced(
     # a job over these partitions, so one full wave per job.
     slots = train.sparkSession.sparkContext.defaultParallelism
     assembled = (
-        assemble(rows, features, label).repartition(slots).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+        materialize(assemble(rows, features, label).repartition(slots)).persist(StorageLevel.MEMORY_AND_DISK)
     )
     if kind == "knn":
         from cardsight.operators.neighbors import KnnModel
@@ -203,7 +205,7 @@ def compete(
     todo = [(name, kind, params, fold) for name, (kind, params) in models.items()
             for fold in range(n_splits) if (name, fold) not in done]
     if todo:
-        folded = smp.stratified_folds(train, n_splits, label, id_col).checkpoint(eager=True)
+        folded = materialize(smp.stratified_folds(train, n_splits, label, id_col))
         lock = threading.Lock()
 
         def one(task):
@@ -275,7 +277,7 @@ def random_search(
     resumes. Returns the study's trials."""
     spark = train.sparkSession
     done = {r["trial"] for r in trk.read_table(spark, "trials", root).where(F.col("study") == study).select("trial").collect()}
-    train = train.checkpoint(eager=True)
+    train = materialize(train)
     for trial in range(n_trials):
         if trial in done:
             continue

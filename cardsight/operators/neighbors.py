@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 from cardsight import schema as S
 from cardsight.functions.hashing import seeded_int, seeded_uniform
 from cardsight.operators import sampling as smp
+from cardsight.session import materialize
 
 SLACK = 1e-9
 
@@ -288,9 +289,9 @@ class KnnModel:
         self.features = list(features)
         self.id_col = id_col
         self.k = k
-        self.training = training.withColumn(
-            "_rid", F.coalesce(F.col(id_col), -F.monotonically_increasing_id() - 1)
-        ).checkpoint(eager=True)
+        self.training = materialize(
+            training.withColumn("_rid", F.coalesce(F.col(id_col), -F.monotonically_increasing_id() - 1))
+        )
 
     def transform(self, df: DataFrame) -> DataFrame:
         ref = self.training.select(F.col("_rid").alias(self.id_col), *self.features, "label")

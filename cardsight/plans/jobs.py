@@ -23,6 +23,7 @@ from cardsight.operators import features as feat
 from cardsight.operators import models as md
 from cardsight.operators import split as sp
 from cardsight.sources import files
+from cardsight.session import materialize
 
 SPLITS = ("train", "validate", "test")
 
@@ -79,8 +80,8 @@ def train(spark: SparkSession, split_dir: str, study: str = "card_fraud", n_tria
           model_name: str = "card_fraud_gbt", space: dict | None = None) -> str:
     """Seeded search maximising validation recall, then refit with the best
     parameters, log the run and register the model; returns the run id."""
-    tr = read_split(spark, split_dir, "train").checkpoint(eager=True)
-    va = read_split(spark, split_dir, "validate").checkpoint(eager=True)
+    tr = materialize(read_split(spark, split_dir, "train"))
+    va = materialize(read_split(spark, split_dir, "validate"))
     trials = md.random_search(tr, va, study, n_trials, space or md.REFERENCE_SPACE)
     best = dict(md.best_trial(trials).first()["best_params"])
     return md.refit_and_register(tr, va, best, model_name, "gbt validation", source=split_dir)

@@ -15,6 +15,7 @@ from cardsight.operators import tracking as trk
 from cardsight.plans import oracle_sql as Q
 from cardsight.plans.catalog import register
 from cardsight.sources.transactions import load_transactions
+from cardsight.session import materialize
 
 START = "2024-01-01"
 # Integer-valued columns for the neighbour checks: squared distances are exact.
@@ -100,7 +101,7 @@ def q_smote(spark: SparkSession, sf: str) -> DataFrame:
 def _splits(spark: SparkSession, sf: str):
     # The split reads the feature table several times: materialise it once,
     # as the batch job does by writing it to Parquet.
-    features = feat.build_features(load_transactions(spark, sf)).checkpoint(eager=True)
+    features = materialize(feat.build_features(load_transactions(spark, sf)))
     return sp.three_way_split(features, START, 21, 7, 7, 7)
 
 

@@ -10,6 +10,7 @@ from cardsight.operators import split as sp
 from cardsight.operators import windows as win
 from cardsight.plans import oracle_sql as Q
 from cardsight.plans.catalog import register
+from cardsight.session import materialize
 from cardsight.sources.transactions import load_transactions
 
 START = "2024-01-01"
@@ -98,7 +99,7 @@ def _three_way_sql() -> str:
 def q_three_way(spark: SparkSession, sf: str) -> DataFrame:
     """Outer split with 21 training days, inner split of those with 7; trimmed to features + label."""
     # Materialised once: the split reads the feature table several times.
-    features = feat.build_features(load_transactions(spark, sf)).checkpoint(eager=True)
+    features = materialize(feat.build_features(load_transactions(spark, sf)))
     train, validate, test = sp.three_way_split(features, START, 21, 7, 7, 7)
     return sp.labelled_union(
         {"train": sp.field_trim(train), "validate": sp.field_trim(validate), "test": sp.field_trim(test)}
@@ -171,7 +172,7 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """train/validate/test written as three header CSVs and read back with a declared schema."""
     from cardsight.sources import files
 
-    features = feat.build_features(load_transactions(spark, sf)).checkpoint(eager=True)
+    features = materialize(feat.build_features(load_transactions(spark, sf)))
     parts = dict(zip(("train", "validate", "test"), sp.three_way_split(features, START, 21, 7, 7, 7)))
     back = {}
     for name, part in parts.items():

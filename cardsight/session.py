@@ -67,6 +67,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured
 
 
+def materialize(df):
+    """``df.checkpoint()`` into the shared folder, making sure it is set: cuts
+    the lineage, and the written data survives the loss of any executor."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint root for sink output."""
     root = checkpoint_root(spark)
