@@ -270,21 +270,30 @@ def random_search(
     objective: str = "recall",
     seed: int = SEED,
     root: str | None = None,
+    parallelism: int = 2,
     **balance,
 ) -> DataFrame:
-    """Maximise a validation metric over ``n_trials`` seeded draws. Finished
-    trials of ``study`` are read from the trials table and skipped, so a rerun
-    resumes. Returns the study's trials."""
+    """Maximise a validation metric over ``n_trials`` seeded draws. Draws are
+    independent, so ``parallelism`` driver threads run them concurrently (each
+    fit is itself distributed). Finished trials of ``study`` are read from the
+    trials table and skipped, so a rerun resumes. Returns the study's trials."""
     spark = train.sparkSession
     done = {r["trial"] for r in trk.read_table(spark, "trials", root).where(F.col("study") == study).select("trial").collect()}
-    train = materialize(train)
-    for trial in range(n_trials):
-        if trial in done:
-            continue
-        params = sample_params(space, seed, trial)
-        fitted = fit_balanced(train, kind, params, seed=seed, **balance)
-        value = ev.metrics_map(score(fitted, validate))[objective]
-        trk.append(spark, "trials", [(study, trial, params, float(value))], root)
+    todo = [t for t in range(n_trials) if t not in done]
+    if todo:
+        train = materialize(train)
+        validate = materialize(validate)
+        lock = threading.Lock()
+
+        def one(trial: int) -> None:
+            params = sample_params(space, seed, trial)
+            fitted = fit_balanced(train, kind, params, seed=seed, **balance)
+            value = ev.metrics_map(score(fitted, validate))[objective]
+            with lock:  # one writer at a time into the table folder
+                trk.append(spark, "trials", [(study, trial, params, float(value))], root)
+
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(one, todo))
     return trk.read_table(spark, "trials", root).where(F.col("study") == study)
 
 
