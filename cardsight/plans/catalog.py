@@ -24,11 +24,35 @@ _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+# The engine-neutral text form of timestamps in query outputs.
+TS_FORMAT_SPARK = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TS_FORMAT_SQL = "%Y-%m-%d %H:%M:%S.%f"
+
+
+def register(name: str, sql: str | None = None, timestamps: tuple[str, ...] = ()):
+    """Register a query (and its oracle SQL).
+
+    ``timestamps`` names output columns rendered as ISO-8601 text with
+    microseconds on both sides, so the comparison does not depend on how
+    each client library represents a timestamp; the library itself keeps
+    real timestamp columns.
+    """
+
     def wrap(fn: Query) -> Query:
-        _QUERIES[name] = fn
-        if sql is not None:
-            _ORACLE[name] = sql
+        query, text = fn, sql
+        if timestamps:
+
+            def query(spark: SparkSession, sf: str, _fn: Query = fn) -> DataFrame:
+                out = _fn(spark, sf)
+                return out.withColumns({c: F.date_format(c, TS_FORMAT_SPARK) for c in timestamps})
+
+            query.__doc__ = fn.__doc__
+            if text is not None:
+                repl = ", ".join(f"strftime({c}, '{TS_FORMAT_SQL}') AS {c}" for c in timestamps)
+                text = f"SELECT * REPLACE ({repl}) FROM ({text})"
+        _QUERIES[name] = query
+        if text is not None:
+            _ORACLE[name] = text
         return fn
 
     return wrap
@@ -52,19 +76,19 @@ def _load_all() -> None:
 # --------------------------------------------------------------------------- scans, flags, windows
 
 
-@register("s2_scan_transactions", Q.sql_scan())
+@register("s2_scan_transactions", Q.sql_scan(), timestamps=(S.TX_DATETIME,))
 def q_scan(spark: SparkSession, sf: str) -> DataFrame:
     tx = load_transactions(spark, sf)
     return tx.select(*S.RAW_COLUMNS, epoch_seconds_of(tx, S.TX_DATETIME).alias("TX_EPOCH_SECONDS"))
 
 
-@register("f_flags", Q.sql_flags())
+@register("f_flags", Q.sql_flags(), timestamps=(S.TX_DATETIME,))
 def q_flags(spark: SparkSession, sf: str) -> DataFrame:
     tx = load_transactions(spark, sf)
     return feat.add_calendar_flags(tx).select(S.TRANSACTION_ID, S.TX_DATETIME, "IS_WKD", "IS_NIGHT")
 
 
-@register("w2_customer_counts", Q.sql_customer_counts())
+@register("w2_customer_counts", Q.sql_customer_counts(), timestamps=(S.TX_DATETIME,))
 def q_customer_counts(spark: SparkSession, sf: str) -> DataFrame:
     tx = load_transactions(spark, sf)
     specs = [s for s in feat.customer_specs() if s.func == "count"]
@@ -104,7 +128,7 @@ def q_terminal_risk(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(S.TRANSACTION_ID, S.TERMINAL_ID, "TERMINAL_FRAUD_RISK_7_DAY")
 
 
-@register("w1_sliding_features", Q.sql_features())
+@register("w1_sliding_features", Q.sql_features(), timestamps=(S.TX_DATETIME,))
 def q_features_sliding(spark: SparkSession, sf: str) -> DataFrame:
     """The feature table by the direct sliding-window strategy (cross-check of the block plan)."""
     return feat.build_features(load_transactions(spark, sf), strategy="sliding")
@@ -119,12 +143,12 @@ def q_orders_ties(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(S.TRANSACTION_ID, S.CUSTOMER_ID, S.TX_TIME_DAYS, *names)
 
 
-@register("d1_features", Q.sql_features())
+@register("d1_features", Q.sql_features(), timestamps=(S.TX_DATETIME,))
 def q_features(spark: SparkSession, sf: str) -> DataFrame:
     return feat.build_features(load_transactions(spark, sf))
 
 
-@register("o2_riskiest_terminals", Q.sql_riskiest(20))
+@register("o2_riskiest_terminals", Q.sql_riskiest(20), timestamps=(S.TX_DATETIME,))
 def q_riskiest(spark: SparkSession, sf: str) -> DataFrame:
     top = feat.riskiest(feat.build_features(load_transactions(spark, sf)), 20)
     return top.select(
@@ -138,7 +162,7 @@ def q_riskiest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@register("o3_fraud_preview", Q.sql_fraud_preview(20))
+@register("o3_fraud_preview", Q.sql_fraud_preview(20), timestamps=(S.TX_DATETIME,))
 def q_fraud_preview(spark: SparkSession, sf: str) -> DataFrame:
     f = feat.build_features(load_transactions(spark, sf))
     return f.where(F.col(S.TX_FRAUD) == 1).orderBy(S.TRANSACTION_ID).limit(20)

@@ -109,6 +109,7 @@ def q_three_way(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "j1_attach_feature",
     f"WITH {Q.TX_CTE}, {Q.BASE_CTE} SELECT {Q.RAW}, {Q.terminal_risk(30)} FROM base",
+    timestamps=(S.TX_DATETIME,),
 )
 def q_attach(spark: SparkSession, sf: str) -> DataFrame:
     """Attach a feature computed on its own to the rows by a left join on the id."""
@@ -139,6 +140,7 @@ def q_sorted_sink(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {Q.TX_CTE} SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID, TERMINAL_ID,
         CASE WHEN TX_TIME_DAYS BETWEEN 10 AND 19 THEN NULL ELSE TX_AMOUNT END AS TX_AMOUNT,
         TX_TIME_DAYS, TX_FRAUD FROM tx""",
+    timestamps=(S.TX_DATETIME,),
 )
 def q_merge_files(spark: SparkSession, sf: str) -> DataFrame:
     """Three files merged by name in one read: one lacks a column, one has its
@@ -157,7 +159,7 @@ def q_merge_files(spark: SparkSession, sf: str) -> DataFrame:
     return files.merge_files(spark, folder, "parquet", schema=S.RAW_SCHEMA).select(*S.RAW_COLUMNS)
 
 
-@register("s4_parquet_sink", Q.sql_features())
+@register("s4_parquet_sink", Q.sql_features(), timestamps=(S.TX_DATETIME,))
 def q_parquet_sink(spark: SparkSession, sf: str) -> DataFrame:
     """The feature table written as gzip Parquet and read back."""
     from cardsight.sources import files
