@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -78,3 +79,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint root for sink output."""
     root = checkpoint_root(spark)
     return os.path.join(root, "cardsight-out", f"{label}-{uuid.uuid4().hex}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application.
+
+    Python tasks import it by name; on a cluster only the driver has it on its
+    path, whatever folder the job was started from.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="cardsight-py-")), "cardsight.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
