@@ -12,7 +12,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsight.llm import mixing, pii, sentencepiece_codec, sharding, simhash, token_count
+from cardsight.llm import (
+    embedding_dedup,
+    fingerprint,
+    lm_scoring,
+    mixing,
+    pii,
+    sentencepiece_codec,
+    sharding,
+    simhash,
+    token_count,
+    toxicity,
+)
 from cardsight.llm.common import table
 
 #: Tokenizer files of the contracts, and the limit of op4.
@@ -21,6 +32,13 @@ COUNTING_TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = table(spark, sf_dir, "labels").where("quality = 1")
+    scores = lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), targets)
+    rounded = [F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")]
+    return scores.select(F.col("id").alias("doc_id"), "n_tokens", *rounded)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
 
@@ -45,6 +63,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels).withColumnRenamed("id", "doc_id")
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return embedding_dedup.near_duplicates(vectors).withColumnRenamed("id", "vec_id")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -62,4 +94,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Queries that SQL can express; the others are tested against brute force in ``tests/llm``."""
-    return {"op2_sharding": sharding.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}
+    return {"op1_lm_scoring": lm_scoring.ORACLE_SQL, "op2_sharding": sharding.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}

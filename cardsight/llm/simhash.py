@@ -24,8 +24,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardsight.llm.common import connected_components, key_runs, python_on, stored, tree_edges
 
@@ -56,18 +57,26 @@ def simhash(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all of a row's columns that have one."""
+    hashed = [f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """``id``, ``fp`` (the fingerprint's bits as a signed long), one row per row of ``docs``."""
+    """``id``, ``row_hash``, ``fp`` (the fingerprint's bits as a signed long), one row per row of ``docs``."""
     python_on(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [simhash(t or b"", shingle, seed) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            fps = [simhash(t or b"", shingle, seed) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             signed = np.array(fps, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signed)], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signed)], ["id", "row_hash", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), row_hash(docs).alias("row_hash"), F.col(text_col).cast("string").alias("text")
+    )
+    return rows.mapInArrow(run, "id long, row_hash long, fp long")
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -188,8 +197,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, block_rows: int = BLOCK
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4, seed: int = 42
 ) -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``fp`` (long) and ``component_id``,
-    the smallest id reachable over links of at most ``max_bits`` bits."""
+    """One row per row of ``docs``: ``id``, ``row_hash``, ``fp`` (long), ``component_id``,
+    the smallest id reachable over links of at most ``max_bits`` bits, and
+    ``component``, a number of the component that is never null."""
     prints = stored(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
     classes = stored(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-classes")
     labels = connected_components(fingerprint_links(classes.select("fp"), max_bits))
@@ -199,5 +209,22 @@ def near_duplicates(
     )
     joined = stored(joined, "simhash-labels")
     first = stored(joined.groupBy("label").agg(F.min("first_id").alias("component_id")), "simhash-components")
-    by_print = stored(joined.join(first, "label").select("fp", "component_id"), "simhash-by-print")
-    return prints.join(by_print, "fp").select("id", "fp", "component_id")
+    by_print = joined.join(first, "label").select("fp", "component_id", F.col("label").alias("component"))
+    return prints.join(stored(by_print, "simhash-by-print"), "fp").select(
+        "id", "row_hash", "fp", "component_id", "component"
+    )
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (null
+    ids last), and of several rows of that id the one of the smallest hash."""
+    found = near_duplicates(docs, id_col, **options)
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row_hash").alias("row_hash"))
+    first = found.groupBy("component").agg(F.min(order).alias("k")).select(
+        F.coalesce("k.id", F.lit(0)).alias("k1"), F.col("k.row_hash").alias("k2")
+    )
+    rows = docs.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias("k1"), row_hash(docs).alias("k2"), F.struct("*").alias("row")
+    )
+    kept = rows.join(stored(first, "simhash-first"), ["k1", "k2"], "left_semi")
+    return kept.groupBy("k1", "k2").agg(F.first("row").alias("row")).select("row.*")
