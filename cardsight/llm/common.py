@@ -20,6 +20,8 @@ from cardsight.session import scratch_path, ship_package
 
 #: Fixed value: the word of the contracts (everything but the ASCII white space).
 WORD = r"[^\x20\x09-\x0D]+"
+#: Most bytes of a batch of rows in a Python task.
+BATCH_BYTES = 4 << 20
 #: Fan-out of the trees that stand for a linked group (see ``tree_edges``).
 FAN_OUT = 16
 
@@ -38,8 +40,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def python_on(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of every executor."""
+    """Make this package importable in the Python workers of every executor, and
+    bound the bytes of the batches they get, so long texts cannot fill memory."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def n_words(text: Column) -> Column:
