@@ -53,7 +53,7 @@ WORTH = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # whole runs, so that none is scanned twice
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
