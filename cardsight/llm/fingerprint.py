@@ -148,6 +148,8 @@ def _bucketed(rows: DataFrame, n_buckets: int) -> DataFrame:
     probabilities = [i / n_buckets for i in range(1, n_buckets)]
     cuts = rows.approxQuantile("id", probabilities, 1.0 / (4 * n_buckets)) if probabilities else []
     inner = sorted({float(c) for c in cuts or []})
+    if not inner:
+        return rows.withColumn("bucket", F.col("id").isNull().cast("int"))
     splits = [float("-inf"), *inner, float("inf")]
     keyed = rows.withColumn("place", F.coalesce(F.col("id").cast("double"), F.lit(float("inf"))))
     return Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(keyed).withColumn(
