@@ -10,7 +10,8 @@ never below the threshold; the share of them that is found grows with
 ``NEAREST`` and is measured in the tests (0.9 is asked for).
 
 Pivots are a bounded, seeded choice of the vectors, about the square root of
-their number and at most ``MAX_PIVOTS``. Equal vectors are one class before
+their number and at most ``MAX_PIVOTS``, none very near another: pivots inside
+one group of near vectors would come in any order to its members. Equal vectors are one class before
 anything is compared. A list is compared as one matrix product per task; a
 list beyond ``BLOCK_ROWS`` is cut into blocks whose pairs are dealt to
 separate tasks. Tasks return a count of links for each vector and trees over
@@ -39,6 +40,7 @@ THRESHOLD = 0.95
 NEAREST = 5
 MIN_PIVOTS = 32
 MAX_PIVOTS = 8192
+PIVOT_COSINE = 0.8
 BLOCK_ROWS = 2048
 SEED = 42
 #: Vectors that are compared with all pivots at a time.
@@ -57,6 +59,15 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def apart(candidates: np.ndarray, most: int) -> np.ndarray:
+    """The first ``most`` unit vectors of which none is nearer than ``PIVOT_COSINE`` to one before."""
+    kept = np.empty((0, candidates.shape[1]))
+    for v in candidates:
+        if len(kept) < most and not (kept @ v > PIVOT_COSINE).any():
+            kept = np.vstack([kept, v])
+    return kept
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if isinstance(array, pa.ChunkedArray):
@@ -238,8 +249,9 @@ def near_duplicates(
     listed = []
     for r in sorted(classes.groupBy(F.size("v").alias("dim")).count().collect()):
         of_dim = classes.where(F.size("v") == r["dim"])
-        chosen = of_dim.orderBy(F.xxhash64("rep", F.lit(seed)), "rep").limit(n_pivots(r["count"])).select("v").collect()
-        pivots = unit(np.array([x["v"] for x in chosen], dtype=np.float64))
+        most = n_pivots(r["count"])
+        chosen = of_dim.orderBy(F.xxhash64("rep", F.lit(seed)), "rep").limit(2 * most).select("v").toArrow()
+        pivots = apart(unit(_matrix(chosen.column(0)).astype(np.float64)), most)
         element = dict(vectors.dtypes)[vector_col]
         listed.append(
             of_dim.select("rep", "copies", "v").mapInArrow(
