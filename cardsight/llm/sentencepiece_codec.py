@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from cardsight.llm.common import python_on
 
 SPACE = "▁"  # fixed value: the mark for white space in the vocabulary
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 CACHE_WORD_LENGTH = 48
-CACHE_PAIRS = 2_000_000
+CACHE_PAIRS = 600_000
 
 
 class Model(NamedTuple):
@@ -68,15 +68,15 @@ def read_model(path: str) -> Model:
     with open(path, "rb") as f:
         digest = hashlib.sha256(f.read()).hexdigest()
     model = Model(pieces, [sp.get_score(i) for i in ids], [not x for x in special], byte_ids, sp.bos_id(), sp.eos_id(), digest)
-    codec = Codec(model)
+    codec = Encoder(model)
     for probe in (" a  b ", "ﬁ ① é\n\tx", "\U0001f600" + SPACE, "the <s> </s>"):
         if codec.encode(probe) != np.array(sp.encode(probe), "<u4").tobytes():
             raise ValueError("only models without text normalization, with a leading space added, are built here")
     return model
 
 
-class Codec:
-    """Encoder and decoder of one worker. Ids are packed little-endian unsigned 32-bit."""
+class Encoder:
+    """Encoder of one worker. Ids are packed little-endian unsigned 32-bit."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -100,11 +100,6 @@ class Codec:
         self.pairs: list[dict[int, bool]] = [{} for _ in self.tokens]
         self.n_pairs = 0
         self.single: dict[int, tuple[bool, list[tuple[float, str, str]]]] = {}
-        self.decoded = [b"" for _ in model.pieces]
-        for p, i in entries:
-            self.decoded[i] = p.replace(SPACE, " ").encode()
-        for value, i in enumerate(model.byte_ids):
-            self.decoded[i] = bytes([value])
 
     def _as_bytes(self, char: str) -> bytes:
         return np.array([self.model.byte_ids[b] for b in char.encode()], "<u4").tobytes()
@@ -206,6 +201,15 @@ class Codec:
         get, word = self.words.get, self._word
         return b"".join([get(w) or word(w) for w in self.cut.findall(SPACE + text.replace(" ", SPACE))])
 
+
+class Decoder:
+    """Decoder of one worker."""
+
+    def __init__(self, model: Model):
+        self.decoded = [p.replace(SPACE, " ").encode() if n else b"" for p, n in zip(model.pieces, model.normal)]
+        for value, i in enumerate(model.byte_ids):
+            self.decoded[i] = bytes([value])
+
     def decode(self, packed: bytes) -> str:
         """The text of packed ids; begin, end and unknown ids add nothing."""
         ids = np.frombuffer(packed, "<u4").tolist()
@@ -215,14 +219,15 @@ class Codec:
         return (text[1:] if first.startswith(b" ") else text).decode("utf-8", "replace")
 
 
-_CODECS: dict[str, Codec] = {}
+_BUILT: dict[tuple[type, str], Encoder | Decoder] = {}
 
 
-def codec_of(model: Model) -> Codec:
-    """The worker's codec, built once for each model."""
-    if model.digest not in _CODECS:
-        _CODECS[model.digest] = Codec(model)
-    return _CODECS[model.digest]
+def _built(kind: type, model: Model):
+    """The worker's encoder or decoder, built once for each model."""
+    key = (kind, model.digest)
+    if key not in _BUILT:
+        _BUILT[key] = kind(model)
+    return _BUILT[key]
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ends: bool = True) -> DataFrame:
@@ -233,7 +238,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        codec = codec_of(model)
+        codec = _built(Encoder, model)
         before, after = (np.array([i], "<u4").tobytes() if ends else b"" for i in (model.bos, model.eos))
         for batch in batches:
             ids = [before + codec.encode(t or "") + after for t in batch.column(1).to_pylist()]
@@ -250,7 +255,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(read_model(model_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(shared.value)
+        codec = _built(Decoder, shared.value)
         for batch in batches:
             texts = [codec.decode(b) for b in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "ids", "text"])
