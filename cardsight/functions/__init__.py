@@ -4,8 +4,6 @@ from cardsight.functions.hashing import seeded_int, seeded_key, seeded_uniform
 from cardsight.functions.numeric import (
     from_fixed,
     hard_label,
-    log_ratio,
-    percent,
     ratio_or_zero,
     safe_ratio,
     to_fixed,
@@ -33,8 +31,6 @@ __all__ = [
     "in_half_open_range",
     "is_night",
     "is_weekend",
-    "log_ratio",
-    "percent",
     "ratio_or_zero",
     "safe_ratio",
     "seeded_int",

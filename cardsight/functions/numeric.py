@@ -11,21 +11,29 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_fixed(c: str | Column, data_type: T.DataType, scale: int = 2) -> Column:
+DEFAULT_SCALE = 6
+
+
+def to_fixed(c: str | Column, data_type: T.DataType, scale: int = DEFAULT_SCALE) -> Column:
     """Integral value whose sums are exact.
 
-    Integral columns are widened to ``long``; fractional ones become
-    ``round(v * 10^scale)`` as ``long`` (whole cents for money at scale 2).
+    Integral columns are widened to ``long``; fractional ones count in units of
+    ``10**-scale``. A value that is not a whole number of these units raises an error.
     """
     col = _col(c)
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return col.cast("long")
     if isinstance(data_type, T.BooleanType):
         return col.cast("int").cast("long")
-    return F.round(col * float(10**scale)).cast("long")
+    value, unit = col.cast("double"), float(10**scale)
+    units = F.round(value * unit).cast("long")
+    # Units back in double give the value itself, but for its last bit.
+    fits = F.abs(units.cast("double") / unit - value) <= F.abs(value) * 4.5e-16
+    message = F.concat(F.lit(f"a value needs more than {scale} decimals, raise scale: "), value.cast("string"))
+    return F.when(value.isNull() | fits, units).otherwise(F.raise_error(message).cast("long"))
 
 
-def from_fixed(total: Column, data_type: T.DataType, scale: int = 2) -> Column:
+def from_fixed(total: Column, data_type: T.DataType, scale: int = DEFAULT_SCALE) -> Column:
     """Inverse of ``to_fixed`` for a sum: integral stays ``long``, else double."""
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
         return total
@@ -42,15 +50,6 @@ def ratio_or_zero(num: str | Column, den: str | Column) -> Column:
     return F.coalesce(safe_ratio(num, den), F.lit(0.0))
 
 
-def log_ratio(num: str | Column, den: str | Column) -> Column:
-    """Natural log of ``num / den`` (the log-odds prior of a class ratio)."""
-    return F.log(safe_ratio(num, den))
-
-
-def percent(c: str | Column) -> Column:
-    return _col(c) * 100.0
-
-
 def hard_label(score: str | Column, threshold: float = 0.5) -> Column:
     """1 when the score is strictly above the threshold, else 0."""
     return (_col(score) > F.lit(threshold)).cast("int")

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsight.functions.numeric import hard_label
 from cardsight.operators.ordered import ordered_scan
 from cardsight.operators.selection import kth_smallest
 
@@ -23,11 +22,6 @@ def _ratio0(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den), F.lit(0.0))
 
 
-def with_prediction(df: DataFrame, score: str = "score", threshold: float = 0.5, name: str = "prediction") -> DataFrame:
-    """Hard label: 1 when score > threshold."""
-    return df.withColumn(name, hard_label(score, threshold))
-
-
 # --------------------------------------------------------------------------- E1: headline metrics
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cardsight import schema as S
 from cardsight.functions.time import epoch_seconds_of, is_night, is_weekend
-from cardsight.operators.windows import SEC, FrameAgg, per_second_features, trailing_aggregates
+from cardsight.operators.windows import SEC, FrameAgg, attach, per_second_features, trailing_aggregates
 
 
 def add_calendar_flags(df: DataFrame, weekend: str = "reference", time_col: str = S.TX_DATETIME) -> DataFrame:
@@ -62,20 +62,12 @@ def build_features(
         # wide rows are shuffled once per entity for the two joins.
         cust_f = per_second_features(base, S.CUSTOMER_ID, cust, SEC)
         term_f = per_second_features(base, S.TERMINAL_ID, term, SEC)
-        # The per-second tables grow with the data, so they are never broadcast.
-        out = base.join(cust_f.hint("merge"), on=[S.CUSTOMER_ID, SEC], how="left").join(
-            term_f.hint("merge"), on=[S.TERMINAL_ID, SEC], how="left"
-        )
+        out = attach(attach(base, cust_f, S.CUSTOMER_ID, SEC), term_f, S.TERMINAL_ID, SEC)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.select(*tx.columns, *feature_names(days))
 
 
-def customer_profile(tx: DataFrame, days: Sequence[int] = S.WINDOW_DAYS, strategy: str = "block") -> DataFrame:
-    """Only the customer counts and averages."""
-    return trailing_aggregates(tx, S.CUSTOMER_ID, customer_specs(days), strategy=strategy)
-
-
 def terminal_profile(
     tx: DataFrame,
     days: Sequence[int] = S.WINDOW_DAYS,

@@ -1,15 +1,15 @@
 """Exact order statistics per group without putting a group into one task.
 
 ``kth_smallest`` finds, for each target ``(group, k)``, the k-th smallest
-``(value, tiebreak)`` pair among the rows of that group. Each round is one
-distributed ``groupBy(target, bucket).agg(count, min, max)`` over the rows
-still in play; only ``targets x num_buckets`` summary rows reach the driver.
-A target's candidate set is the chain of bucket predicates chosen so far, so
-integral and floating values are handled alike. When a candidate set holds at
-most ``final_max`` rows those pairs are collected (a bounded amount) and the
-answer is read off exactly; a set of equal values larger than that is
-resolved by selecting on the tiebreak. Callers then express "the first k rows
-in this order" as a plain filter, so no window ever spans a whole class.
+``(value, tiebreak)`` pair among the rows of that group. The narrow rows are
+materialised once; each round is one distributed
+``groupBy(target, bucket).agg(count, min, max)`` over the rows still in play,
+and only ``targets x num_buckets`` summary rows reach the driver, whatever the
+size of the data. A target's candidate set is the chain of bucket predicates
+chosen so far; a round narrows it to one of ``num_buckets`` parts of its range
+until one value is left, and rows that share it are told apart by the
+tiebreak in the same way. Callers then express "the first k rows in this
+order" as a plain filter, so no window ever spans a whole class.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardsight.session import materialize
+
 NUM_BUCKETS = 4096
-FINAL_MAX = 10_000
 
 
 @dataclass(eq=False)
@@ -46,17 +47,22 @@ def kth_smallest(
     tiebreak_col: str,
     targets: list[tuple[object, int]],
     num_buckets: int = NUM_BUCKETS,
-    final_max: int = FINAL_MAX,
 ) -> dict[tuple[object, int], tuple[object, object]]:
     """``{(group, k): (value, tiebreak)}`` of the k-th smallest pair per group.
 
-    NULL values are ignored. Targets with ``k`` outside ``[1, count]`` are
-    omitted from the result.
+    Rows whose value is NULL or NaN are ignored; infinite values are refused.
+    Targets with ``k`` outside ``[1, count]`` are omitted from the result.
     """
     if not targets:
         return {}
     cols = [group_col, value_col] + ([tiebreak_col] if tiebreak_col != value_col else [])
     data = df.select(*cols).where(F.col(value_col).isNotNull())
+    if isinstance(data.schema[value_col].dataType, (T.FloatType, T.DoubleType)):
+        data = data.where(~F.isnan(value_col))
+    return _select(materialize(data), group_col, value_col, tiebreak_col, targets, num_buckets)
+
+
+def _select(data, group_col, value_col, tiebreak_col, targets, num_buckets) -> dict:
     integral = isinstance(data.schema[value_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     stats = {
         r["g"]: r
@@ -64,51 +70,39 @@ def kth_smallest(
         .agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.count("*").alias("n"))
         .collect()
     }
-    open_: list[_Target] = []
+    found: list[_Target] = []
     for group, k in targets:
         s = stats.get(group)
         if s is None or not 1 <= k <= s["n"]:
             continue
-        open_.append(_Target(group, k, _group_match(group_col, group), s["lo"], s["hi"], 0, int(s["n"])))
+        if float("-inf") in (s["lo"], -s["hi"]):
+            raise ValueError("infinite values have no place in a histogram")
+        found.append(_Target(group, k, _group_match(group_col, group), s["lo"], s["hi"], 0, int(s["n"])))
+    while open_ := [t for t in found if t.lo != t.hi]:
+        _refine(data, value_col, open_, num_buckets, integral)
 
     result: dict[tuple[object, int], tuple[object, object]] = {}
-    while open_:
-        for t in [t for t in open_ if t.lo == t.hi and t.in_range > final_max]:
-            # Many rows share one value: select among them by the tiebreak.
-            ties = data.where(t.cond)
-            tb = kth_smallest(ties, group_col, tiebreak_col, tiebreak_col, [(t.group, t.k - t.below)],
-                              num_buckets, final_max)
-            result[(t.group, t.k)] = (t.lo, tb[(t.group, t.k - t.below)][1])
-            open_.remove(t)
-        final = [t for t in open_ if t.in_range <= final_max]
-        if final:
-            _finish(data, value_col, tiebreak_col, final, result)
-        open_ = [t for t in open_ if t not in final]
-        if open_:
-            _refine(data, value_col, open_, num_buckets, integral)
+    if tiebreak_col == value_col:
+        return {(t.group, t.k): (t.lo, t.lo) for t in found}
+    single = [t for t in found if t.in_range == 1]
+    if single:
+        row = data.agg(*[F.min(F.when(t.cond, F.col(tiebreak_col))).alias(f"t{i}") for i, t in enumerate(single)]).first()
+        result |= {(t.group, t.k): (t.lo, row[f"t{i}"]) for i, t in enumerate(single)}
+    for t in found:
+        if t.in_range > 1:  # several rows share the value: select among them by the tiebreak
+            key = (t.group, t.k - t.below)
+            ties = _select(data.where(t.cond), group_col, tiebreak_col, tiebreak_col, [key], num_buckets)
+            result[(t.group, t.k)] = (t.lo, ties[key][1])
     return result
 
 
-def _finish(data, value_col, tiebreak_col, final, result) -> None:
-    flags = F.array(*[F.when(t.cond, F.lit(i)) for i, t in enumerate(final)])
-    rows = data.select(
-        value_col, tiebreak_col, F.explode(F.filter(flags, lambda x: x.isNotNull())).alias("_t")
-    ).collect()  # at most len(final) * final_max rows
-    per: dict[int, list] = {}
-    for r in rows:
-        per.setdefault(r["_t"], []).append((r[value_col], r[tiebreak_col]))
-    for i, t in enumerate(final):
-        pairs = sorted(per.get(i, []))
-        result[(t.group, t.k)] = pairs[t.k - t.below - 1]
-
-
 def _bucket(t: _Target, num_buckets: int, integral: bool, value_col: str) -> Column:
     """Monotone bucket index of the value within the target's [lo, hi]."""
     if integral:
         width = max(1, -(-(int(t.hi) - int(t.lo) + 1) // num_buckets))
         # Exact integer arithmetic (values may exceed 2^53).
         return F.expr(f"(`{value_col}` - {int(t.lo)}L) div {width}L")
-    width = (float(t.hi) - float(t.lo)) / num_buckets
+    width = max((float(t.hi) - float(t.lo)) / num_buckets, 5e-324)  # never zero
     return F.least(F.floor((F.col(value_col) - F.lit(float(t.lo))) / F.lit(width)), F.lit(num_buckets - 1))
 
 

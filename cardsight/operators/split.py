@@ -13,9 +13,13 @@ With ``s`` = first day index of the training rows, ``T`` = ``delta_train``,
 ``prequential_split`` evaluates the exclusion as ONE anti join against a
 per-customer table ``known_day = min(first day the customer is known)``
 (pre-aggregated, one row per customer, so no key is hot on that side) with
-the range condition ``known_day <= test_day - D - 1``. ``split_day_loop`` is
-the day-by-day form (one anti join per test day, pools grown by union) kept
-as a cross-check; its plan grows with ``delta_test``, not with the data.
+the range condition ``known_day <= test_day - D - 1``. ``rows_in_parts``
+gives the same test rows as the union of two parts: rows of customers that are
+never known, and rows dated before their customer is known.
+
+Given the date of day index 0 (``day_origin``), the day windows are also put
+as bounds on ``TX_DATETIME``, which reach the Parquet scan; the day index
+alone is a computed column and prunes nothing.
 """
 
 from __future__ import annotations
@@ -40,6 +44,17 @@ def first_day(df: DataFrame) -> int | None:
     return df.agg(F.min(S.TX_TIME_DAYS).alias("s")).first()["s"]
 
 
+def on_days(df: DataFrame, first: int, last: int, day_origin: dt.date | None = None) -> DataFrame:
+    """Rows with ``first <= TX_TIME_DAYS <= last``; with the date of day 0 also
+    as timestamp bounds for the scan."""
+    rows = df.where(F.col(S.TX_TIME_DAYS).between(first, last))
+    if day_origin is None:
+        return rows
+    return rows.where(
+        in_half_open_range(S.TX_DATETIME, to_timestamp_literal(day_origin + dt.timedelta(days=first)), last - first + 1)
+    )
+
+
 def known_fraud_customers(df: DataFrame) -> DataFrame:
     """Distinct customers with at least one fraud."""
     return df.where(F.col(S.TX_FRAUD) == 1).select(S.CUSTOMER_ID).distinct()
@@ -51,6 +66,7 @@ def known_fraud_days(
     s: int,
     delta_train: int,
     delta_test: int,
+    day_origin: dt.date | None = None,
 ) -> DataFrame:
     """Per customer, the first day index on which it is a known fraud victim.
 
@@ -63,6 +79,8 @@ def known_fraud_days(
     in_train = in_half_open_range(S.TX_DATETIME, to_timestamp_literal(start), delta_train)
     day = F.col(S.TX_TIME_DAYS)
     known_from = F.when(in_train, F.lit(pool_open)).when(day >= pool_open, day)
+    if day_origin is not None:  # all of it lies between the start and the last useful day
+        df = on_days(df, s, max(last_useful, s + delta_train), day_origin)
     return (
         df.where((F.col(S.TX_FRAUD) == 1) & ((day <= last_useful) | in_train))
         .select(S.CUSTOMER_ID, known_from.alias("known_day"))
@@ -78,6 +96,7 @@ def prequential_split(
     delta_train: int = 7,
     delta_delay: int = 7,
     delta_test: int = 7,
+    day_origin: dt.date | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) as lazy DataFrames; an empty training set gives an empty test set."""
     train = training_window(df, start, delta_train)
@@ -85,8 +104,8 @@ def prequential_split(
     if s is None:
         return train, df.where(F.lit(False))
     first_test = s + delta_train + delta_delay
-    test = df.where(F.col(S.TX_TIME_DAYS).between(first_test, first_test + delta_test - 1))
-    known = known_fraud_days(df, start, s, delta_train, delta_test).withColumnRenamed(
+    test = on_days(df, first_test, first_test + delta_test - 1, day_origin)
+    known = known_fraud_days(df, start, s, delta_train, delta_test, day_origin).withColumnRenamed(
         S.CUSTOMER_ID, "_known_customer"
     )
     cond = (F.col(S.CUSTOMER_ID) == F.col("_known_customer")) & (
@@ -95,31 +114,39 @@ def prequential_split(
     return train, test.join(known, cond, "left_anti")
 
 
-def split_day_loop(
+def rows_in_parts(
     df: DataFrame,
     start: str | dt.datetime | dt.date,
     delta_train: int = 7,
-    delta_delay: int = 1,
+    delta_delay: int = 7,
     delta_test: int = 7,
-) -> tuple[DataFrame, DataFrame]:
-    """The day-by-day form: per test day, grow the known pool by union-distinct
-    and anti-join that day's rows against it; union all the days."""
+    day_origin: dt.date | None = None,
+) -> DataFrame:
+    """The test rows of ``prequential_split`` by set operations.
+
+    The pool of (customer, day known) is the distinct union of the training
+    victims and the later ones. Customers outside the pool keep all their test
+    rows (anti join); those in it keep the rows up to the delay after their
+    first day in it (inner join); both parts are put together.
+    """
     train = training_window(df, start, delta_train)
     s = first_day(train)
     if s is None:
-        return train, df.where(F.lit(False))
-    known = known_fraud_customers(train)
-    days: list[DataFrame] = []
-    for i in range(delta_test):
-        test_day = s + delta_train + delta_delay + i
-        newly = known_fraud_customers(df.where(F.col(S.TX_TIME_DAYS) == s + delta_train + i - 1))
-        known = known.union(newly).distinct()
-        day_rows = df.where(F.col(S.TX_TIME_DAYS) == test_day)
-        days.append(day_rows.join(known, on=S.CUSTOMER_ID, how="left_anti").select(*df.columns))
-    test = days[0]
-    for part in days[1:]:
-        test = test.unionByName(part)
-    return train, test
+        return df.where(F.lit(False))
+    opens = s + delta_train - 1
+    fraud = F.col(S.TX_FRAUD) == 1
+    later = on_days(df, opens, opens + delta_test - 1, day_origin).where(fraud)
+    pool = (
+        train.where(fraud).select(S.CUSTOMER_ID, F.lit(opens).alias("known_day"))
+        .union(later.select(S.CUSTOMER_ID, F.col(S.TX_TIME_DAYS).alias("known_day")))
+        .distinct()
+        .groupBy(S.CUSTOMER_ID).agg(F.min("known_day").alias("known_day"))
+    )
+    first_test = s + delta_train + delta_delay
+    rows = on_days(df, first_test, first_test + delta_test - 1, day_origin)
+    never = rows.join(pool, S.CUSTOMER_ID, "left_anti")
+    before = rows.join(pool, S.CUSTOMER_ID).where(F.col(S.TX_TIME_DAYS) - F.lit(delta_delay + 1) < F.col("known_day"))
+    return never.select(*df.columns).unionByName(before.select(*df.columns))
 
 
 def three_way_split(
@@ -129,11 +156,12 @@ def three_way_split(
     inner_train: int = 7,
     delta_delay: int = 7,
     delta_test: int = 7,
+    day_origin: dt.date | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(train, validate, test): split once with ``outer_train`` days, then split
     that training part again from the same start with ``inner_train`` days."""
-    outer, test = prequential_split(df, start, outer_train, delta_delay, delta_test)
-    train, validate = prequential_split(outer, start, inner_train, delta_delay, delta_test)
+    outer, test = prequential_split(df, start, outer_train, delta_delay, delta_test, day_origin)
+    train, validate = prequential_split(outer, start, inner_train, delta_delay, delta_test, day_origin)
     return train, validate, test
 
 

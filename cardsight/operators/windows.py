@@ -24,13 +24,21 @@ Two physical strategies, same answers:
        evaluates in one linear pass; sums are exact because values are
        integral (``to_fixed``: whole cents for money).
     4. Per-second results are joined back to the rows on (entity, second);
-       hashing on the second spreads a hot entity's rows over all tasks.
+       hashing on the second spreads a hot entity's rows over all tasks. Rows
+       without an entity are an entity of their own, as in a window.
+
+    An aggregate without prefix form (``func`` given as a function, say
+    ``F.max``) takes the rows themselves through the same blocks, so that its
+    groups are bounded alike.
 
 ``"sliding"``
     The direct form: ``func(field).over(partitionBy(entity).orderBy(sec)
-    .rangeBetween(...))``. Any built-in aggregate works, but a whole entity is
-    one window group and Spark re-aggregates a moving frame per row, so use it
-    for small data or for functions that are not invertible.
+    .rangeBetween(...))``: a whole entity is one window group and Spark
+    re-aggregates a moving frame per row, so it serves as a cross-check.
+
+Fractional values are summed as whole numbers of ``10**-scale`` (six decimals
+by default); a value that needs more raises an error and asks for a larger
+``scale``, so no sum or average is ever of rounded values.
 """
 
 from __future__ import annotations
@@ -42,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsight import schema as S
-from cardsight.functions.numeric import from_fixed, ratio_or_zero, safe_ratio, to_fixed
+from cardsight.functions.numeric import DEFAULT_SCALE, from_fixed, ratio_or_zero, safe_ratio, to_fixed
 from cardsight.functions.time import SECONDS_PER_DAY, epoch_seconds_of
 
 SEC = "_sec"
@@ -51,16 +59,19 @@ SUPPORTED = ("count", "sum", "avg", "risk")
 
 @dataclass(frozen=True)
 class FrameAgg:
-    """One trailing aggregate: ``func(field)`` over ``n_days`` ending ``shift_days`` ago."""
+    """One trailing aggregate: ``func(field)`` over ``n_days`` ending ``shift_days`` ago.
+
+    ``func`` is one of ``SUPPORTED``, or a function from a column name to an
+    aggregate (``F.max``, ``F.stddev_pop``, ...)."""
 
     name: str
-    func: str
+    func: str | Callable[[str], Column]
     field: str = S.TX_AMOUNT
     n_days: int = 1
     shift_days: int = 0
 
     def __post_init__(self) -> None:
-        if self.func not in SUPPORTED:
+        if not callable(self.func) and self.func not in SUPPORTED:
             raise ValueError(f"func must be one of {SUPPORTED}, got {self.func!r}")
         if self.n_days < 0 or self.shift_days < 0:
             raise ValueError("n_days and shift_days must be >= 0")
@@ -87,6 +98,16 @@ def _with_seconds(df: DataFrame, time_col: str, seconds_col: str | None) -> tupl
     return df.withColumn(name, epoch_seconds_of(df, time_col)), name, True
 
 
+def attach(df: DataFrame, features: DataFrame, entity: str, sec: str) -> DataFrame:
+    """``df`` with the columns of ``features`` (one row per entity and second).
+
+    Null entities match each other. That table grows with the data, so it is
+    never broadcast."""
+    keyed = features.withColumnsRenamed({entity: "_entity", sec: "_second"}).hint("merge")
+    same = F.col(entity).eqNullSafe(F.col("_entity")) & F.col(sec).eqNullSafe(F.col("_second"))
+    return df.join(keyed, same, "left").drop("_entity", "_second")
+
+
 def trailing_aggregates(
     df: DataFrame,
     entity: str,
@@ -94,7 +115,7 @@ def trailing_aggregates(
     time_col: str = S.TX_DATETIME,
     strategy: str = "block",
     seconds_col: str | None = None,
-    scale: int = 2,
+    scale: int = DEFAULT_SCALE,
     block_factor: int = 2,
 ) -> DataFrame:
     """Append one column per spec to ``df``; row count and order-free content kept."""
@@ -104,10 +125,13 @@ def trailing_aggregates(
     if strategy == "sliding":
         out = _sliding(df, entity, specs, sec, scale)
     elif strategy == "block":
-        # A left join keeps every input row (rows with a NULL entity get NULLs).
-        features = per_second_features(df, entity, specs, sec, scale, block_factor)
-        # One row per (entity, second): grows with the data, never broadcast.
-        out = df.join(features.hint("merge"), on=[entity, sec], how="left")
+        out = df
+        named = [spec for spec in specs if not callable(spec.func)]
+        if named:
+            out = attach(out, per_second_features(df, entity, named, sec, scale, block_factor), entity, sec)
+        if len(named) < len(specs):
+            out = _row_blocks(out, entity, [spec for spec in specs if callable(spec.func)], sec, block_factor)
+        out = out.select(*df.columns, *[spec.name for spec in specs])
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.drop(sec) if added else out
@@ -121,6 +145,9 @@ def _sliding(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, sc
     cols = []
     for spec in specs:
         w = base.rangeBetween(-spec.lower_offset, -spec.upper_offset)
+        if callable(spec.func):
+            cols.append(spec.func(spec.field).over(w).alias(spec.name))
+            continue
         dtype = df.schema[spec.field].dataType
         cnt = F.count(spec.field).over(w)
         if spec.func == "count":
@@ -139,12 +166,35 @@ def _sliding(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, sc
 # --------------------------------------------------------------------------- block
 
 
+def _blocked(df: DataFrame, specs: Sequence[FrameAgg], sec: str, block_factor: int) -> DataFrame:
+    """``df`` cut into blocks of ``L`` seconds (``_blk``); a row within one
+    lookback of the next block's start is copied into it (``_copy`` = 1)."""
+    lookback = max(spec.lower_offset for spec in specs) + 1
+    length = max(block_factor, 2) * lookback
+    start = F.col(sec) - F.pmod(F.col(sec), F.lit(length))
+    block = F.expr(f"({sec} - pmod({sec}, {length})) div {length}")
+    tail = F.col(sec) >= start + F.lit(length - lookback)
+    copies = F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.select("*", block.alias("_blk0"), F.explode(copies).alias("_copy")).withColumn(
+        "_blk", F.col("_blk0") + F.col("_copy")
+    )
+
+
+def _row_blocks(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, block_factor: int) -> DataFrame:
+    """Any aggregate over the rows of a block and of the lookback before it."""
+    w = Window.partitionBy(entity, "_blk").orderBy(sec)
+    frames = [spec.func(spec.field).over(w.rangeBetween(-spec.lower_offset, -spec.upper_offset)) for spec in specs]
+    blocked = _blocked(df, specs, sec, block_factor)
+    out = blocked.select(*df.columns, "_copy", *[f.alias(spec.name) for f, spec in zip(frames, specs)])
+    return out.where(F.col("_copy") == 0).drop("_copy")
+
+
 def per_second_features(
     df: DataFrame,
     entity: str,
     specs: Sequence[FrameAgg],
     sec: str,
-    scale: int = 2,
+    scale: int = DEFAULT_SCALE,
     block_factor: int = 2,
 ) -> DataFrame:
     """One row per (entity, second) of ``df`` carrying every spec's frame value.
@@ -165,16 +215,8 @@ def per_second_features(
             aggs.append(F.sum(to_fixed(field, dtype, scale)).alias(f"_s{i}"))
     per_second = df.groupBy(entity, sec).agg(*aggs)
 
-    # 2. blocks of L seconds, each row copied into the next block when it lies
-    #    within one lookback of that block's start.
-    lookback = max(spec.lower_offset for spec in specs) + 1
-    length = max(block_factor, 2) * lookback
-    start = F.col(sec) - F.pmod(F.col(sec), F.lit(length))
-    block = F.expr(f"({sec} - pmod({sec}, {length})) div {length}")
-    tail = F.col(sec) >= start + F.lit(length - lookback)
-    copies = F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    blocked = per_second.select("*", block.alias("_blk0"), F.explode(copies).alias("_copy"))
-    blocked = blocked.withColumn("_blk", F.col("_blk0") + F.col("_copy"))
+    # 2. blocks of seconds
+    blocked = _blocked(per_second, specs, sec, block_factor)
 
     # 3. frames as differences of running prefix sums.
     w = Window.partitionBy(entity, "_blk").orderBy(sec)
@@ -205,44 +247,7 @@ def per_second_features(
     return blocked.select(entity, sec, "_copy", *out_cols).where(F.col("_copy") == 0).drop("_copy")
 
 
-# --------------------------------------------------------------------------- W1 generic
-
-_BY_NAME = {"count": "count", "sum": "sum", "avg": "avg", "mean": "avg"}
-
-
-def partition_window(
-    df: DataFrame,
-    col_name: str,
-    partition_by: str = S.CUSTOMER_ID,
-    n_days: int = 1,
-    func: Callable[[str], Column] | str = "count",
-    shift: int = 0,
-    analysis_field: str = S.TX_AMOUNT,
-    time_col: str = S.TX_DATETIME,
-    strategy: str = "auto",
-) -> DataFrame:
-    """The generic trailing window: ``func(analysis_field)`` over the shifted frame.
-
-    ``func`` is a built-in aggregate (``F.count``, ``F.sum``, ``F.mean``, ``F.max``
-    ...) or its name. count/sum/avg run on the skew-safe block strategy; any
-    other aggregate runs the sliding form.
-    """
-    fname = func if isinstance(func, str) else getattr(func, "__name__", "")
-    kind = _BY_NAME.get(fname)
-    if kind is not None and strategy in ("auto", "block", "sliding"):
-        spec = FrameAgg(col_name, kind, analysis_field, n_days, shift)
-        return trailing_aggregates(
-            df, partition_by, [spec], time_col, "sliding" if strategy == "sliding" else "block"
-        )
-    if isinstance(func, str):
-        func = getattr(F, func)
-    sec = epoch_seconds_of(df, time_col)
-    w = (
-        Window.partitionBy(partition_by)
-        .orderBy(sec)
-        .rangeBetween(-(n_days + shift) * SECONDS_PER_DAY, -shift * SECONDS_PER_DAY)
-    )
-    return df.withColumn(col_name, func(analysis_field).over(w))
+# --------------------------------------------------------------------------- fraud risk
 
 
 def fraud_risk(

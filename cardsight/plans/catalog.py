@@ -134,6 +134,38 @@ def q_features_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return feat.build_features(load_transactions(spark, sf), strategy="sliding")
 
 
+def _odd_windows(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
+    tx = load_transactions(spark, sf)
+    mills = F.round(F.col(S.TX_AMOUNT) * 100).cast("long") * 10 + F.col(S.TRANSACTION_ID) % 10
+    odd = tx.withColumns(
+        {
+            S.TERMINAL_ID: F.when(F.col(S.TERMINAL_ID) % 7 != 0, F.col(S.TERMINAL_ID)),
+            S.TX_AMOUNT: mills.cast("double") / 1000.0,
+        }
+    )
+    specs = [
+        win.FrameAgg("n_7_day", "count", S.TX_AMOUNT, 7),
+        win.FrameAgg("avg_7_day", "avg", S.TX_AMOUNT, 7),
+        win.FrameAgg("max_7_day", F.max, S.TX_AMOUNT, 7),
+        win.FrameAgg("TERMINAL_FRAUD_RISK_30_DAY", "risk", S.TX_FRAUD, 30, S.RISK_DELAY_DAYS),
+    ]
+    out = win.trailing_aggregates(odd, S.TERMINAL_ID, specs, strategy=strategy)
+    terminal = F.coalesce(S.TERMINAL_ID, F.lit(-1)).alias(S.TERMINAL_ID)
+    return out.select(S.TRANSACTION_ID, terminal, *[s.name for s in specs])
+
+
+@register("w1_unknown_terminals_block", Q.sql_odd_windows())
+def q_odd_block(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without terminal and three-decimal amounts, any aggregate, by blocks."""
+    return _odd_windows(spark, sf, "block")
+
+
+@register("w1_unknown_terminals_sliding", Q.sql_odd_windows())
+def q_odd_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the direct sliding form."""
+    return _odd_windows(spark, sf, "sliding")
+
+
 @register("w1_orders_day_ties", Q.sql_orders_customer_windows())
 def q_orders_ties(spark: SparkSession, sf: str) -> DataFrame:
     """Customer windows over ``orders``: every timestamp at midnight, so frame edges tie exactly."""

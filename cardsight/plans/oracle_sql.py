@@ -134,3 +134,21 @@ def sql_orders_customer_windows() -> str:
         f"CAST(round(TX_AMOUNT * 100) AS BIGINT) AS cents FROM tx) "
         f"SELECT TRANSACTION_ID, CUSTOMER_ID, TX_TIME_DAYS, {counts}, {avgs} FROM base"
     )
+
+
+# Every seventh terminal unknown, amounts with three decimals.
+ODD_TX_CTE = f"""odd AS (SELECT TRANSACTION_ID, TX_DATETIME, CUSTOMER_ID,
+    CASE WHEN TERMINAL_ID % 7 = 0 THEN NULL ELSE TERMINAL_ID END AS TERMINAL_ID,
+    (CAST(round(TX_AMOUNT * 100) AS BIGINT) * 10 + TRANSACTION_ID % 10) / 1000.0 AS TX_AMOUNT, TX_FRAUD,
+    CAST(round(TX_AMOUNT * 100) AS BIGINT) * 10 + TRANSACTION_ID % 10 AS mills,
+    epoch_us(TX_DATETIME) // 1000000 AS sec FROM tx)"""
+
+
+def sql_odd_windows() -> str:
+    """Exact averages and risks over unknown terminals and three-decimal amounts."""
+    w = frame("TERMINAL_ID", 7)
+    return (
+        f"WITH {TX_CTE}, {ODD_TX_CTE} SELECT TRANSACTION_ID, coalesce(TERMINAL_ID, -1) AS TERMINAL_ID, count(TX_AMOUNT) OVER {w} AS n_7_day, "
+        f"CAST(sum(mills) OVER {w} AS DOUBLE) / 1000.0 / NULLIF(count(TX_AMOUNT) OVER {w}, 0) AS avg_7_day, "
+        f"max(TX_AMOUNT) OVER {w} AS max_7_day, {terminal_risk(30)} FROM odd"
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cardsight import schema as S
@@ -11,9 +13,10 @@ from cardsight.operators import windows as win
 from cardsight.plans import oracle_sql as Q
 from cardsight.plans.catalog import register
 from cardsight.session import materialize
-from cardsight.sources.transactions import load_transactions
+from cardsight.sources.transactions import EVENTS_DAY_ORIGIN, load_transactions
 
 START = "2024-01-01"
+ORIGIN = dt.date.fromisoformat(EVENTS_DAY_ORIGIN)
 SPLIT_COLS = [S.TRANSACTION_ID, S.CUSTOMER_ID, S.TX_TIME_DAYS, S.TX_FRAUD]
 _COLS = ", ".join(SPLIT_COLS)
 
@@ -45,33 +48,32 @@ def _test_sql(src: str, start: str, t: int, d: int, n: int, p: str = "") -> str:
 
 @register("d2_split_train", f"WITH {Q.TX_CTE} SELECT {_COLS} FROM ({_train_sql(START, 7)})")
 def q_split_train(spark: SparkSession, sf: str) -> DataFrame:
-    train, _ = sp.prequential_split(load_transactions(spark, sf), START, 7, 7, 7)
+    train, _ = sp.prequential_split(load_transactions(spark, sf), START, 7, 7, 7, ORIGIN)
     return train.select(*SPLIT_COLS)
 
 
 @register("d2_split_test", f"WITH {Q.TX_CTE}, {_test_sql('tx', START, 7, 7, 7)} SELECT {_COLS} FROM test")
 def q_split_test(spark: SparkSession, sf: str) -> DataFrame:
-    _, test = sp.prequential_split(load_transactions(spark, sf), START, 7, 7, 7)
+    _, test = sp.prequential_split(load_transactions(spark, sf), START, 7, 7, 7, ORIGIN)
     return test.select(*SPLIT_COLS)
 
 
 @register("d2_split_test_14_7_7", f"WITH {Q.TX_CTE}, {_test_sql('tx', START, 14, 7, 7)} SELECT {_COLS} FROM test")
 def q_split_test_14(spark: SparkSession, sf: str) -> DataFrame:
-    _, test = sp.prequential_split(load_transactions(spark, sf), START, 14, 7, 7)
+    _, test = sp.prequential_split(load_transactions(spark, sf), START, 14, 7, 7, ORIGIN)
     return test.select(*SPLIT_COLS)
 
 
 @register("d2_split_test_delay1", f"WITH {Q.TX_CTE}, {_test_sql('tx', START, 7, 1, 7)} SELECT {_COLS} FROM test")
 def q_split_test_delay1(spark: SparkSession, sf: str) -> DataFrame:
-    _, test = sp.prequential_split(load_transactions(spark, sf), START, 7, 1, 7)
+    _, test = sp.prequential_split(load_transactions(spark, sf), START, 7, 1, 7, ORIGIN)
     return test.select(*SPLIT_COLS)
 
 
 @register("j2_day_loop_split_test", f"WITH {Q.TX_CTE}, {_test_sql('tx', START, 7, 1, 7)} SELECT {_COLS} FROM test")
 def q_day_loop(spark: SparkSession, sf: str) -> DataFrame:
-    """The day-by-day anti-join/union form (delay 1); must equal ``d2_split_test_delay1``."""
-    _, test = sp.split_day_loop(load_transactions(spark, sf), START, 7, 1, 7)
-    return test.select(*SPLIT_COLS)
+    """The test rows (delay 1) by set operations; must equal ``d2_split_test_delay1``."""
+    return sp.rows_in_parts(load_transactions(spark, sf), START, 7, 1, 7, ORIGIN).select(*SPLIT_COLS)
 
 
 @register(
@@ -100,7 +102,7 @@ def q_three_way(spark: SparkSession, sf: str) -> DataFrame:
     """Outer split with 21 training days, inner split of those with 7; trimmed to features + label."""
     # Materialised once: the split reads the feature table several times.
     features = materialize(feat.build_features(load_transactions(spark, sf)))
-    train, validate, test = sp.three_way_split(features, START, 21, 7, 7, 7)
+    train, validate, test = sp.three_way_split(features, START, 21, 7, 7, 7, ORIGIN)
     return sp.labelled_union(
         {"train": sp.field_trim(train), "validate": sp.field_trim(validate), "test": sp.field_trim(test)}
     )
@@ -127,7 +129,7 @@ def q_sorted_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Training rows sorted by id and written as CSV (header, no index column), then re-read."""
     from cardsight.sources import files
 
-    train, _ = sp.prequential_split(load_transactions(spark, sf), START, 7, 7, 7)
+    train, _ = sp.prequential_split(load_transactions(spark, sf), START, 7, 7, 7, ORIGIN)
     path = files.write_csv(train.select(*SPLIT_COLS).orderBy(S.TRANSACTION_ID), spark, "train_csv")
     return files.read_csv(spark, path, train.select(*SPLIT_COLS).schema)
 
@@ -175,7 +177,7 @@ def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from cardsight.sources import files
 
     features = materialize(feat.build_features(load_transactions(spark, sf)))
-    parts = dict(zip(("train", "validate", "test"), sp.three_way_split(features, START, 21, 7, 7, 7)))
+    parts = dict(zip(("train", "validate", "test"), sp.three_way_split(features, START, 21, 7, 7, 7, ORIGIN)))
     back = {}
     for name, part in parts.items():
         trimmed = sp.field_trim(part)

@@ -80,14 +80,3 @@ ORDERS_SCHEMA = T.StructType(
         T.StructField("o_orderpriority", T.StringType(), True),
     ]
 )
-
-# Scored rows: the input of every evaluation operator.
-SCORED_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.LongType(), False),
-        T.StructField("label", T.IntegerType(), True),
-        T.StructField("score", T.DoubleType(), True),
-        T.StructField("prediction", T.IntegerType(), True),
-        T.StructField("dataset", T.StringType(), True),
-    ]
-)

@@ -17,14 +17,14 @@ def _frame(spark, rows, vtype):
     return spark.createDataFrame(rows, schema)
 
 
-@pytest.mark.parametrize("final_max", [3, 50, 10_000])
-def test_kth_smallest_integral_matches_sort(spark, final_max):
+@pytest.mark.parametrize("num_buckets", [4, 4096])
+def test_kth_smallest_integral_matches_sort(spark, num_buckets):
     rnd = random.Random(7)
     rows = [(i % 3, rnd.randrange(-(2**61), 2**61), i) for i in range(600)]
     rows += [(0, 5, 1000 + i) for i in range(40)]  # a heavy tie
     df = _frame(spark, rows, T.LongType())
     targets = [(0, 1), (0, 100), (0, 230), (1, 77), (2, 200), (2, 1), (1, 500)]
-    got = kth_smallest(df, "g", "v", "id", targets, num_buckets=4, final_max=final_max)
+    got = kth_smallest(df, "g", "v", "id", targets, num_buckets=num_buckets)
     for g, k in targets:
         pairs = sorted((v, i) for gg, v, i in rows if gg == g)
         if k <= len(pairs):
@@ -38,12 +38,22 @@ def test_kth_smallest_double_with_ties(spark):
     rows = [(0, round(rnd.random(), 3), i) for i in range(500)]
     df = _frame(spark, rows, T.DoubleType())
     targets = [(0, k) for k in (1, 17, 250, 499, 500)]
-    got = kth_smallest(df, "g", "v", "id", targets, num_buckets=5, final_max=4)
+    got = kth_smallest(df, "g", "v", "id", targets, num_buckets=5)
     pairs = sorted((v, i) for _, v, i in rows)
     for _, k in targets:
         assert got[(0, k)] == pairs[k - 1]
 
 
+def test_nan_and_null_are_ignored_and_infinity_refused(spark):
+    rows = [(0, float(i % 9), i) for i in range(200)] + [(0, float("nan"), 300), (0, None, 301)]
+    df = _frame(spark, rows, T.DoubleType())
+    pairs = sorted((v, i) for _, v, i in rows[:200])
+    got = kth_smallest(df, "g", "v", "id", [(0, 1), (0, 200), (0, 201)], num_buckets=4)
+    assert got == {(0, 1): pairs[0], (0, 200): pairs[-1]}
+    with pytest.raises(ValueError):
+        kth_smallest(_frame(spark, [(0, float("inf"), 1), (0, 1.0, 2)], T.DoubleType()), "g", "v", "id", [(0, 1)])
+
+
 def test_sample_per_class_is_first_k_by_seeded_order(spark):
     rows = [(i, 1 if i % 10 == 0 else 0) for i in range(1000)]
     df = spark.createDataFrame(rows, "TRANSACTION_ID long, TX_FRAUD int")

@@ -143,9 +143,45 @@ def test_block_plan_has_no_cartesian_and_pruned_aggregation_scan(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
 
 
-def test_generic_window_accepts_any_aggregate(spark):
-    rows = [(T0 + dt.timedelta(hours=h), 1, 1, float(h), 0) for h in range(5)]
-    out = win.partition_window(_tx(spark, rows), "mx", S.CUSTOMER_ID, 1, F.max, 0, S.TX_AMOUNT)
-    assert _by_id(out, "mx") == {i: float(i) for i in range(5)}
-    out = win.partition_window(_tx(spark, rows), "n", S.CUSTOMER_ID, 1, F.count, 0, S.TX_AMOUNT)
-    assert _by_id(out, "n") == {i: i + 1 for i in range(5)}
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_any_aggregate_through_the_same_entry(spark, strategy):
+    rnd = random.Random(3)
+    rows = [(T0 + dt.timedelta(seconds=rnd.randrange(0, 40 * 86400)), rnd.choice([1, 1, 2, None]), 1, float(rnd.randrange(90)), 0)
+            for _ in range(200)]
+    specs = [
+        win.FrameAgg("mx", F.max, S.TX_AMOUNT, 2),
+        win.FrameAgg("n", "count", S.TX_AMOUNT, 1, 3),
+        win.FrameAgg("mn", F.min, S.TX_AMOUNT, 1, 3),
+    ]
+    out = win.trailing_aggregates(_tx(spark, rows), S.CUSTOMER_ID, specs, strategy=strategy)
+    assert out.columns[-3:] == ["mx", "n", "mn"]
+    for r in out.collect():
+        ts, customer = r[S.TX_DATETIME], r[S.CUSTOMER_ID]
+        day = dt.timedelta(days=1)
+        near = [x[3] for x in rows if x[1] == customer and ts - 2 * day <= x[0] <= ts]
+        late = [x[3] for x in rows if x[1] == customer and ts - 4 * day <= x[0] <= ts - 3 * day]
+        assert (r["mx"], r["n"], r["mn"]) == (max(near), len(late), min(late) if late else None)
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_rows_without_entity_are_one_entity(spark, strategy):
+    rows = [(T0, 1, None, 10.0, 1), (T0 + dt.timedelta(hours=1), 2, None, 20.0, 0), (T0, 3, 4, 1.0, 0)]
+    specs = [win.FrameAgg("c", "count", S.TX_AMOUNT, 1), win.FrameAgg("r", "risk", S.TX_FRAUD, 1, 7)]
+    out = win.trailing_aggregates(_tx(spark, rows), S.TERMINAL_ID, specs, strategy=strategy)
+    assert {r[S.TRANSACTION_ID]: (r["c"], r["r"]) for r in out.collect()} == {0: (1, 0.0), 1: (2, 0.0), 2: (1, 0.0)}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_values_are_not_rounded(spark, strategy):
+    rows = [(T0 + dt.timedelta(minutes=i), 1, 1, a, 0) for i, a in enumerate([1.005, 0.004, 0.004])]
+    spec = win.FrameAgg("a", "avg", S.TX_AMOUNT, 1)
+    got = _by_id(win.trailing_aggregates(_tx(spark, rows), S.CUSTOMER_ID, [spec], strategy=strategy), "a")
+    assert got == {0: 1.005, 1: 1.009 / 2, 2: 1.013 / 3}
+
+
+def test_a_value_beyond_the_scale_raises(spark):
+    rows = [(T0, 1, 1, 1.00000001, 0)]
+    spec = win.FrameAgg("a", "avg", S.TX_AMOUNT, 1)
+    with pytest.raises(Exception, match="needs more than 6 decimals"):
+        win.trailing_aggregates(_tx(spark, rows), S.CUSTOMER_ID, [spec]).collect()
+    assert _by_id(win.trailing_aggregates(_tx(spark, rows), S.CUSTOMER_ID, [spec], scale=8), "a") == {0: 1.00000001}
