@@ -11,6 +11,7 @@ loops over (model, fold) or trials.
 
 from __future__ import annotations
 
+import json
 import math
 import random
 import threading
@@ -19,18 +20,23 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
+    MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     NaiveBayes,
+    NaiveBayesModel,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsight import schema as S
@@ -77,6 +83,16 @@ def make_estimator(kind: str, params: dict | None = None, n_features: int = len(
     raise ValueError(f"unknown estimator {kind!r}")
 
 
+MODEL_CLASSES = {
+    "gbt": GBTClassificationModel,
+    "logistic": LogisticRegressionModel,
+    "random_forest": RandomForestClassificationModel,
+    "decision_tree": DecisionTreeClassificationModel,
+    "naive_bayes": NaiveBayesModel,
+    "mlp": MultilayerPerceptronClassificationModel,
+}
+
+
 # --------------------------------------------------------------------------- balanced pipeline
 
 
@@ -91,7 +107,8 @@ def assemble(df: DataFrame, features: Sequence[str], label: str | None = S.LABEL
 
 @dataclass
 class BalancedModel:
-    """Scaler statistics plus a fitted Spark model; ``transform`` scores rows."""
+    """Scaler statistics plus a fitted Spark model; ``transform`` scores raw
+    feature rows, and a saved model does so after ``load_model``."""
 
     kind: str
     features: list[str]
@@ -107,11 +124,47 @@ class BalancedModel:
             scored = scored.withColumn("score", vector_to_array("probability")[1])
         return scored.withColumn("prediction", F.col("prediction").cast("int"))
 
+    def save(self, path: str) -> None:
+        """Scaler, settings and fitted model in one folder."""
+        spark = SparkSession.active()
+        about = {"kind": self.kind, "features": self.features, "stats": self.stats, "params": self.params}
+        spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.parquet(f"{path}/about")
+        if self.kind == "knn":
+            self.model.training.write.parquet(f"{path}/model")
+        else:
+            self.model.save(f"{path}/model")
 
-def fit_balanced(
+
+def load_model(spark: SparkSession, path: str) -> BalancedModel:
+    """A model saved by ``BalancedModel.save``, ready to score raw feature rows."""
+    about = json.loads(spark.read.schema("about string").parquet(f"{path}/about").first()["about"])
+    stats = {c: tuple(v) for c, v in about["stats"].items()}
+    kind = about["kind"]
+    if kind == "knn":
+        from cardsight.operators.neighbors import KnnModel
+
+        model = KnnModel.of(spark.read.parquet(f"{path}/model"), about["features"], int(about["params"].get("k", 5)))
+    else:
+        model = MODEL_CLASSES[kind].load(f"{path}/model")
+    return BalancedModel(kind, about["features"], stats, model, about["params"])
+
+
+#: Rows of a partition of the training set: layout follows the data, not the cluster.
+PARTITION_ROWS = 50_000
+
+
+@dataclass
+class TrainingSet:
+    """Rebalanced training rows, materialised once and shared by any number of fits."""
+
+    rows: DataFrame
+    features: list[str]
+    stats: dict
+    id_col: str
+
+
+def balance(
     train: DataFrame,
-    kind: str = "gbt",
-    params: dict | None = None,
     features: Sequence[str] = S.FEATURE_COLUMNS,
     label: str = S.LABEL_COLUMN,
     id_col: str = S.TRANSACTION_ID,
@@ -119,44 +172,52 @@ def fit_balanced(
     undersample: float | None = 1.0,
     k_neighbors: int = 5,
     seed: int = SEED,
-) -> BalancedModel:
-    """scale -> SMOTE(oversample) -> undersample(ratio) -> estimator, resampling in fit only."""
+) -> TrainingSet:
+    """scale -> SMOTE(oversample) -> undersample(ratio). With a fixed seed the
+    rows depend on nothing else, so a fold or a study needs them once."""
     features = list(features)
     # Cut the lineage once: every statistic, sample and neighbour pass below
     # reads these materialised rows instead of re-running the feature plan.
     train = materialize(train.select(id_col, *features, label))
     stats = smp.fit_scaler(train, features)
     rows = smp.apply_scaler(train, stats)
-    if oversample:
-        from cardsight.operators.neighbors import smote
-
     # Class counts once; SMOTE's effect on them is known exactly.
     counts = smp.class_count_map(train, label)
     if oversample:
+        from cardsight.operators.neighbors import smote
+
         # Materialised: the undersampler's histogram rounds read these rows
         # several times, and each read would otherwise re-run the kNN plan.
         rows = materialize(
             smote(rows, features, label, id_col, ratio=oversample, k=k_neighbors, seed=seed, counts=counts)
         )
-        n_min, n_maj = counts.get(1, 0), max((n for c, n in counts.items() if c != 1), default=0)
-        if n_min >= 2:
-            counts = {**counts, 1: n_min + int(oversample * n_maj - n_min)}
+        n_maj = max((n for c, n in counts.items() if c != 1), default=0)
+        counts = {**counts, 1: max(counts.get(1, 0), int(oversample * n_maj))}
     if undersample:
         rows = smp.undersample(rows, label, id_col, ratio=undersample, seed=seed, counts=counts)
-    # The estimator iterates over its input: give it materialised rows.
-    # Sized to the cluster's cores: every boosting round or optimizer step is
-    # a job over these partitions, so one full wave per job.
-    slots = train.sparkSession.sparkContext.defaultParallelism
-    assembled = (
-        materialize(assemble(rows, features, label).repartition(slots)).persist(StorageLevel.MEMORY_AND_DISK)
-    )
+        counts = {c: min(n, int(min(counts.values()) / undersample)) for c, n in counts.items()}
+    partitions = max(1, -(-sum(counts.values()) // PARTITION_ROWS))
+    return TrainingSet(materialize(assemble(rows, features, label).repartition(partitions)), features, stats, id_col)
+
+
+def fit_on(training: TrainingSet, kind: str = "gbt", params: dict | None = None, seed: int = SEED) -> BalancedModel:
+    """Fit one estimator on a rebalanced training set."""
+    params = dict(params or {})
     if kind == "knn":
         from cardsight.operators.neighbors import KnnModel
 
-        model = KnnModel(assembled.select(id_col, *features, "label"), features, id_col, k=int((params or {}).get("k", 5)))
+        rows = training.rows.select(training.id_col, *training.features, "label")
+        model = KnnModel(rows, training.features, training.id_col, k=int(params.get("k", 5)))
     else:
-        model = make_estimator(kind, params, len(features), seed).fit(assembled)
-    return BalancedModel(kind, features, stats, model, dict(params or {}), assembled)
+        model = make_estimator(kind, params, len(training.features), seed).fit(training.rows)
+    return BalancedModel(kind, training.features, training.stats, model, params, training.rows)
+
+
+def fit_balanced(
+    train: DataFrame, kind: str = "gbt", params: dict | None = None, seed: int = SEED, **settings
+) -> BalancedModel:
+    """``balance`` then ``fit_on``, for a single fit; resampling in fit only."""
+    return fit_on(balance(train, seed=seed, **settings), kind, params, seed)
 
 
 def score(model: BalancedModel, df: DataFrame, label: str = S.LABEL_COLUMN, id_col: str = S.TRANSACTION_ID) -> DataFrame:
@@ -189,7 +250,7 @@ def compete(
     study: str | None = None,
     root: str | None = None,
     parallelism: int = 4,
-    **balance,
+    **settings,
 ) -> DataFrame:
     """Cross-validated fold scores: one row per (model, fold) with fit/score
     time and accuracy, F1, recall, precision and ROC AUC on the held-out fold.
@@ -199,20 +260,25 @@ def compete(
     skipped on a rerun, so an interrupted competition resumes."""
     spark = train.sparkSession
     models = models or COMPETITORS
-    study = study or "competition-" + trk.dataset_profile(train, "training", "folds")["digest"]
+    digest = trk.dataset_profile(train, "training", "folds")["digest"]
+    study = f"{study or 'competition'}-{trk.key_of(digest, models, n_splits, label, seed, settings)}"
     table = trk.read_table(spark, "competition", root).where(F.col("study") == study)
     done = {(r["model_name"], r["fold"]) for r in table.select("model_name", "fold").collect()}
     todo = [(name, kind, params, fold) for name, (kind, params) in models.items()
             for fold in range(n_splits) if (name, fold) not in done]
     if todo:
         folded = materialize(smp.stratified_folds(train, n_splits, label, id_col))
+        # One rebalanced training set for each fold, shared by all its fits.
+        sets = {
+            fold: balance(folded.where(F.col("fold") != fold).drop("fold"), label=label, id_col=id_col, seed=seed, **settings)
+            for fold in sorted({t[3] for t in todo})
+        }
         lock = threading.Lock()
 
         def one(task):
             name, kind, params, fold = task
             t0 = time.time()
-            fitted = fit_balanced(folded.where(F.col("fold") != fold).drop("fold"), kind, params,
-                                  label=label, id_col=id_col, seed=seed, **balance)
+            fitted = fit_on(sets[fold], kind, params, seed)
             t1 = time.time()
             scored = score(fitted, folded.where(F.col("fold") == fold).drop("fold"), label, id_col).cache()
             m = ev.metrics_map(scored)
@@ -236,12 +302,15 @@ def compete(
 
 # --------------------------------------------------------------------------- M11: seeded random search
 
-# The tuned ranges (integers uniform, rates log-uniform).
+#: Settings of the rebalancing steps, logged with every run.
+PIPELINE_DEFAULTS = {"oversample": 0.3, "undersample": 1.0, "k_neighbors": 5}
+
+# The tuned ranges (integers uniform, rates log-uniform). Spark's
+# trees have no L2 leaf regulariser, so that range is not drawn.
 REFERENCE_SPACE = {
     "iterations": ("int", 100, 1000),
     "learning_rate": ("log", 0.001, 0.1),
     "depth": ("int", 3, 10),
-    "l2_leaf_reg": ("log", 0.1, 10.0),
 }
 
 
@@ -271,23 +340,27 @@ def random_search(
     seed: int = SEED,
     root: str | None = None,
     parallelism: int = 2,
-    **balance,
+    **settings,
 ) -> DataFrame:
     """Maximise a validation metric over ``n_trials`` seeded draws. Draws are
     independent, so ``parallelism`` driver threads run them concurrently (each
     fit is itself distributed). Finished trials of ``study`` are read from the
-    trials table and skipped, so a rerun resumes. Returns the study's trials."""
+    trials table and skipped, so a rerun resumes; the study's key covers the
+    data, the space, the seed and the settings, so nothing else resumes it. The
+    rebalanced training set is built once. Returns the study's trials."""
     spark = train.sparkSession
+    digests = [trk.dataset_profile(df, "search", "split")["digest"] for df in (train, validate)]
+    study = f"{study}-{trk.key_of(digests, space, kind, objective, seed, settings)}"
     done = {r["trial"] for r in trk.read_table(spark, "trials", root).where(F.col("study") == study).select("trial").collect()}
     todo = [t for t in range(n_trials) if t not in done]
     if todo:
-        train = materialize(train)
+        training = balance(train, seed=seed, **settings)
         validate = materialize(validate)
         lock = threading.Lock()
 
         def one(trial: int) -> None:
             params = sample_params(space, seed, trial)
-            fitted = fit_balanced(train, kind, params, seed=seed, **balance)
+            fitted = fit_on(training, kind, params, seed)
             value = ev.metrics_map(score(fitted, validate))[objective]
             with lock:  # one writer at a time into the table folder
                 trk.append(spark, "trials", [(study, trial, params, float(value))], root)
@@ -316,7 +389,7 @@ def refit_and_register(
     kind: str = "gbt",
     seed: int = SEED,
     root: str | None = None,
-    **balance,
+    **settings,
 ) -> str:
     """Fit with the chosen parameters (the seed kept), score the validation
     rows, log the run with its metrics, the training data profile and the
@@ -327,13 +400,13 @@ def refit_and_register(
     start_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     profile = trk.dataset_profile(train, "training", source, "training")
     trk.log_dataset(spark, profile, root)
-    fitted = fit_balanced(train, kind, params, seed=seed, **balance)
+    fitted = fit_balanced(train, kind, params, seed=seed, **settings)
     metrics = ev.metrics_map(score(fitted, validate))
     run_id = trk.log_run(
-        spark, run_name, {**params, "seed": seed, "kind": kind}, metrics, profile["digest"], start_ts, root=root
+        spark, run_name, {**PIPELINE_DEFAULTS, **settings, **params, "seed": seed, "kind": kind}, metrics,
+        profile["digest"], start_ts, root=root
     )
-    if hasattr(fitted.model, "write"):
-        trk.register_model(spark, fitted.model, model_name, run_id, root)
+    trk.register_model(spark, fitted, model_name, run_id, root)
     curve = training_curve(fitted)
     if curve:
         trk.log_curve(spark, run_id, "logistic_loss", curve, root)

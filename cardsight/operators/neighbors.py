@@ -27,19 +27,22 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardsight import schema as S
 from cardsight.functions.hashing import seeded_int, seeded_uniform
 from cardsight.operators import sampling as smp
-from cardsight.session import materialize
+from cardsight.session import materialize, ship_package
 
 SLACK = 1e-9
+#: Doubles of a distance block, and rows of a piece of candidates, held by a task.
+BLOCK_DOUBLES = 4_000_000
+PIECE_ROWS = 50_000
 
 
-def _dist(X: np.ndarray, Y: np.ndarray, budget: int = 4_000_000) -> np.ndarray:
+def _dist(X: np.ndarray, Y: np.ndarray, budget: int = BLOCK_DOUBLES) -> np.ndarray:
     """Exact pairwise Euclidean distances, ``len(X) x len(Y)``, in row blocks
     whose difference tensor holds at most ``budget`` doubles (~32 MB)."""
     out = np.empty((len(X), len(Y)))
@@ -60,6 +63,24 @@ def _pivots(reference: DataFrame, features: list[str], id_col: str, n_ref: int,
     return np.array([[float(r[c]) for c in features] for r in rows])
 
 
+def _points(df: DataFrame, features: list[str], id_col: str) -> DataFrame:
+    """``_id`` and the features as doubles; a NULL or NaN feature has no distance and raises an error."""
+
+    def sound(c: str) -> Column:
+        x = F.col(c).cast("double")
+        message = F.concat(F.lit(f"feature {c} has no value in row "), F.coalesce(F.col(id_col).cast("string"), F.lit("?")))
+        return F.when(x.isNull() | F.isnan(x), F.raise_error(message).cast("double")).otherwise(x).alias(c)
+
+    return df.select(F.col(id_col).alias("_id"), *[sound(c) for c in features])
+
+
+def _batches(pdf: pd.DataFrame, width: int):
+    """Slices whose distances to ``width`` points stay within ``BLOCK_DOUBLES``."""
+    rows = max(1, BLOCK_DOUBLES // max(1, width))
+    for at in range(0, len(pdf), rows):
+        yield pdf.iloc[at : at + rows]
+
+
 def knn_join(
     queries: DataFrame,
     reference: DataFrame,
@@ -80,8 +101,9 @@ def knn_join(
     only sizes the pivot set."""
     features = list(features)
     spark = queries.sparkSession
-    q = queries.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in features])
-    r = reference.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(c) for c in features])
+    ship_package(spark)
+    q = _points(queries, features, id_col)
+    r = _points(reference, features, id_col)
     n_ref = r.count() if n_ref is None else n_ref
     if n_ref == 0:
         return spark.createDataFrame([], "q_id long, rank int, r_id long, distance double")
@@ -94,12 +116,12 @@ def knn_join(
     # 2. per query: cell, distance to its pivot, theta.
     def assign(batches):
         pv = piv_b.value
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in _batches(batch, n_piv)):
             X = pdf[features].to_numpy(float)
             D = _dist(X, pv)
             cell = D.argmin(axis=1)
             own = D[np.arange(len(X)), cell]
-            theta = np.sort(D, axis=1)[:, kk - 1] if n_piv >= kk else np.full(len(X), np.inf)
+            theta = np.partition(D, kk - 1, axis=1)[:, kk - 1] if n_piv >= kk else np.full(len(X), np.inf)
             out = pdf.copy()
             out["_cell"] = cell.astype("int32")
             out["_own"] = own
@@ -113,7 +135,8 @@ def knn_join(
         + [T.StructField("_cell", T.IntegerType()), T.StructField("_own", T.DoubleType()),
            T.StructField("_theta", T.DoubleType())]
     )
-    assigned = q.mapInPandas(assign, assign_schema)
+    # Read for the cells' bounds and again for the chunks: materialised once.
+    assigned = materialize(q.mapInPandas(assign, assign_schema))
     cells = {
         row["_cell"]: (row["n"], row["u"], row["t"])
         for row in assigned.groupBy("_cell")
@@ -131,16 +154,17 @@ def knn_join(
     # 3. candidates: each reference row goes to the cells it can serve.
     def candidates(batches):
         pv, rad = piv_b.value, radius_b.value
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in _batches(batch, n_piv)):
             X = pdf[features].to_numpy(float)
             D = _dist(X, pv)
             hit_rows, hit_cells = np.nonzero(D <= rad[None, :])
-            out = pdf.iloc[hit_rows].copy()
-            out["_cell"] = hit_cells.astype("int32")
-            yield out
+            for at in range(0, len(hit_rows), PIECE_ROWS):
+                out = pdf.iloc[hit_rows[at : at + PIECE_ROWS]].copy()
+                out["_cell"] = hit_cells[at : at + PIECE_ROWS].astype("int32")
+                yield out
 
     cand_schema = T.StructType(r.schema.fields + [T.StructField("_cell", T.IntegerType())])
-    cand = r.mapInPandas(candidates, cand_schema)
+    cand = materialize(r.mapInPandas(candidates, cand_schema))
     cand_counts = {row["_cell"]: row["n"] for row in cand.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
     c_blocks = np.ones(n_piv, dtype=int)
     for c, n in cand_counts.items():
@@ -197,19 +221,6 @@ def knn_join(
     )
 
 
-def knn_brute_force(queries: pd.DataFrame, reference: pd.DataFrame, features, k, id_col, exclude_self=True):
-    """Reference answer for tests on small fixtures (pandas in, pandas out)."""
-    D = _dist(queries[features].to_numpy(float), reference[features].to_numpy(float))
-    qid, rid = queries[id_col].to_numpy(), reference[id_col].to_numpy()
-    if exclude_self:
-        D[qid[:, None] == rid[None, :]] = np.inf
-    rows = []
-    for i in range(len(qid)):
-        order = sorted(range(len(rid)), key=lambda j: (D[i, j], rid[j]))[:k]
-        rows += [(int(qid[i]), n + 1, int(rid[j]), float(D[i, j])) for n, j in enumerate(order) if np.isfinite(D[i, j])]
-    return pd.DataFrame(rows, columns=["q_id", "rank", "r_id", "distance"])
-
-
 # --------------------------------------------------------------------------- SMOTE
 
 
@@ -230,7 +241,8 @@ def smote(
     its k nearest minority neighbours, at a seeded uniform position in [0, 1).
     The rows are spread evenly over the minority rows (the seeded order decides
     which rows make one extra). Synthetic rows carry a NULL id. Raises when the
-    minority already exceeds the ratio.
+    minority already exceeds the ratio, when it has no more than ``k`` rows,
+    and when a feature is NULL.
     """
     features = list(features)
     counts = counts if counts is not None else smp.class_count_map(rows, label)
@@ -239,11 +251,12 @@ def smote(
     n_new = int(ratio * n_maj - n_min)
     if n_new < 0:
         raise ValueError("the minority class already exceeds the requested ratio")
-    if n_new == 0 or n_min < 2:
+    if n_new == 0:
         return rows
-    kk = min(k, n_min - 1)
+    if n_min <= k:
+        raise ValueError(f"{n_min} minority rows do not have {k} neighbours each")
     mino = rows.where(F.col(label) == minority)
-    nn = knn_join(mino, mino, features, kk, id_col, exclude_self=True, seed=seed, n_ref=n_min)
+    nn = knn_join(mino, mino, features, k, id_col, exclude_self=True, seed=seed, n_ref=n_min)
 
     base, extra = divmod(n_new, n_min)
     copies = F.lit(base)
@@ -260,14 +273,14 @@ def smote(
     seeds = mino.where(F.col("_copies") > 0).select(
         F.col(id_col).alias("_src"), *features, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
     )
-    seeds = seeds.withColumn("_rank", (seeded_int(seed, kk, "_src", "_copy") + 1).cast("int"))
+    seeds = seeds.withColumn("_rank", (seeded_int(seed, k, "_src", "_copy") + 1).cast("int"))
     seeds = seeds.withColumn("_u", seeded_uniform(seed + 1, "_src", "_copy"))
     picked = seeds.join(
         nn.select(F.col("q_id").alias("_src"), F.col("rank").alias("_rank"), F.col("r_id").alias("_nbr")),
         on=["_src", "_rank"],
         how="inner",
     )
-    nbr = rows.select(F.col(id_col).alias("_nbr"), *[F.col(c).alias(f"_n_{c}") for c in features])
+    nbr = rows.where(F.col(label) == minority).select(F.col(id_col).alias("_nbr"), *[F.col(c).alias(f"_n_{c}") for c in features])
     joined = picked.join(nbr, on="_nbr", how="inner")
     synthetic = joined.select(
         F.lit(None).cast(rows.schema[id_col].dataType).alias(id_col),
@@ -280,6 +293,11 @@ def smote(
 # --------------------------------------------------------------------------- k-NN classifier
 
 
+def _row_number(rows: DataFrame) -> Column:
+    """A negative id from the row itself; equal synthetic rows may share it, and count as one neighbour."""
+    return -1 - F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << 62) - 1))
+
+
 class KnnModel:
     """k-NN vote: score = share of fraudulent labels among the k nearest
     training rows, prediction = score > 0.5."""
@@ -290,9 +308,17 @@ class KnnModel:
         self.id_col = id_col
         self.k = k
         self.training = materialize(
-            training.withColumn("_rid", F.coalesce(F.col(id_col), -F.monotonically_increasing_id() - 1))
+            training.withColumn("_rid", F.coalesce(F.col(id_col), _row_number(training.select(*features, "label"))))
+            .dropDuplicates(["_rid"])
         )
 
+    @classmethod
+    def of(cls, training: DataFrame, features: Sequence[str], k: int = 5, id_col: str = S.TRANSACTION_ID) -> KnnModel:
+        """A model over training rows that were saved with their ``_rid``."""
+        model = cls.__new__(cls)
+        model.features, model.id_col, model.k, model.training = list(features), id_col, k, training
+        return model
+
     def transform(self, df: DataFrame) -> DataFrame:
         ref = self.training.select(F.col("_rid").alias(self.id_col), *self.features, "label")
         nn = knn_join(df, ref, self.features, self.k, self.id_col, exclude_self=False)

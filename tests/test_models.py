@@ -71,9 +71,11 @@ def test_tracking_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(Vectors.dense([0.0]), 0.0), (Vectors.dense([1.0]), 1.0)], ["features", "label"])
     model = LogisticRegression(maxIter=5).fit(df)
     run = trk.log_run(spark, "r", {"a": 1}, {"recall": 0.5}, "d", dt.datetime(2024, 1, 1), root=root)
-    v1, _ = trk.register_model(spark, model, "m", run, root)
-    v2, path = trk.register_model(spark, model, "m", run, root)
-    assert (v1, v2) == (1, 2)
+    first = trk.register_model(spark, model, "m", run, root)
+    path = trk.register_model(spark, model, "m", run, root)
+    assert [(r["version"], r["path"]) for r in trk.model_versions(spark, root).orderBy("version").collect()] == [
+        (1, first), (2, path)
+    ]
     runs = trk.read_table(spark, "runs", root).collect()
     assert runs[0]["metrics"] == {"recall": 0.5} and runs[0]["params"]["a"] == "1"
     from pyspark.ml.classification import LogisticRegressionModel
@@ -82,3 +84,28 @@ def test_tracking_round_trip(spark, tmp_path):
     prof = trk.dataset_profile(df.select("label"), "x", "src")
     assert prof["num_rows"] == 2 and prof["num_elements"] == 2
     assert prof["digest"] == trk.dataset_profile(df.select("label").repartition(3), "x", "src")["digest"]
+
+
+def test_digest_tells_repeated_rows_apart(spark):
+    digest = lambda rows: trk.dataset_profile(spark.createDataFrame([(x,) for x in rows], "v int"), "x", "s")["digest"]
+    assert digest([1, 2]) != digest([1, 2, 9, 9]) != digest([1, 2, 9])
+    assert digest([1, 2, 9, 9]) == digest([9, 2, 1, 9])
+
+
+@pytest.mark.parametrize("kind", ["gbt", "naive_bayes", "knn"])
+def test_saved_model_scores_raw_rows(spark, splits, tmp_path, kind):
+    train, validate = splits
+    fitted = md.fit_balanced(train, kind, {"iterations": 3})
+    run = f"run-{kind}"
+    path = trk.register_model(spark, fitted, "m", run, str(tmp_path / "track"))
+    loaded = md.load_model(spark, path)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(md.score(loaded, validate)) == key(md.score(fitted, validate))
+
+
+def test_another_setting_is_another_study(spark, splits, tmp_path):
+    train, validate = splits
+    root, space = str(tmp_path / "track"), {"iterations": ("int", 2, 3)}
+    a = md.random_search(train, validate, "s", 1, space, root=root)
+    b = md.random_search(train, validate, "s", 1, space, root=root, undersample=0.5)
+    assert {r["study"] for r in a.collect()}.isdisjoint({r["study"] for r in b.collect()})

@@ -1,5 +1,10 @@
 """Exact kNN against brute force; SMOTE row counts and segment property."""
 
+import os
+import subprocess
+import sys
+import tempfile
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,6 +15,17 @@ from cardsight.operators import neighbors as nb
 FEATS = ["a", "b", "c"]
 
 
+def knn_brute_force(queries, reference, features, k, id_col, exclude_self=True):
+    """All distances, sorted (pandas in, pandas out)."""
+    x, y = queries[features].to_numpy(float), reference[features].to_numpy(float)
+    d = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+    rows = []
+    for i, q in enumerate(queries[id_col]):
+        near = sorted((d[i, j], int(r)) for j, r in enumerate(reference[id_col]) if not (exclude_self and r == q))[:k]
+        rows += [(int(q), n + 1, r, dist) for n, (dist, r) in enumerate(near)]
+    return pd.DataFrame(rows, columns=["q_id", "rank", "r_id", "distance"])
+
+
 def _points(spark, n, seed, clustered=False):
     rng = np.random.default_rng(seed)
     X = rng.normal(size=(n, 3))
@@ -25,7 +41,7 @@ def _points(spark, n, seed, clustered=False):
 def test_knn_join_is_exact(spark, clustered):
     df, pdf = _points(spark, 400, 1, clustered)
     got = nb.knn_join(df, df, FEATS, k=5, cell_target=30, max_pivots=16, chunk=37, block=53).toPandas()
-    want = nb.knn_brute_force(pdf, pdf, FEATS, 5, "TRANSACTION_ID")
+    want = knn_brute_force(pdf, pdf, FEATS, 5, "TRANSACTION_ID")
     got = got.sort_values(["q_id", "rank"]).reset_index(drop=True)
     assert (got[["q_id", "rank", "r_id"]].to_numpy() == want[["q_id", "rank", "r_id"]].to_numpy()).all()
     assert np.allclose(got["distance"], want["distance"])
@@ -37,7 +53,7 @@ def test_knn_join_other_side(spark):
     r = r.withColumn("TRANSACTION_ID", F.col("TRANSACTION_ID") + 1000)
     rp["TRANSACTION_ID"] += 1000
     got = nb.knn_join(q, r, FEATS, k=3, exclude_self=False, cell_target=20, chunk=16, block=40).toPandas()
-    want = nb.knn_brute_force(qp, rp, FEATS, 3, "TRANSACTION_ID", exclude_self=False)
+    want = knn_brute_force(qp, rp, FEATS, 3, "TRANSACTION_ID", exclude_self=False)
     got = got.sort_values(["q_id", "rank"]).reset_index(drop=True)
     assert (got[["q_id", "rank", "r_id"]].to_numpy() == want[["q_id", "rank", "r_id"]].to_numpy()).all()
 
@@ -55,7 +71,7 @@ def test_smote_counts_and_segments(spark):
     assert len(syn) == int(0.3 * n0 - n1)
     assert (syn["TX_FRAUD"] == 1).all()
     mino = pdf[pdf.TX_FRAUD == 1][FEATS].to_numpy()
-    nn = nb.knn_brute_force(pdf[pdf.TX_FRAUD == 1], pdf[pdf.TX_FRAUD == 1], FEATS, 5, "TRANSACTION_ID")
+    nn = knn_brute_force(pdf[pdf.TX_FRAUD == 1], pdf[pdf.TX_FRAUD == 1], FEATS, 5, "TRANSACTION_ID")
     pairs = {(int(a), int(b)) for a, b in zip(nn.q_id, nn.r_id)}
     ids = pdf[pdf.TX_FRAUD == 1]["TRANSACTION_ID"].to_numpy()
     for x in syn[FEATS].to_numpy():
@@ -71,3 +87,35 @@ def test_smote_counts_and_segments(spark):
         assert ok
     with pytest.raises(ValueError):
         nb.smote(df, FEATS, ratio=0.01)
+
+
+def test_features_without_value_raise(spark):
+    df, _ = _points(spark, 40, 5)
+    holed = df.withColumn("a", F.when(F.col("TRANSACTION_ID") != 7, F.col("a")))
+    with pytest.raises(Exception, match="feature a has no value in row 7"):
+        nb.knn_join(holed, holed, FEATS, k=3).collect()
+
+
+def test_smote_needs_more_rows_than_neighbours(spark):
+    df, _ = _points(spark, 60, 6)
+    rows = df.withColumn("TX_FRAUD", (F.col("TRANSACTION_ID") < 5).cast("int"))
+    with pytest.raises(ValueError, match="neighbours"):
+        nb.smote(rows, FEATS, ratio=0.5, k=5)
+
+
+def test_join_runs_where_workers_do_not_see_the_package():
+    """Started from another folder, only the driver has the package on its path."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from cardsight import get_spark
+from cardsight.operators import neighbors as nb
+spark = get_spark("local[2]", shuffle_partitions=2)
+df = spark.range(30).selectExpr("id AS TRANSACTION_ID", "CAST(id * id AS DOUBLE) AS a")
+print("rows", nb.knn_join(df, df, ["a"], k=2).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    with tempfile.TemporaryDirectory() as folder:
+        out = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=200)
+    assert "rows 60" in out.stdout, out.stderr[-2000:]
