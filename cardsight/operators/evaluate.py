@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cardsight.operators.ordered import ordered_scan
 from cardsight.operators.selection import kth_smallest
+from cardsight.session import materialize
 
 
 def _ratio0(num: Column, den: Column) -> Column:
@@ -143,10 +144,11 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score", by:
 
 def _curve_points(df, label, score, by):
     """Per distinct score: pos, neg, running cum_pos/cum_neg (descending),
-    the next score's pos/neg, and the group totals P and N."""
-    counts = score_counts(df, label, score, by)
+    the next score's pos/neg, and the group totals P and N. Counts and points
+    are materialised: the scored rows are aggregated once for a curve."""
+    counts = materialize(score_counts(df, label, score, by))
     scanned = ordered_scan(counts, score, ["pos", "neg"], ["pos", "neg"], descending=True, group_cols=by)
-    return scanned.withColumnsRenamed({"total_pos": "P", "total_neg": "N"})
+    return materialize(scanned.withColumnsRenamed({"total_pos": "P", "total_neg": "N"}))
 
 
 def roc_curve(
@@ -175,11 +177,8 @@ def roc_curve(
         (F.try_divide(F.col("cum_neg").cast("double"), F.col("N")) * 100.0).alias("fpr_pct"),
         (F.try_divide(F.col("cum_pos").cast("double"), F.col("P")) * 100.0).alias("tpr_pct"),
     )
-    origin = (
-        df.where(F.col(score).isNotNull())
-        .select(*by)
-        .distinct()
-        .select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr_pct"), F.lit(0.0).alias("tpr_pct"))
+    origin = pts.where(first).select(  # one first point in each group
+        *by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr_pct"), F.lit(0.0).alias("tpr_pct")
     )
     return curve.unionByName(origin)
 
@@ -200,17 +199,19 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Seque
     )
 
 
-def average_precision(
-    df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ("dataset",)
-) -> DataFrame:
-    """Area under the precision-recall curve as average precision:
-    ``sum_s (pos_s / P) * precision_at_s`` over distinct scores, descending."""
+def pr_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ("dataset",)) -> DataFrame:
+    """Area under the precision-recall curve: the trapezoid rule over recall,
+    from recall 0 at precision 1, and the average precision beside it."""
     by = list(by)
     pts = _curve_points(df, label, score, by)
-    term = F.col("pos").cast("double") / F.col("P") * (
-        F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg"))
+    precision = F.col("cum_pos").cast("double") / (F.col("cum_pos") + F.col("cum_neg"))
+    pos_before, neg_before = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
+    precision_before = F.coalesce(F.try_divide(pos_before.cast("double"), pos_before + neg_before), F.lit(1.0))
+    step = F.try_divide(F.col("pos").cast("double"), F.col("P"))
+    return pts.groupBy(*by).agg(
+        F.sum(step * (precision + precision_before) / 2.0).alias("pr_auc"),
+        F.sum(step * precision).alias("average_precision"),
     )
-    return pts.groupBy(*by).agg(F.sum(term).alias("pr_auc"))
 
 
 # --------------------------------------------------------------------------- E7: score distribution

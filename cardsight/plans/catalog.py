@@ -88,6 +88,16 @@ def q_flags(spark: SparkSession, sf: str) -> DataFrame:
     return feat.add_calendar_flags(tx).select(S.TRANSACTION_ID, S.TX_DATETIME, "IS_WKD", "IS_NIGHT")
 
 
+@register("f4_text_timestamps", Q.sql_text_timestamps())
+def q_text_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Timestamps that come as text, cast: the epoch second and the hour."""
+    tx = load_transactions(spark, sf)
+    text = tx.select(S.TRANSACTION_ID, F.date_format(S.TX_DATETIME, TS_FORMAT_SPARK).alias("at"))
+    return text.select(
+        S.TRANSACTION_ID, epoch_seconds_of(text, "at").alias("second"), F.hour(F.col("at").cast("timestamp_ntz")).alias("hour")
+    )
+
+
 @register("w2_customer_counts", Q.sql_customer_counts(), timestamps=(S.TX_DATETIME,))
 def q_customer_counts(spark: SparkSession, sf: str) -> DataFrame:
     tx = load_transactions(spark, sf)

@@ -7,7 +7,7 @@ evaluation); ``dataset`` is "Training" before day 21 and "Test" after.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsight import schema as S
@@ -21,6 +21,8 @@ from cardsight.sources.transactions import load_transactions
 SCORE_DIVISOR = 500.0
 TEST_FROM_DAY = 21
 RULE_DIVISORS = (250.0, 500.0, 1000.0)
+#: Decimals of floating sums that are compared across engines.
+DECIMALS = 9
 METRICS = ("test_acc", "test_f1", "test_recall", "test_precision")
 
 
@@ -155,10 +157,18 @@ def q_auc(spark: SparkSession, sf: str) -> DataFrame:
     return ev.roc_auc(_scored(spark, sf), by=["dataset"])
 
 
-@register("e6_pr_auc")
+@register(
+    "e6_pr_auc",
+    f"""{WITH_SCORED}, {CURVE_CTE}, q AS (
+      SELECT dataset, {_d('pos')} / P AS step, {_d('cp')} / (cp + cn) AS prec,
+             coalesce({_d('cp - pos')} / NULLIF(cp - pos + cn - neg, 0), 1.0) AS before FROM r)
+    SELECT dataset, round(sum(step * (prec + before) / 2.0), {DECIMALS}) AS pr_auc,
+           round(sum(step * prec), {DECIMALS}) AS average_precision FROM q GROUP BY dataset""",
+)
 def q_pr_auc(spark: SparkSession, sf: str) -> DataFrame:
-    """Average precision per dataset (a floating sum; checked in pytest)."""
-    return ev.average_precision(_scored(spark, sf), by=["dataset"])
+    """Area under the precision-recall curve per dataset (floating sums, rounded)."""
+    areas = ev.pr_auc(_scored(spark, sf), by=["dataset"])
+    return areas.select("dataset", *[F.round(c, DECIMALS).alias(c) for c in ("pr_auc", "average_precision")])
 
 
 @register(
@@ -250,12 +260,42 @@ def q_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return ev.rank_models(summary, "mean_test_f1")
 
 
-@register("a5_fold_mean_std")
+def _mean_std_sql() -> str:
+    base = _ranking_sql()
+    body = base[: base.rindex("g AS (SELECT model_name")].rstrip().rstrip(",")
+    columns = ", ".join(
+        f"round(avg({m}), {DECIMALS}) AS mean_{m}, round(stddev_pop({m}), {DECIMALS}) AS std_{m}" for m in METRICS
+    )
+    return f"{body} SELECT model_name, {columns} FROM s GROUP BY model_name"
+
+
+@register("a5_fold_mean_std", _mean_std_sql())
 def q_mean_std(spark: SparkSession, sf: str) -> DataFrame:
-    """Mean and population std of every fold metric per scorer (std is a
-    floating aggregate, so this one is checked in pytest)."""
-    scores = rule_fold_scores(load_transactions(spark, sf))
-    return ev.fold_metric_summary(scores, METRICS)
+    """Mean and population std of every fold metric per scorer, rounded."""
+    summary = ev.fold_metric_summary(rule_fold_scores(load_transactions(spark, sf)), METRICS)
+    names = [f"{kind}_{m}" for m in METRICS for kind in ("mean", "std")]
+    return summary.select("model_name", *[F.round(c, DECIMALS).alias(c) for c in names])
+
+
+def _best_rule_sql() -> str:
+    base = _ranking_sql()
+    body = base[: base.rindex("g AS (SELECT model_name")].rstrip().rstrip(",")
+    return f"""{body}, t AS (SELECT *, row_number() OVER (ORDER BY model_name, fold) AS trial FROM s)
+      SELECT CAST(fold AS DOUBLE) AS best_fold, test_recall AS best_value FROM t ORDER BY test_recall DESC, trial LIMIT 1"""
+
+
+@register("a7_best_rule", _best_rule_sql())
+def q_best_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """Best value and its parameters over fixed trial rows (the rule scorers' folds)."""
+    from cardsight.operators import models as md
+
+    by_name = Window.orderBy("model_name", "fold")  # one row per scorer and fold
+    trials = rule_fold_scores(load_transactions(spark, sf)).select(
+        F.row_number().over(by_name).alias("trial"),
+        F.create_map(F.lit("fold"), F.col("fold").cast("double")).alias("params"),
+        F.col("test_recall").alias("value"),
+    )
+    return md.best_trial(trials).select(F.col("best_params")["fold"].alias("best_fold"), "best_value")
 
 
 def _winners_sql() -> str:

@@ -131,8 +131,25 @@ for _name, _kind, _params in [
 def q_balanced_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The rows a balanced fit trains on: scaled, SMOTE to 0.3, undersampled to 1:1."""
     train, _, _ = _splits(spark, sf)
-    fitted = md.fit_balanced(train, "naive_bayes")
-    return fitted.training_rows.select(*S.FEATURE_COLUMNS, "label")
+    return md.balance(train).rows.select(*S.FEATURE_COLUMNS, "label")
+
+
+def _class_counts_sql() -> str:
+    from cardsight.plans.split_queries import _test_sql
+
+    outer = _test_sql("tx", START, 21, 7, 7, p="outer_")
+    inner = _test_sql("outer_train", START, 7, 7, 7, p="inner_")
+    return f"""WITH {Q.TX_CTE}, {outer}, {inner},
+      c AS (SELECT CAST(floor(CAST({SMOTE_RATIO} AS DOUBLE) * count(*) FILTER (TX_FRAUD = 0)
+                   - count(*) FILTER (TX_FRAUD = 1)) AS BIGINT) + count(*) FILTER (TX_FRAUD = 1) AS n FROM inner_train)
+      SELECT 0.0::DOUBLE AS label, n AS count FROM c UNION ALL SELECT 1.0::DOUBLE, n FROM c"""
+
+
+@register("b8_class_counts", _class_counts_sql())
+def q_balanced_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of either class that a balanced fit trains on."""
+    train, _, _ = _splits(spark, sf)
+    return md.balance(train).rows.groupBy("label").agg(F.count("*").alias("count"))
 
 
 @register("m10_competition")

@@ -78,6 +78,13 @@ def sql_scan() -> str:
     return f"WITH {TX_CTE} SELECT {RAW}, epoch_us(TX_DATETIME) // 1000000 AS TX_EPOCH_SECONDS FROM tx"
 
 
+def sql_text_timestamps() -> str:
+    return (
+        f"WITH {TX_CTE} SELECT TRANSACTION_ID, epoch_us(TX_DATETIME) // 1000000 AS second, "
+        f"CAST(hour(TX_DATETIME) AS INTEGER) AS hour FROM tx"
+    )
+
+
 def sql_flags() -> str:
     return f"WITH {TX_CTE} SELECT TRANSACTION_ID, TX_DATETIME, {FLAGS} FROM tx"
 

@@ -11,6 +11,7 @@ from cardsight.operators import sampling as smp
 from cardsight.operators import split as sp
 from cardsight.plans import oracle_sql as Q
 from cardsight.plans.catalog import register
+from cardsight.session import materialize
 from cardsight.sources.transactions import load_transactions
 
 SEED = 0
@@ -116,30 +117,66 @@ def q_folds(spark: SparkSession, sf: str) -> DataFrame:
     return smp.stratified_folds(tx, 5, LBL, ID)
 
 
-@register("b1_scaled")
+DECIMALS = 6
+START = "2024-01-01"
+
+
+def _moments_ctes() -> str:
+    """``tr``: the 7-day training rows; ``mom``: mean and population std per feature, one row."""
+    numbers = {c: f"CAST({c} AS INTEGER)" if c in ("IS_WKD", "IS_NIGHT") else c for c in S.FEATURE_COLUMNS}
+    columns = ", ".join(
+        f"avg(CAST({x} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({x} AS DOUBLE)) AS s_{c}" for c, x in numbers.items()
+    )
+    return f"""{Q.WITH_FEATURES}, tr AS (SELECT * FROM features WHERE TX_DATETIME >= TIMESTAMP '{START}'
+        AND TX_DATETIME < TIMESTAMP '{START}' + INTERVAL 7 DAY), mom AS (SELECT {columns} FROM tr)"""
+
+
+def _moments_sql() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(m_{c}, {DECIMALS}) AS mean, round(s_{c}, {DECIMALS}) AS std FROM mom"
+        for c in S.FEATURE_COLUMNS
+    )
+    return f"{_moments_ctes()} {rows}"
+
+
+def _scaled_sql() -> str:
+    from cardsight.plans.split_queries import _test_sql
+
+    numbers = {c: f"CAST({c} AS INTEGER)" if c in ("IS_WKD", "IS_NIGHT") else c for c in S.FEATURE_COLUMNS}
+    columns = ", ".join(
+        f"round((CAST({x} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, {DECIMALS}) + 0.0 AS {c}"
+        for c, x in numbers.items()
+    )
+    return f"{_moments_ctes()}, {_test_sql('features', START, 7, 7, 7)} SELECT {columns}, TX_FRAUD FROM test, mom"
+
+
+def _seven_day_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    # Read for the moments and for the rows: materialised once.
+    features = materialize(feat.build_features(load_transactions(spark, sf)))
+    return sp.prequential_split(features, START, 7, 7, 7)
+
+
+@register("b1_scaled", _scaled_sql())
 def q_scaled(spark: SparkSession, sf: str) -> DataFrame:
-    """Features of the 7-day training split standardised with the training
-    moments (population std, constant column divided by 1); checked in pytest
-    against NumPy with a tolerance."""
-    features = feat.build_features(load_transactions(spark, sf))
-    train, validate = sp.prequential_split(features, "2024-01-01", 7, 7, 7)
-    stats = smp.fit_scaler(train, S.FEATURE_COLUMNS)
-    return smp.apply_scaler(sp.field_trim(validate), stats)
+    """Test rows of the 7-day split standardised with the training moments
+    (population std, constant column divided by 1), rounded."""
+    train, test = _seven_day_split(spark, sf)
+    scaled = smp.apply_scaler(sp.field_trim(test), smp.fit_scaler(train, S.FEATURE_COLUMNS))
+    return scaled.select(*[(F.round(c, DECIMALS) + 0.0).alias(c) for c in S.FEATURE_COLUMNS], S.TX_FRAUD)
 
 
-@register("a6_feature_moments")
+@register("a6_feature_moments", _moments_sql())
 def q_moments(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-feature mean and population std of the training split, one row per feature."""
-    features = feat.build_features(load_transactions(spark, sf))
-    train, _ = sp.prequential_split(features, "2024-01-01", 7, 7, 7)
-    stacked = train.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"))
-                    for c in S.FEATURE_COLUMNS
-                ]
-            )
-        ).alias("kv")
-    ).select("kv.*")
-    return stacked.groupBy("feature").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    """Per-feature mean and population std of the training split, one row per
+    feature: one wide aggregate, then its single row unpivoted."""
+    train, _ = _seven_day_split(spark, sf)
+    moments = [
+        x.alias(f"{kind}_{c}")
+        for c in S.FEATURE_COLUMNS
+        for kind, x in (("m", F.avg(F.col(c).cast("double"))), ("s", F.stddev_pop(F.col(c).cast("double"))))
+    ]
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.round(f"m_{c}", DECIMALS).alias("mean"), F.round(f"s_{c}", DECIMALS).alias("std"))
+        for c in S.FEATURE_COLUMNS
+    ]
+    return train.agg(*moments).select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -3,7 +3,8 @@
 Scratch output (sinks that are re-read, checkpoints that cut lineage) always
 goes under the folder the cluster names in ``spark.checkpoint.dir``: that
 folder is shared by all executors, so a lost executor cannot lose the data.
-Only when the setting is absent (unit tests on a laptop) do we pick our own.
+Only on one machine (a ``local`` master, as in tests) do we pick our own when
+the setting is absent; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Spark checkpoints into a per-application subfolder of it; tables that must
     outlive one application (runs, models, trials) live in the folder itself.
-    A folder of our own is chosen only when the session names none (tests).
+    A folder of our own is chosen only on one machine, when the session names none.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -61,7 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return os.path.dirname(current.rstrip("/"))
-        # Unit-test path only: a cluster always names a shared folder.
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        # One machine only: its own folder is shared by all of its tasks.
         configured = tempfile.mkdtemp(prefix="cardsight-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)

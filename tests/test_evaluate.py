@@ -19,7 +19,7 @@ def scored(spark):
 def test_auc_and_average_precision_match_brute_force(scored):
     pdf = scored.toPandas()
     auc = {r["dataset"]: r["roc_auc"] for r in ev.roc_auc(scored).collect()}
-    ap = {r["dataset"]: r["pr_auc"] for r in ev.average_precision(scored).collect()}
+    areas = {r["dataset"]: r for r in ev.pr_auc(scored).collect()}
     for ds, g in pdf.groupby("dataset"):
         y, s = g.label.values, g.score.values
         pos, neg = s[y == 1], s[y != 1]
@@ -35,7 +35,9 @@ def test_auc_and_average_precision_match_brute_force(scored):
         prec = tps / (tps + fps)
         rec = tps / tps[-1]
         want_ap = np.sum(np.diff(np.r_[0, rec]) * prec)
-        assert ap[ds] == pytest.approx(want_ap, abs=1e-12)
+        assert areas[ds]["average_precision"] == pytest.approx(want_ap, abs=1e-12)
+        want_area = np.sum(np.diff(np.r_[0, rec]) * (prec + np.r_[1.0, prec[:-1]]) / 2)
+        assert areas[ds]["pr_auc"] == pytest.approx(want_area, abs=1e-12)
 
 
 def test_ordered_scan_across_many_buckets(spark):
