@@ -1,9 +1,9 @@
 """Cross-entropy difference scores of documents (operator 1).
 
 Two bigram models, one of the target documents and one of all documents, are
-matched: the same vocabulary (words of the target texts, the most frequent
-``VOCABULARY``; all others are one unknown word), the same order, smoothing
-and weights. Every token has a loss under either; a document's score is the
+matched: the same vocabulary (the most frequent ``VOCABULARY`` words of all
+texts; all others are one unknown word), the same order, smoothing and
+weights. Every token has a loss under either; a document's score is the
 mean of ``target loss - background loss``, so lower is more like the target.
 
     p(w | h) = BIGRAM_WEIGHT * c(h, w) / c(h) + (1 - BIGRAM_WEIGHT) * (c(w) + 1) / (N + V + 1)
@@ -13,8 +13,9 @@ term is zero, its weight left to the second, for a history the model has not
 seen.
 
 Texts are read once for the vocabulary and once to be written as vocabulary
-numbers; all counts are of these numbers, over all documents. Each task adds
-up its bigrams before the shuffle. The bigrams that occur most often, at most
+numbers; all counts are of these numbers, over all documents, and texts
+themselves are never shuffled. Each task adds up its bigrams before the
+shuffle. The bigrams that occur most often, at most
 ``HOT_BIGRAMS``, go to every task with their losses, which covers nearly all
 tokens where the documents are read; only the rest is joined, once for each
 bigram of a document, and no bigram of the join is frequent.
@@ -37,34 +38,38 @@ from pyspark.sql import functions as F
 
 from cardsight.llm.common import WORD, python_on, stored
 
-VOCABULARY = 16_384
-HOT_BIGRAMS = 1_000_000
+VOCABULARY = 8_192
+HOT_BIGRAMS = 2_000_000
 BIGRAM_WEIGHT = 0.7
+#: Tokens that a task sorts at a time, and different bigrams that it holds.
+SORTED_TOKENS = 1 << 21
+HELD_BIGRAMS = 1 << 22
 #: Counts beyond this are one class when the hot bigrams are chosen.
 MOST_COUNTED = 65_536
 
 UNKNOWN, BEGIN, FIRST_WORD = 0, 1, 2
-_SHIFT = 20  # bits of a vocabulary number in a bigram's key
+_NUMBER = np.uint16
+_SHIFT = 16  # bits of a vocabulary number, and in a bigram's key
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def vocabulary(target_docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
     """The most frequent words of ``text`` that occur twice or more; at most ``size``."""
     lower = F.translate(F.coalesce("text", F.lit("")), _UPPER, _LOWER)
-    words = target_docs.select(F.explode(F.regexp_extract_all(lower, F.lit(f"({WORD})"), F.lit(1))).alias("word"))
+    words = docs.select(F.explode(F.regexp_extract_all(lower, F.lit(f"({WORD})"), F.lit(1))).alias("word"))
     counts = words.groupBy("word").count().where("count >= 2")
     return [r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(size).collect()]
 
 
 def _numbered(rows: DataFrame, words: list[str]) -> DataFrame:
-    """``id``, ``is_target``, ``tokens``: vocabulary numbers, packed as 32-bit integers."""
+    """``id``, ``is_target``, ``tokens``: vocabulary numbers, packed as integers."""
     shared = rows.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {w.encode(): i for i, w in enumerate(shared.value, FIRST_WORD)}.get
         for batch in batches:
             tokens = [
-                np.array([number(w, UNKNOWN) for w in (t or b"").lower().split()], dtype=np.int32).tobytes()
+                np.array([number(w, UNKNOWN) for w in (t or b"").lower().split()], dtype=_NUMBER).tobytes()
                 for t in batch.column(1).cast(pa.binary()).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.binary())], ["id", "tokens"])
@@ -74,21 +79,50 @@ def _numbered(rows: DataFrame, words: list[str]) -> DataFrame:
 
 def _keys(tokens: bytes) -> np.ndarray:
     """A key for each token: the word before it and itself."""
-    w = np.frombuffer(tokens, np.int32).astype(np.int64)
+    w = np.frombuffer(tokens, _NUMBER).astype(np.int64)
     return (np.r_[np.int64(BEGIN), w[:-1]] << _SHIFT | w) if len(w) else w
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order and their summed counts."""
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bigrams of a batch with their counts in all and in target documents."""
+    """Bigrams of a task with their counts in all and in target documents."""
+    tokens: list[np.ndarray] = []  # keys, each with a last bit for target documents
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        marked, counts = _added(held)
+        held.clear()
+        keys = marked >> 1
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        columns = keys[first], np.add.reduceat(counts, first), np.add.reduceat(counts * (marked & 1), first)
+        for at in range(0, len(first), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], ["key", "n", "n_target"])
+
+    def sort() -> None:
+        if sum(map(len, tokens)):
+            held.append(np.unique(np.concatenate(tokens), return_counts=True))
+        tokens.clear()
+
     for batch in batches:
-        keys = [_keys(t) for t in batch.column(0).to_pylist()]
-        sizes = [len(k) for k in keys]
-        if not sum(sizes):
-            continue
-        target = np.repeat(np.array(batch.column(1).to_pylist(), dtype=bool), sizes)
-        found, inverse, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        n_target = np.bincount(inverse, weights=target, minlength=len(found)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64)), pa.array(n_target)], ["key", "n", "n_target"])
+        for packed, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            tokens.append(_keys(packed) << 1 | int(is_target))
+        if sum(map(len, tokens)) >= SORTED_TOKENS:
+            sort()
+            if sum(len(k) for k, _ in held) >= HELD_BIGRAMS:
+                held[:] = [_added(held)]
+                if len(held[0][0]) >= HELD_BIGRAMS // 2:
+                    yield from emit()
+    sort()
+    if held:
+        yield from emit()
 
 
 def _side(counts: DataFrame, part: str, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,10 +190,10 @@ def cross_entropy_difference(
         raise ValueError("the vocabulary is too large for a bigram's key")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     of_target = targets.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct()
-    words = vocabulary(rows.join(of_target, "id", "left_semi"), vocabulary_size)
+    words = vocabulary(rows, vocabulary_size)
 
     numbered = _numbered(rows, words)
-    marked = numbered.join(of_target.withColumn("is_target", F.lit(True)), "id", "left")
+    marked = numbered.join(of_target.withColumn("is_target", F.lit(True)).hint("merge"), "id", "left")
     marked = stored(marked.select("id", "tokens", F.coalesce("is_target", F.lit(False)).alias("is_target")), "lm-numbered")
     counts = stored(
         marked.select("tokens", "is_target").mapInArrow(_counted, "key long, n long, n_target long")
@@ -230,7 +264,7 @@ WITH texts AS (
     coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), false) AS is_target
   FROM documents
 ), vocab AS (
-  SELECT word FROM (SELECT unnest(words) AS word FROM texts WHERE is_target) GROUP BY word
+  SELECT word FROM (SELECT unnest(words) AS word FROM texts) GROUP BY word
   HAVING count(*) >= 2 ORDER BY count(*) DESC, word LIMIT {VOCABULARY}
 ), tokens AS (
   SELECT r, is_target, unnest(words) AS word, unnest(range(len(words))) AS i FROM texts

@@ -2,6 +2,8 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from cardsight.llm import lm_scoring as L
@@ -9,7 +11,7 @@ from cardsight.llm import lm_scoring as L
 
 def brute(rows, targets, size, weight=L.BIGRAM_WEIGHT):
     words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
-    counts = Counter(w for i, t, _ in rows if i in targets for w in words(t))
+    counts = Counter(w for _, t, _ in rows for w in words(t))
     vocab = {w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:size] if n >= 2}
     known = [[w if w in vocab else None for w in words(t)] for _, t, _ in rows]
     models = []
@@ -59,6 +61,31 @@ def test_target_like_documents_score_lower(spark):
     assert max(score[i] for i in score if i % 2) < min(score[i] for i in score if not i % 2)
 
 
+def test_counts_of_a_task_are_whole_whatever_it_holds(monkeypatch):
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 9, size=n).astype(L._NUMBER) for n in (0, 1, 50, 400, 30)]
+    batch = pa.RecordBatch.from_arrays([pa.array([d.tobytes() for d in docs]), pa.array([True, False, True, False, True])], ["tokens", "is_target"])
+    want = Counter()
+    for d, t in zip(docs, [1, 0, 1, 0, 1]):
+        for k in L._keys(d.tobytes()).tolist():
+            want[k, 0] += 1
+            want[k, 1] += t
+    for tokens, held in ((1 << 21, 1 << 22), (3, 4), (100, 20)):
+        monkeypatch.setattr(L, "SORTED_TOKENS", tokens)
+        monkeypatch.setattr(L, "HELD_BIGRAMS", held)
+        got = Counter()
+        for out in L._counted(iter([batch, batch.slice(0, 0), batch.slice(2, 2)])):
+            for k, n, t in zip(*(c.to_pylist() for c in out.columns)):
+                got[k, 0] += n
+                got[k, 1] += t
+        twice = Counter(want)
+        for d, t in ((docs[2], 1), (docs[3], 0)):
+            for k in L._keys(d.tobytes()).tolist():
+                twice[k, 0] += 1
+                twice[k, 1] += t
+        assert +got == +twice
+
+
 def test_no_documents_and_no_targets(no_docs, odd_docs, spark):
     none = spark.createDataFrame([], "doc_id long")
     assert L.cross_entropy_difference(no_docs, none).collect() == []
