@@ -1,41 +1 @@
 """Column functions (built-in Spark expressions only)."""
-
-from cardsight.functions.hashing import seeded_int, seeded_key, seeded_uniform
-from cardsight.functions.numeric import (
-    from_fixed,
-    hard_label,
-    ratio_or_zero,
-    safe_ratio,
-    to_fixed,
-)
-from cardsight.functions.time import (
-    SECONDS_PER_DAY,
-    add_days,
-    day_index,
-    epoch_seconds,
-    epoch_seconds_of,
-    in_half_open_range,
-    is_night,
-    is_weekend,
-    to_timestamp_literal,
-)
-
-__all__ = [
-    "SECONDS_PER_DAY",
-    "add_days",
-    "day_index",
-    "epoch_seconds",
-    "epoch_seconds_of",
-    "from_fixed",
-    "hard_label",
-    "in_half_open_range",
-    "is_night",
-    "is_weekend",
-    "ratio_or_zero",
-    "safe_ratio",
-    "seeded_int",
-    "seeded_key",
-    "seeded_uniform",
-    "to_fixed",
-    "to_timestamp_literal",
-]

@@ -1,7 +1,7 @@
 """The three batch jobs of the workflow, runnable from the command line.
 
 ``preprocess``  raw transactions (Parquet) -> feature table (gzip Parquet)
-``split``       feature table -> train / validate / test header CSVs
+``split``       feature table -> train / validate / test header CSVs (id, features, label)
 ``train``       CSV splits -> seeded search, refit, run log, model registry
 
     python -m cardsight.plans.jobs preprocess --input raw/ --output features/
@@ -15,7 +15,6 @@ import argparse
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardsight import schema as S
@@ -26,17 +25,19 @@ from cardsight.sources import files
 from cardsight.session import materialize
 
 SPLITS = ("train", "validate", "test")
+# The id goes along: samples are a function of (seed, id), not of file order.
+SPLIT_COLUMNS = [S.TRANSACTION_ID, *S.FEATURE_COLUMNS, S.LABEL_COLUMN]
+ROWS_PER_FILE = 2_000_000
 
 
 def split_schema() -> T.StructType:
-    """Declared schema of the split CSVs: the features then the label."""
+    """Declared schema of the split CSVs: the id, the features, the label."""
     types = {"IS_WKD": T.BooleanType(), "IS_NIGHT": T.BooleanType(), S.TX_FRAUD: T.IntegerType()}
     for c in S.FEATURE_COLUMNS:
         if "COUNT" in c:
             types[c] = T.LongType()
-    return T.StructType(
-        [T.StructField(c, types.get(c, T.DoubleType())) for c in [*S.FEATURE_COLUMNS, S.LABEL_COLUMN]]
-    )
+    types[S.TRANSACTION_ID] = T.LongType()
+    return T.StructType([T.StructField(c, types.get(c, T.DoubleType())) for c in SPLIT_COLUMNS])
 
 
 def preprocess(spark: SparkSession, input_path: str, output_path: str, weekend: str = "reference",
@@ -50,7 +51,9 @@ def preprocess(spark: SparkSession, input_path: str, output_path: str, weekend:
     # Day-partitioned output: the split's day filters prune whole folders.
     # Range partitioning on (day, time) keeps each task's files contiguous in
     # time, and the time key splits a heavy day over many tasks.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Its bounds take a pass of their own, so the features are written first.
+    out = materialize(out)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-out.count() // ROWS_PER_FILE))
     laid_out = out.repartitionByRange(n, S.TX_TIME_DAYS, S.TX_DATETIME)
     return files.write_parquet(laid_out, spark, "features", compression="gzip", path=output_path,
                                partition_by=[S.TX_TIME_DAYS])
@@ -58,22 +61,20 @@ def preprocess(spark: SparkSession, input_path: str, output_path: str, weekend:
 
 def split(spark: SparkSession, input_path: str, output_dir: str, start: str, outer_train: int = 21,
           inner_train: int = 7, delta_delay: int = 7, delta_test: int = 7) -> dict[str, str]:
-    """Three-way prequential split written as header CSVs (rows in id order,
-    features then label, no index column)."""
+    """Three-way prequential split written as header CSVs (rows in id order;
+    id, features, label, no index column)."""
     features = spark.read.parquet(input_path)
     parts = dict(zip(SPLITS, sp.three_way_split(features, start, outer_train, inner_train, delta_delay, delta_test)))
     out = {}
     for name, part in parts.items():
-        ordered = sp.field_trim(part.orderBy(S.TRANSACTION_ID))
+        ordered = part.orderBy(S.TRANSACTION_ID).select(*SPLIT_COLUMNS)
         out[name] = files.write_csv(ordered, spark, name, path=os.path.join(output_dir, name))
     return out
 
 
 def read_split(spark: SparkSession, split_dir: str, name: str) -> DataFrame:
-    """A split CSV with a row id (the file carries none) for the samplers;
-    callers checkpoint it so the id is fixed once."""
-    df = files.read_csv(spark, os.path.join(split_dir, name), split_schema())
-    return df.withColumn(S.TRANSACTION_ID, F.monotonically_increasing_id())
+    """A split CSV with its declared schema."""
+    return files.read_csv(spark, os.path.join(split_dir, name), split_schema())
 
 
 def train(spark: SparkSession, split_dir: str, study: str = "card_fraud", n_trials: int = 100,

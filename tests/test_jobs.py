@@ -28,7 +28,7 @@ def test_preprocess_split_train(spark, tmp_path):
         df = jobs.read_split(spark, str(tmp_path / "splits"), name)
         counts[name] = df.count()
         header = open([os.path.join(out[name], f) for f in sorted(os.listdir(out[name])) if f.endswith(".csv")][0]).readline()
-        assert header.strip().split(",") == [*S.FEATURE_COLUMNS, S.TX_FRAUD]
+        assert header.strip().split(",") == [S.TRANSACTION_ID, *S.FEATURE_COLUMNS, S.TX_FRAUD]
         assert df.where(F.col("TX_FRAUD").isNull()).count() == 0
     assert all(n > 0 for n in counts.values())
     run_id = jobs.train(spark, str(tmp_path / "splits"), "job-test", 2, "job_model",
