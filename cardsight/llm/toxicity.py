@@ -42,14 +42,21 @@ from cardsight.llm.common import python_on, stored
 
 #: Bounds of the fit.
 SAMPLE_ROWS = 10_000
+CANDIDATES = 50_000
 LEXICON_ENTRIES = 400
 CONTEXT_WORDS = 1_000
+#: Different units that a task holds before it passes their counts on.
+HELD_UNITS = 500_000
 
 STEM_LENGTHS = range(3, 9)
 MIN_WORD = 3
-#: A term stands in at least so many toxic texts, and so many times more often than in others.
-MIN_SUPPORT = 5
+#: A term stands in at least so many toxic texts and this share of them, and so
+#: many times more often than in others.
+MIN_SUPPORT = 8
+MIN_SHARE = 0.02
 MIN_LIFT = 8.0
+#: Words of the lexicon that may be met misspelled, the most frequent ones.
+FUZZY_ENTRIES = 100
 #: Letters from which a word may be misspelled, and letters beyond which no automaton is run.
 FUZZY_LENGTH = 5
 LONGEST = 40
@@ -270,19 +277,27 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int =
     return w[:-1], float(w[-1])
 
 
-def _count_in_tasks(sample: DataFrame, units: Callable[[str], Iterable[str]]) -> DataFrame:
-    """``unit, toxic, clean``: texts of either label that hold each unit, summed per task, then in all."""
+def _count_in_tasks(sample: DataFrame, units_of: Callable[[], Callable[[str], Iterable[str]]]) -> DataFrame:
+    """``unit, toxic, clean``: texts of either label that hold each unit, summed
+    per task, then in all. ``units_of`` is called once in each task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = units_of()
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def emit() -> pa.RecordBatch:
+            names = list(counts[0] | counts[1])
+            columns = [pa.array([counts[k][u] for u in names], pa.int64()) for k in (1, 0)]
+            for c in counts:
+                c.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["unit", "toxic", "clean"])
+
         for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts[label].update(set(units(text)))
-            names = list(counts[0] | counts[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), *(pa.array([counts[k][u] for u in names], pa.int64()) for k in (1, 0))],
-                ["unit", "toxic", "clean"],
-            )
+            if len(counts[0]) + len(counts[1]) > HELD_UNITS:
+                yield emit()
+        yield emit()
 
     return (
         sample.select("text", "toxic").mapInArrow(run, "unit string, toxic long, clean long")
@@ -290,15 +305,10 @@ def _count_in_tasks(sample: DataFrame, units: Callable[[str], Iterable[str]]) ->
     )
 
 
-def _terms(text: str) -> Iterator[str]:
+def _terms(text: str) -> set[str]:
     """Words, and stems marked by ``*``."""
-    for w in set(_WORD.findall(text.lower())):
-        if len(w) >= MIN_WORD and not w[0].isdigit():
-            if len(w) <= LONGEST:
-                yield w
-            for n in STEM_LENGTHS:
-                if len(w) > n:
-                    yield w[:n] + "*"
+    words = {w for w in set(_WORD.findall(text.lower())) if len(w) >= MIN_WORD and not w[0].isdigit()}
+    return {w for w in words if len(w) <= LONGEST} | {w[:n] + "*" for w in words for n in STEM_LENGTHS if len(w) > n}
 
 
 def _lift(n_toxic: int, n_clean: int) -> Column:
@@ -336,37 +346,50 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .orderBy(F.md5(F.col("id").cast("string")), "id", "toxic").limit(sample_rows)
     )
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sample = stored(texts.join(chosen, "id").select("text", "toxic"), "toxicity-sample")
+    n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = stored(texts.join(chosen, "id").select("text", "toxic").repartition(n_tasks), "toxicity-sample")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not n.get(0) or not n.get(1):
         return None
 
-    support = max(MIN_SUPPORT, n[1] // 200)
+    support = max(MIN_SUPPORT, int(MIN_SHARE * n[1]))
     lift = _lift(n[1], n[0])
-    rows = (
-        _count_in_tasks(sample, _terms).where(F.col("toxic") >= support).withColumn("lift", lift)
-        .where(F.col("lift") >= MIN_LIFT).orderBy(F.desc("lift"), "unit").limit(4 * LEXICON_ENTRIES).collect()
-    )
-    words, stems = choose_lexicon([(r["unit"], r["toxic"], r["lift"]) for r in rows])
+    # Only what stands in enough toxic texts is counted in the others.
+    frequent = _count_in_tasks(sample.where("toxic = 1"), lambda: _terms).where(F.col("toxic") >= support)
+    candidates = {r["unit"]: r["toxic"] for r in frequent.orderBy(F.desc("toxic"), "unit").limit(CANDIDATES).collect()}
+    clean = _count_in_tasks(sample.where("toxic = 0"), lambda: lambda text: candidates.keys() & _terms(text))
+    clean_texts = {r["unit"]: r["clean"] for r in clean.collect()}  # at most one row per candidate
+    rows = []
+    for unit, toxic in candidates.items():
+        ratio = ((toxic + 0.5) / (n[1] + 1.0)) / ((clean_texts.get(unit, 0) + 0.5) / (n[0] + 1.0))
+        if ratio >= MIN_LIFT:
+            rows.append((unit, toxic, ratio))
+    rows = sorted(rows, key=lambda r: (-r[2], r[0]))[: 4 * LEXICON_ENTRIES]
+    words, stems = choose_lexicon(rows)
     words = dict(sorted(words.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_ENTRIES])
 
     # Which words have neighbours that are ordinary words?
-    long = frozenset(w for w in words if len(w) >= FUZZY_LENGTH)
+    by_texts = sorted((w for w in words if len(w) >= FUZZY_LENGTH), key=lambda w: (-candidates[w], w))
+    long = frozenset(by_texts[:FUZZY_ENTRIES])
     trial = Lexicon(words, stems, long)
 
-    def neighbours(text: str) -> Iterator[str]:
+    def neighbours() -> Callable[[str], Iterable[str]]:
         match = _matcher(trial)
-        for w in set(_WORD.findall(text.lower())):
-            if len(w) >= MIN_WORD and (h := match(w)) and h[1] == FUZZY:
-                yield h[0]
+
+        def units(text: str) -> Iterator[str]:
+            for w in set(_WORD.findall(text.lower())):
+                if len(w) >= MIN_WORD and (h := match(w)) and h[1] == FUZZY:
+                    yield h[0]
+
+        return units
 
     common = _count_in_tasks(sample, neighbours).where(_lift(n[1], n[0]) < MIN_LIFT).where("clean > 0")
     ordinary = {r["unit"] for r in common.collect()}  # at most one row per lexicon word
     lexicon = Lexicon(words, stems, long - ordinary)
 
-    def windows(text: str) -> Iterator[str]:
-        for h in hits_of(text, _matcher(lexicon))[0]:
-            yield from h.window
+    def windows() -> Callable[[str], Iterable[str]]:
+        match = _matcher(lexicon)
+        return lambda text: (w for h in hits_of(text, match)[0] for w in h.window)
 
     context = {
         r["unit"]: math.log(r["lift"])
