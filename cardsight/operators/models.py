@@ -220,6 +220,26 @@ def fit_balanced(
     return fit_on(balance(train, seed=seed, **settings), kind, params, seed)
 
 
+def fit_weighted(
+    train: DataFrame,
+    kind: str = "logistic",
+    params: dict | None = None,
+    features: Sequence[str] = S.FEATURE_COLUMNS,
+    label: str = S.LABEL_COLUMN,
+    id_col: str = S.TRANSACTION_ID,
+    seed: int = SEED,
+) -> BalancedModel:
+    """Fit on all training rows, scaled and weighted by class instead of resampled."""
+    estimator = make_estimator(kind, params, len(features), seed)
+    if not estimator.hasParam("weightCol"):
+        raise ValueError(f"{kind} takes no class weights")
+    train = materialize(train.select(id_col, *features, label))
+    stats = smp.fit_scaler(train, features)
+    weighted = smp.with_class_weights(smp.apply_scaler(train, stats), label, "weight")
+    rows = materialize(assemble(weighted, features, label))
+    return BalancedModel(kind, list(features), stats, estimator.setWeightCol("weight").fit(rows), dict(params or {}), rows)
+
+
 def score(model: BalancedModel, df: DataFrame, label: str = S.LABEL_COLUMN, id_col: str = S.TRANSACTION_ID) -> DataFrame:
     """``id, label, score, prediction`` (the evaluation input)."""
     out = model.transform(df, label)
@@ -230,6 +250,7 @@ def score(model: BalancedModel, df: DataFrame, label: str = S.LABEL_COLUMN, id_c
 
 # --------------------------------------------------------------------------- M10: competition
 
+# The competitors' display names.
 COMPETITORS = {
     "Logistic Reg.": ("logistic", {}),
     "Gradient Boosting": ("gbt", {}),

@@ -20,6 +20,7 @@ from cardsight.session import materialize
 START = "2024-01-01"
 # Integer-valued columns for the neighbour checks: squared distances are exact.
 KNN_FEATURES = ["AMOUNT_CENTS", S.TX_TIME_DAYS, S.TERMINAL_ID]
+# The recorded run's seed, oversampling ratio and neighbours.
 SMOTE_SEED = 42
 SMOTE_RATIO = 0.3
 K = 5
@@ -134,6 +135,13 @@ def q_balanced_rows(spark: SparkSession, sf: str) -> DataFrame:
     return md.balance(train).rows.select(*S.FEATURE_COLUMNS, "label")
 
 
+@register("m2_weighted_logistic")
+def q_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic regression with balanced class weights on all training rows, scored on validation."""
+    train, validate, _ = _splits(spark, sf)
+    return md.score(md.fit_weighted(train, "logistic"), validate)
+
+
 def _class_counts_sql() -> str:
     from cardsight.plans.split_queries import _test_sql
 

@@ -109,3 +109,12 @@ def test_another_setting_is_another_study(spark, splits, tmp_path):
     a = md.random_search(train, validate, "s", 1, space, root=root)
     b = md.random_search(train, validate, "s", 1, space, root=root, undersample=0.5)
     assert {r["study"] for r in a.collect()}.isdisjoint({r["study"] for r in b.collect()})
+
+
+def test_class_weights_reach_the_estimator(spark, splits):
+    train, validate = splits
+    weighted = md.score(md.fit_weighted(train, "logistic"), validate)
+    recall = {r["prediction"]: r["n"] for r in weighted.where("label = 1").groupBy("prediction").agg(F.count("*").alias("n")).collect()}
+    assert recall.get(1, 0) > recall.get(0, 0)  # unweighted, hardly any fraud is called
+    with pytest.raises(ValueError):
+        md.fit_weighted(train, "mlp")
