@@ -56,6 +56,11 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source.cast("string")))
 
 
+def n_buckets(spark: SparkSession, n_rows: int, bucket_rows: int) -> int:
+    """Buckets of at most about ``bucket_rows`` rows, and enough for all tasks of a shuffle."""
+    return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // bucket_rows))
+
+
 # ------------------------------------------------------------------ groups of equal keys
 
 

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsight.llm.common import n_words, python_on, source_key, stored
+from cardsight.llm.common import n_buckets, n_words, python_on, source_key, stored
 
 #: Fixed values of the contract.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -147,9 +147,8 @@ def mix(
     narrow = stored(rows.drop("row"), "mix-sizes")
     if not carry:
         rows = narrow.withColumn("row", F.struct(F.lit(0).alias("none")))
-    n_rows = narrow.count()
-    n_buckets = max(1, -(-n_rows // BUCKET_ROWS))
-    bucket = F.least(F.floor(_unit(F.col("draw")) * n_buckets), F.lit(n_buckets - 1)).cast("int")
+    buckets = n_buckets(spark, narrow.count(), BUCKET_ROWS)
+    bucket = F.least(F.floor(_unit(F.col("draw")) * buckets), F.lit(buckets - 1)).cast("int")
 
     # One row per (source, bucket): words before the bucket, in permuted order.
     totals = narrow.groupBy("stratum", bucket.alias("bucket")).agg(F.sum("size").alias("words"))

@@ -25,17 +25,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsight.llm.common import source_key, stored
+from cardsight.llm.common import n_buckets, source_key, stored
 
 #: Rows of a bucket: one window group, sorted in one task.
 BUCKET_ROWS = 20_000
 SEED = 42
 
 
-def _rank(rows: DataFrame, by: list[str], unit: Column, order: list[Column], n_buckets: int, name: str) -> DataFrame:
+def _rank(rows: DataFrame, by: list[str], unit: Column, order: list[Column], buckets: int, name: str) -> DataFrame:
     """Add ``name``: the rank from 1 in ``order`` within ``by``, where ``unit``
     in [0, 1) rises with the order and deals rows to buckets."""
-    keyed = rows.withColumn("bucket", F.least(F.floor(unit * n_buckets), F.lit(n_buckets - 1)).cast("int"))
+    keyed = rows.withColumn("bucket", F.least(F.floor(unit * buckets), F.lit(buckets - 1)).cast("int"))
     counts = keyed.groupBy(*by, "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -70,19 +70,19 @@ def shard_documents(
         "shard-rows",
     )
     total = rows.count()
-    n_buckets = max(1, -(-total // BUCKET_ROWS))
+    buckets = n_buckets(docs.sparkSession, total, BUCKET_ROWS)
     totals = rows.groupBy("stratum").agg(F.count("*").alias("rows_of_source"))
 
     draw_unit = F.conv(F.substring("draw", 1, 8), 16, 10).cast("double") / float(1 << 32)
     order = [F.col(c) for c in ("draw", "doc_id", "text_crc32", "size")]
-    ranked = _rank(rows, ["stratum"], draw_unit, order, n_buckets, "rank").join(totals, "stratum")
+    ranked = _rank(rows, ["stratum"], draw_unit, order, buckets, "rank").join(totals, "stratum")
     ranked = ranked.withColumn(
         "fraction",
         (2 * F.col("rank") - 1).cast("double") / (2 * F.col("rows_of_source")).cast("double"),
     ).withColumn("all_rows", F.lit(0))
     ranked = stored(ranked, "shard-ranked")  # read for the counts and again for the ranks
     order = [F.col(c) for c in ("fraction", "stratum", "rank")]
-    placed = _rank(ranked, ["all_rows"], F.col("fraction"), order, n_buckets, "place")
+    placed = _rank(ranked, ["all_rows"], F.col("fraction"), order, buckets, "place")
 
     place = F.col("place") - 1
     shard = F.expr(f"((place - 1) * {n_shards}L) div {max(total, 1)}L")
