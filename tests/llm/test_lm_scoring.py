@@ -90,3 +90,37 @@ def test_no_documents_and_no_targets(no_docs, odd_docs, spark):
     none = spark.createDataFrame([], "doc_id long")
     assert L.cross_entropy_difference(no_docs, none).collect() == []
     assert L.cross_entropy_difference(odd_docs, none).count() == odd_docs.count()
+
+
+def test_every_word_that_occurs_twice_is_kept(spark, monkeypatch):
+    from conftest import make_docs
+
+    monkeypatch.setattr(L, "HOT_WORDS", 100)
+    pairs = [f"w{i} v{i}" for i in range(L.VOCABULARY)]
+    rows = [(i, " ".join(pairs[i * 512 % len(pairs) :][:512]), "s") for i in range(32)]
+    targets = spark.createDataFrame([(i,) for i in range(16)], "doc_id long")
+    want = {i: (n, t, b) for i, n, t, b in brute(rows, set(range(16)), 10**6)}
+    for r in L.cross_entropy_difference(make_docs(spark, rows), targets, hot_bigrams=50).collect():
+        assert (r["n_tokens"], r["target_loss"], r["background_loss"]) == pytest.approx(want[r["id"]], rel=1e-9)
+
+
+def test_chunks_make_no_difference(odd_docs, odd_rows, spark, monkeypatch):
+    monkeypatch.setattr(L, "CHUNK_TOKENS", 30)
+    test_odd_rows(odd_docs, odd_rows, spark, 1000, 3)
+
+
+def test_given_tables_equal_the_sql_without_its_limit(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    for name in ("documents", "labels"):
+        duckdb.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    whole = L.ORACLE_SQL.replace(f"LIMIT {L.VOCABULARY}", "")
+    assert whole != L.ORACLE_SQL
+    want = duckdb.sql(whole).fetchall()
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    got = L.cross_entropy_difference(docs, labels.where("quality = 1").select("doc_id")).collect()
+    assert len(got) == len(want)
+    want = {r[0]: r for r in want}
+    for r in got:
+        assert tuple(r) == pytest.approx(want[r["id"]], abs=2e-6)
