@@ -3,7 +3,8 @@
 Kinds ``email``, ``ip``, ``card`` and ``phone`` are the base: leftmost,
 non-overlapping matches of a fixed pattern each, dropped when their check
 fails (parts of at most 255, Luhn, number of digits). Kind ``iban`` is added:
-a proposed account number must pass mod-97. Every span gets a score: what its
+a proposed account number must pass mod-97; the search goes on behind a number
+that passes, and at the next possible start after one that fails. Every span gets a score: what its
 validator is worth, more with a word of its kind nearby, less with a word
 that speaks against it. Base spans stay whatever their score; an added span
 must reach ``MIN_SCORE``.
@@ -113,15 +114,19 @@ def _digits(text: str, pattern: re.Pattern, least: int, most: int, check: Callab
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
+    m = _IBAN.search(text)
+    while m:
         # The pattern is greedy over spaced groups: give back whole groups until the check holds.
-        end = m.end()
-        while end - m.start() >= 15:
-            account = text[m.start() : end].replace(" ", "")
+        start, end = m.span()
+        resume = start + 1  # another number may start inside a match that fails
+        while end - start >= 15:
+            account = text[start:end].replace(" ", "")
             if 15 <= len(account) <= 34 and mod97(account):
-                yield m.start(), end
+                yield start, end
+                resume = end
                 break
-            end = text.rfind(" ", m.start(), end)
+            end = text.rfind(" ", start, end)
+        m = _IBAN.search(text, resume)
 
 
 _FINDERS: dict[str, Callable[[str], Iterator[tuple[int, int]]]] = {

@@ -75,6 +75,44 @@ def test_account_numbers_need_mod97_and_context(text, kept):
     assert any(s.kind == "iban" for s in pii.find_spans(text)) == kept
 
 
+@pytest.mark.parametrize(
+    ("text", "numbers"),
+    [
+        ("DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+        ("Konto AB12 DE89370400440532013000", ["DE89370400440532013000"]),
+        ("AB12 CD34 GB82 WEST 1234 5698 7654 32 DE89370400440532013000 EF56", ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]),
+        ("DE89 3704 0044 0532 0130 02 GB82 WEST 1234 5698 7654 32", ["GB82 WEST 1234 5698 7654 32"]),
+    ],
+)
+def test_account_numbers_side_by_side(text, numbers):
+    assert [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"] == numbers
+    assert not any(n in pii.redacted(text) for n in numbers)
+
+
+def test_account_numbers_equal_a_try_at_every_place():
+    rnd = random.Random(3)
+    start = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+    body = re.compile(r"[A-Z0-9]+(\x20[A-Z0-9]+)*")
+
+    def tried(text):
+        at = 0
+        while at < len(text):
+            ends = range(min(len(text), at + 68), at + 14, -1) if start.match(text, at) else ()
+            for end in ends:
+                account = text[at:end].replace(" ", "")
+                whole = body.fullmatch(text, at, end) and not text[end : end + 1].isalnum()
+                if whole and 15 <= len(account) <= 34 and pii.mod97(account):
+                    yield at, end
+                    at = end - 1
+                    break
+            at += 1
+
+    parts = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "AB12", "GB82", "X", "1234", "ab", ",", "DE89 3704 0044 0532 0130 01"]
+    for _ in range(5_000):
+        text = "".join(rnd.choice(parts) + rnd.choice([" ", " ", " ", "", "  "]) for _ in range(rnd.randint(0, 8)))
+        assert list(pii._ibans(text)) == list(tried(text)), text
+
+
 def test_context_moves_the_score():
     near = pii.find_spans("call my phone +1 (555) 123-4567 now")[0].score
     plain = pii.find_spans("xxxx xx xxxxx +1 (555) 123-4567 now")[0].score
