@@ -4,15 +4,17 @@
 
 1. a lexicon of words and stems (beginnings of words) that stand in many more
    toxic texts than others;
-2. for each whole word of it, whether words one edit away may count, which
-   they may unless such neighbours are common in texts that are not toxic;
+2. for each word and stem of it, whether words one edit away (beginnings one
+   edit away) may count, which they may unless such neighbours are common in
+   texts that are not toxic;
 3. weights of the words that stand near hits, which separate abuse from
    quotation;
 4. a logistic regression over the features of a text.
 
-``score`` reads each text once. A word that is not in the lexicon is run as a
-Levenshtein automaton along the trie, so a misspelled term costs the states
-that survive and never a comparison with every term. Each hit has a window
+``score`` reads each text once. A word that is not in the lexicon, but shares a
+form with one letter deleted with a term, is run as a Levenshtein automaton
+along the trie, so a misspelled term costs the states that survive and never a
+comparison with every term. Each hit has a window
 of the words around it; marks of quotation and reporting verbs, and the
 learned weights of the window's words, say how much of it is abuse.
 
@@ -42,7 +44,6 @@ from cardsight.llm.common import python_on, stored
 
 #: Bounds of the fit.
 SAMPLE_ROWS = 10_000
-CANDIDATES = 50_000
 LEXICON_ENTRIES = 400
 CONTEXT_WORDS = 1_000
 #: Different units that a task holds before it passes their counts on.
@@ -52,13 +53,10 @@ STEM_LENGTHS = range(3, 9)
 MIN_WORD = 3
 #: A term stands in at least so many toxic texts and this share of them, and so
 #: many times more often than in others.
-MIN_SUPPORT = 8
-MIN_SHARE = 0.02
+MIN_SUPPORT = 5
+MIN_SHARE = 0.005
 MIN_LIFT = 8.0
-#: Words of the lexicon that may be met misspelled, the most frequent ones.
-FUZZY_ENTRIES = 100
-#: Letters from which a word may be misspelled, and letters beyond which no automaton is run.
-FUZZY_LENGTH = 5
+#: Letters beyond which a word is no term and not cached.
 LONGEST = 40
 WINDOW = 6
 CACHE_WORDS = 300_000
@@ -91,10 +89,11 @@ def build_trie(terms: Iterable[str]) -> dict:
 
 class LevenshteinAutomaton:
     """Accepts the words at most ``edits`` insertions, deletions, substitutions or
-    swaps of neighbours away from ``word``. A state is a row of distances with the row before it."""
+    swaps of neighbours away from ``word`` (``beginning``: from any beginning of it). A state
+    is a row of distances with the row before it."""
 
-    def __init__(self, word: str, edits: int):
-        self.word, self.edits = word, edits
+    def __init__(self, word: str, edits: int, beginning: bool = False):
+        self.word, self.edits, self.beginning = word, edits, beginning
 
     def start(self) -> tuple:
         return tuple(range(len(self.word) + 1)), None, ""
@@ -111,7 +110,7 @@ class LevenshteinAutomaton:
         return tuple(new), row, letter
 
     def accepts(self, state: tuple) -> bool:
-        return state[0][-1] <= self.edits
+        return (min(state[0]) if self.beginning else state[0][-1]) <= self.edits
 
     def alive(self, state: tuple) -> bool:
         return min(state[0]) <= self.edits or (state[1] is not None and min(state[1]) < self.edits)
@@ -138,23 +137,32 @@ def intersect(automaton: LevenshteinAutomaton, trie: dict) -> list[str]:
 
 class Lexicon(NamedTuple):
     """Terms with their log lifts; ``words`` match whole, ``stems`` as beginnings,
-    ``fuzzy`` (a subset of the words) also one edit away."""
+    ``fuzzy`` (words, and stems marked by ``*``) also one edit away."""
 
     words: dict[str, float]
     stems: dict[str, float]
     fuzzy: frozenset[str]
 
 
+def _deleted(term: str) -> set[str]:
+    """The term without each of its letters."""
+    return {term[:i] + term[i + 1 :] for i in range(len(term))}
+
+
 class Matcher:
     """Finds the lexicon's entry for a word; a worker's cache within a bound."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.trie = build_trie(lexicon.fuzzy)
+        fuzzy_words = {t for t in lexicon.fuzzy if not t.endswith("*")}
+        fuzzy_stems = {t[:-1] for t in lexicon.fuzzy if t.endswith("*")}
+        self.trie, self.stem_trie = build_trie(fuzzy_words), build_trie(fuzzy_stems)
         self.stem_lengths = sorted({len(s) for s in lexicon.stems})
-        self.edges = {t[:2] for t in lexicon.fuzzy} | {t[-2:] + "$" for t in lexicon.fuzzy}
-        sizes = [len(t) for t in lexicon.fuzzy]
-        self.sizes = range(min(sizes) - 1, max(sizes) + 2) if sizes else range(0)
+        # Terms one edit away from a word share a form with it, each with one letter deleted or none.
+        self.sizes = {len(t) + d for t in fuzzy_words for d in (-1, 0, 1)}
+        self.forms = fuzzy_words.union(*map(_deleted, fuzzy_words))
+        self.stems = {n: {t for t in fuzzy_stems if len(t) == n} for n in {len(t) for t in fuzzy_stems}}
+        self.stem_forms = {n: terms.union(*map(_deleted, terms)) for n, terms in self.stems.items()}
         self.cache: dict[str, tuple[str, str] | None] = {}
 
     def __call__(self, word: str) -> tuple[str, str] | None:
@@ -174,12 +182,22 @@ class Matcher:
         for n in self.stem_lengths:
             if len(word) >= n and word[:n] in self.lexicon.stems:
                 return word[:n], STEM
-        # One edit leaves the first two letters or the last two of a term as they are.
-        if len(word) in self.sizes and (word[:2] in self.edges or word[-2:] + "$" in self.edges):
-            near = intersect(LevenshteinAutomaton(word, 1), self.trie)
-            if near:
-                return near[0], FUZZY
-        return None
+        near = self.near(word)
+        return (near[0].rstrip("*"), FUZZY) if near else None
+
+    def near(self, word: str) -> list[str]:
+        """Fuzzy terms one edit away from a word, then those (marked) of a beginning of it."""
+        found: list[str] = []
+        if len(word) in self.sizes and (word in self.forms or not self.forms.isdisjoint(_deleted(word))):
+            found = intersect(LevenshteinAutomaton(word, 1), self.trie)
+        if any(
+            word[: n - 1] in forms or word[:n] in forms
+            or not forms.isdisjoint(_deleted(word[:n])) or not self.stems[n].isdisjoint(_deleted(word[: n + 1]))
+            for n, forms in self.stem_forms.items()
+        ):
+            beginning = LevenshteinAutomaton(word[: max(self.stems) + 1], 1, beginning=True)
+            found += [t + "*" for t in intersect(beginning, self.stem_trie)]
+        return found
 
 
 class Hit(NamedTuple):
@@ -356,7 +374,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lift = _lift(n[1], n[0])
     # Only what stands in enough toxic texts is counted in the others.
     frequent = _count_in_tasks(sample.where("toxic = 1"), lambda: _terms).where(F.col("toxic") >= support)
-    candidates = {r["unit"]: r["toxic"] for r in frequent.orderBy(F.desc("toxic"), "unit").limit(CANDIDATES).collect()}
+    candidates = {r["unit"]: r["toxic"] for r in frequent.collect()}  # in ``support`` texts of the sample or more
     clean = _count_in_tasks(sample.where("toxic = 0"), lambda: lambda text: candidates.keys() & _terms(text))
     clean_texts = {r["unit"]: r["clean"] for r in clean.collect()}  # at most one row per candidate
     rows = []
@@ -368,10 +386,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     words, stems = choose_lexicon(rows)
     words = dict(sorted(words.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_ENTRIES])
 
-    # Which words have neighbours that are ordinary words?
-    by_texts = sorted((w for w in words if len(w) >= FUZZY_LENGTH), key=lambda w: (-candidates[w], w))
-    long = frozenset(by_texts[:FUZZY_ENTRIES])
-    trial = Lexicon(words, stems, long)
+    # Which terms have neighbours that are ordinary words?
+    terms = frozenset(words) | {s + "*" for s in stems}
+    trial = Lexicon(words, stems, terms)
 
     def neighbours() -> Callable[[str], Iterable[str]]:
         match = _matcher(trial)
@@ -379,13 +396,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         def units(text: str) -> Iterator[str]:
             for w in set(_WORD.findall(text.lower())):
                 if len(w) >= MIN_WORD and (h := match(w)) and h[1] == FUZZY:
-                    yield h[0]
+                    yield from match.near(w)
 
         return units
 
     common = _count_in_tasks(sample, neighbours).where(_lift(n[1], n[0]) < MIN_LIFT).where("clean > 0")
-    ordinary = {r["unit"] for r in common.collect()}  # at most one row per lexicon word
-    lexicon = Lexicon(words, stems, long - ordinary)
+    ordinary = {r["unit"] for r in common.collect()}  # at most one row per lexicon term
+    lexicon = Lexicon(words, stems, terms - ordinary)
 
     def windows() -> Callable[[str], Iterable[str]]:
         match = _matcher(lexicon)

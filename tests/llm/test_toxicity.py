@@ -115,3 +115,26 @@ def test_given_labels_held_out_accuracy(spark):
     truth = {r["doc_id"]: r["toxic"] for r in labels.collect()}
     held = [(r["predicted"], truth[r["id"]]) for r in X.score(docs, labels).collect() if r["held_out"] and r["id"] in truth]
     assert sum(p == t for p, t in held) >= 0.95 * len(held)
+
+
+def test_short_words_and_stems_are_met_misspelled():
+    match = X.Matcher(X.Lexicon({"scum": 3.0, "zyx": 2.0}, {"worthl": 2.0, "idio": 2.0}, frozenset(["scum", "worthl*", "idio*"])))
+    assert [match(w) for w in ("scumm", "scm", "csum", "sxum")] == [("scum", X.FUZZY)] * 4
+    assert [match(w) for w in ("wrothless", "orthless", "wworthless", "worhtless", "wxrthless")] == [("worthl", X.FUZZY)] * 5
+    assert match("zyxx") is None and match("table") is None
+    rnd = random.Random(2)
+    for _ in range(3000):
+        word = "".join(rnd.choice("idowrthlescumx") for _ in range(rnd.randint(3, 9)))
+        near = [t for t in ("scum",) if distance(word, t) <= 1]
+        near += [s + "*" for s in ("idio", "worthl") if any(distance(word[:k], s) <= 1 for k in range(len(word) + 1))]
+        assert match.near(word) == near
+
+
+def test_every_term_of_a_large_lexicon_may_be_misspelled(spark):
+    rnd = random.Random(6)
+    insults = ["".join(rnd.choice("bcdfghjkl") for _ in range(6)) for _ in range(150)]
+    docs = [(i, " ".join(["lorem ipsum dolor"] + ([insults[i // 2 % 150], "scum"] if i % 2 else ["amet"])), "s") for i in range(1800)]
+    model = X.fit(make_docs(spark, docs), spark.createDataFrame([(i, i % 2) for i in range(1800)], "doc_id long, toxic int"))
+    assert len(model.lexicon.fuzzy) > 100
+    match = X.Matcher(model.lexicon)
+    assert all(match(w[:2] + "z" + w[2:]) for w in [*insults, "scum"])
