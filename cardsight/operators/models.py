@@ -70,7 +70,9 @@ def make_estimator(kind: str, params: dict | None = None, n_features: int = len(
     if kind == "logistic":
         return LogisticRegression(maxIter=int(p.get("max_iter", 100)), **common)
     if kind == "random_forest":
-        return RandomForestClassifier(numTrees=int(p.get("trees", 20)), seed=seed, **common)
+        return RandomForestClassifier(
+            numTrees=int(p.get("trees", 20)), maxDepth=int(p.get("depth", 5)), seed=seed, **common
+        )
     if kind == "decision_tree":
         return DecisionTreeClassifier(maxDepth=int(p.get("depth", 5)), seed=seed, **common)
     if kind == "naive_bayes":
@@ -250,14 +252,20 @@ def score(model: BalancedModel, df: DataFrame, label: str = S.LABEL_COLUMN, id_c
 
 # --------------------------------------------------------------------------- M10: competition
 
+# Settings near the original's library defaults: full trees (30 is the deepest that Spark grows),
+# forests of 100; boosted trees as the recorded run.
+BOOSTED = {"iterations": 200, "depth": 6}
+FOREST = {"trees": 100, "depth": 30}
+TREE = {"depth": 30}
+
 # The competitors' display names.
 COMPETITORS = {
     "Logistic Reg.": ("logistic", {}),
-    "Gradient Boosting": ("gbt", {}),
-    "Random Forest": ("random_forest", {}),
+    "Gradient Boosting": ("gbt", BOOSTED),
+    "Random Forest": ("random_forest", FOREST),
     "K-NN": ("knn", {"k": 5}),
     "Naive Bayes": ("naive_bayes", {}),
-    "Decision Tree": ("decision_tree", {}),
+    "Decision Tree": ("decision_tree", TREE),
 }
 
 

@@ -117,10 +117,10 @@ def _model_query(kind: str, params: dict | None = None):
 
 
 for _name, _kind, _params in [
-    ("m1_gbt", "gbt", {"iterations": 200, "depth": 6}),
+    ("m1_gbt", "gbt", md.BOOSTED),
     ("m2_logistic", "logistic", None),
-    ("m3_random_forest", "random_forest", None),
-    ("m4_decision_tree", "decision_tree", None),
+    ("m3_random_forest", "random_forest", md.FOREST),
+    ("m4_decision_tree", "decision_tree", md.TREE),
     ("m5_naive_bayes", "naive_bayes", None),
     ("m6_knn_vote", "knn", {"k": 5}),
     ("m7_mlp", "mlp", {"hidden": (500, 500), "max_iter": 40}),

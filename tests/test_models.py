@@ -118,3 +118,16 @@ def test_class_weights_reach_the_estimator(spark, splits):
     assert recall.get(1, 0) > recall.get(0, 0)  # unweighted, hardly any fraud is called
     with pytest.raises(ValueError):
         md.fit_weighted(train, "mlp")
+
+
+def test_competitors_have_whole_sizes(spark):
+    sizes = {}
+    for name, (kind, params) in md.COMPETITORS.items():
+        if kind in ("gbt", "random_forest", "decision_tree"):
+            estimator = md.make_estimator(kind, params)
+            sizes[name] = {p: estimator.getOrDefault(p) for p in ("maxIter", "numTrees", "maxDepth") if estimator.hasParam(p)}
+    assert sizes == {
+        "Gradient Boosting": {"maxIter": 200, "maxDepth": 6},
+        "Random Forest": {"numTrees": 100, "maxDepth": 30},
+        "Decision Tree": {"maxDepth": 30},
+    }
