@@ -44,8 +44,6 @@ from pyspark.sql import functions as F
 
 from cardsight.llm.common import python_on, stored
 
-#: Words that ``ORACLE_SQL`` keeps; the operator has no such bound.
-VOCABULARY = 8_192
 #: Tokens of a chunk of documents with one dictionary (a document is never cut).
 CHUNK_TOKENS = 1 << 19
 #: Words whose counts go to every task.
@@ -364,8 +362,7 @@ def cross_entropy_difference(
 _CODED = ["chunk", "id", "code", "tokens", "word", "n"]
 _NAMES = ["row", "id", "key", "n", "target_sum", "background_sum"]
 
-#: The same losses, rounded, in DuckDB SQL; of the ``VOCABULARY`` most frequent words only, so equal
-#: to the operator only where no more words occur twice (or without its LIMIT, as the test runs it).
+#: The same losses, rounded, in DuckDB SQL.
 ORACLE_SQL = rf"""
 WITH texts AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -374,7 +371,7 @@ WITH texts AS (
   FROM documents
 ), vocab AS (
   SELECT word FROM (SELECT unnest(words) AS word FROM texts) GROUP BY word
-  HAVING count(*) >= 2 ORDER BY count(*) DESC, word LIMIT {VOCABULARY}
+  HAVING count(*) >= 2
 ), tokens AS (
   SELECT r, is_target, unnest(words) AS word, unnest(range(len(words))) AS i FROM texts
 ), known AS (
