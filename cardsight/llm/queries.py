@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsight.llm import (
+    decontamination,
     embedding_dedup,
     fingerprint,
     lm_scoring,
@@ -87,6 +88,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.decontaminate(docs, items, window=10).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -94,4 +100,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Queries that SQL can express; the others are tested against brute force in ``tests/llm``."""
-    return {"op1_lm_scoring": lm_scoring.ORACLE_SQL, "op2_sharding": sharding.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}
+    return {
+        "op1_lm_scoring": lm_scoring.ORACLE_SQL,
+        "op2_sharding": sharding.ORACLE_SQL,
+        "op5_mixing": mixing.ORACLE_SQL,
+        "op13_decontamination": decontamination.ORACLE_SQL,
+    }
