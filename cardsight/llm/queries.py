@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cardsight.llm import (
     decontamination,
     embedding_dedup,
+    filter_audit,
     fingerprint,
     lm_scoring,
     mixing,
@@ -88,6 +89,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.decontaminate(docs, items, window=10).withColumnRenamed("id", "doc_id")
@@ -104,5 +109,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_lm_scoring": lm_scoring.ORACLE_SQL,
         "op2_sharding": sharding.ORACLE_SQL,
         "op5_mixing": mixing.ORACLE_SQL,
+        "op12_filter_audit": filter_audit.ORACLE_SQL,
         "op13_decontamination": decontamination.ORACLE_SQL,
     }
