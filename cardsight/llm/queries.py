@@ -17,6 +17,7 @@ from cardsight.llm import (
     embedding_dedup,
     filter_audit,
     fingerprint,
+    lexical_search,
     lm_scoring,
     mixing,
     pii,
@@ -89,6 +90,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical_search.search(docs, items, k=20).withColumnRenamed("id", "doc_id")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -109,6 +115,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_lm_scoring": lm_scoring.ORACLE_SQL,
         "op2_sharding": sharding.ORACLE_SQL,
         "op5_mixing": mixing.ORACLE_SQL,
+        "op11_lexical_search": lexical_search.ORACLE_SQL,
         "op12_filter_audit": filter_audit.ORACLE_SQL,
         "op13_decontamination": decontamination.ORACLE_SQL,
     }
