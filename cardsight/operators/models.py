@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsight import schema as S
+from cardsight.operators import boosting as bst
 from cardsight.operators import evaluate as ev
 from cardsight.operators import sampling as smp
 from cardsight.operators import tracking as trk
@@ -54,8 +55,9 @@ SEED = 42
 def make_estimator(kind: str, params: dict | None = None, n_features: int = len(S.FEATURE_COLUMNS), seed: int = SEED):
     """A Spark ML classifier on ``features``/``label``.
 
-    Boosted trees take ``iterations`` -> maxIter, ``learning_rate`` -> stepSize,
-    ``depth`` -> maxDepth (no L2 leaf regulariser exists for Spark trees).
+    Spark's boosted trees (``gbt``) take ``iterations`` -> maxIter, ``learning_rate``
+    -> stepSize, ``depth`` -> maxDepth; ``boosted`` (``operators/boosting.py``) is no
+    Spark ML estimator, ``fit_on`` fits it.
     """
     p = dict(params or {})
     common = {"featuresCol": "features", "labelCol": "label"}
@@ -86,6 +88,7 @@ def make_estimator(kind: str, params: dict | None = None, n_features: int = len(
 
 
 MODEL_CLASSES = {
+    "boosted": bst.BoostedModel,
     "gbt": GBTClassificationModel,
     "logistic": LogisticRegressionModel,
     "random_forest": RandomForestClassificationModel,
@@ -163,6 +166,13 @@ class TrainingSet:
     features: list[str]
     stats: dict
     id_col: str
+    borders: list[list[float]] | None = None
+
+    def cut(self) -> list[list[float]]:
+        """The borders of the features' bins, found once for all fits on these rows."""
+        if self.borders is None:
+            self.borders = bst.quantile_borders(self.rows, self.features)
+        return self.borders
 
 
 def balance(
@@ -205,7 +215,13 @@ def balance(
 def fit_on(training: TrainingSet, kind: str = "gbt", params: dict | None = None, seed: int = SEED) -> BalancedModel:
     """Fit one estimator on a rebalanced training set."""
     params = dict(params or {})
-    if kind == "knn":
+    if kind == "boosted":
+        model = bst.fit_boosted(
+            training.rows, training.features, iterations=int(params.get("iterations", 200)), depth=int(params.get("depth", 6)),
+            learning_rate=float(params.get("learning_rate", 0.1)), l2_leaf_reg=float(params.get("l2_leaf_reg", 3.0)),
+            borders=training.cut(),
+        )
+    elif kind == "knn":
         from cardsight.operators.neighbors import KnnModel
 
         rows = training.rows.select(training.id_col, *training.features, "label")
@@ -232,8 +248,8 @@ def fit_weighted(
     seed: int = SEED,
 ) -> BalancedModel:
     """Fit on all training rows, scaled and weighted by class instead of resampled."""
-    estimator = make_estimator(kind, params, len(features), seed)
-    if not estimator.hasParam("weightCol"):
+    estimator = make_estimator(kind, params, len(features), seed) if kind != "boosted" else None
+    if estimator is None or not estimator.hasParam("weightCol"):
         raise ValueError(f"{kind} takes no class weights")
     train = materialize(train.select(id_col, *features, label))
     stats = smp.fit_scaler(train, features)
@@ -261,7 +277,7 @@ TREE = {"depth": 30}
 # The competitors' display names.
 COMPETITORS = {
     "Logistic Reg.": ("logistic", {}),
-    "Gradient Boosting": ("gbt", BOOSTED),
+    "Gradient Boosting": ("boosted", BOOSTED),
     "Random Forest": ("random_forest", FOREST),
     "K-NN": ("knn", {"k": 5}),
     "Naive Bayes": ("naive_bayes", {}),
@@ -334,12 +350,12 @@ def compete(
 #: Settings of the rebalancing steps, logged with every run.
 PIPELINE_DEFAULTS = {"oversample": 0.3, "undersample": 1.0, "k_neighbors": 5}
 
-# The tuned ranges (integers uniform, rates log-uniform). Spark's
-# trees have no L2 leaf regulariser, so that range is not drawn.
+# The tuned ranges (integers uniform, rates and the regulariser log-uniform).
 REFERENCE_SPACE = {
     "iterations": ("int", 100, 1000),
     "learning_rate": ("log", 0.001, 0.1),
     "depth": ("int", 3, 10),
+    "l2_leaf_reg": ("log", 0.1, 10.0),
 }
 
 
@@ -358,44 +374,78 @@ def sample_params(space: dict, seed: int, trial: int) -> dict:
     return out
 
 
+def _prefix_trials(training: TrainingSet, validate: DataFrame, trials: list[tuple[int, dict]], objective: str, parallelism: int) -> list[tuple[int, dict, float]]:
+    """Values of boosted trials: trials that differ in their rounds only share the fit of the
+    most rounds, and one pass over the validation rows scores all of them after theirs."""
+    shared: dict[tuple, list[tuple[int, dict]]] = {}
+    for trial, params in trials:
+        shared.setdefault(tuple(sorted((k, v) for k, v in params.items() if k != "iterations")), []).append((trial, params))
+    groups = list(shared.values())
+    most = [max(g, key=lambda x: x[1].get("iterations", 200))[1] for g in groups]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        models = list(pool.map(lambda params: fit_on(training, "boosted", params).model, most))
+    rounds = [[int(p.get("iterations", 200)) for _, p in g] for g in groups]
+    calls = bst.prefix_calls(models, rounds, validate).collect()  # four rows a trial
+    n = {(r["model"], r["rounds"], r["label"], r["prediction"]): r["n"] for r in calls}
+    out = []
+    for place, group in enumerate(groups):
+        for trial, params in group:
+            tn, fp, fn, tp = (n.get((place, int(params.get("iterations", 200)), y, p), 0) for y in (0, 1) for p in (0, 1))
+            ratio = lambda a, b: a / b if b else 0.0
+            value = {"accuracy": ratio(tp + tn, tp + tn + fp + fn), "precision": ratio(tp, tp + fp), "recall": ratio(tp, tp + fn),
+                     "f1": ratio(2 * tp, 2 * tp + fp + fn)}[objective]
+            out.append((trial, params, value))
+    return out
+
+
 def random_search(
     train: DataFrame,
     validate: DataFrame,
     study: str,
-    n_trials: int,
+    n_trials: int = 100,
     space: dict = REFERENCE_SPACE,
-    kind: str = "gbt",
+    kind: str = "boosted",
     objective: str = "recall",
     seed: int = SEED,
     root: str | None = None,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     **settings,
 ) -> DataFrame:
     """Maximise a validation metric over ``n_trials`` seeded draws. Draws are
-    independent, so ``parallelism`` driver threads run them concurrently (each
-    fit is itself distributed). Finished trials of ``study`` are read from the
-    trials table and skipped, so a rerun resumes; the study's key covers the
-    data, the space, the seed and the settings, so nothing else resumes it. The
-    rebalanced training set is built once. Returns the study's trials."""
+    independent, so ``parallelism`` driver threads run their fits concurrently
+    (each is itself distributed; by default as many as the session's slots hold).
+    Boosted trials go in waves, each scored by one pass. Finished trials of
+    ``study`` are read from the trials table and skipped, so a rerun resumes; the
+    study's key covers the data, the space, the seed and the settings, so nothing
+    else resumes it. The rebalanced training set and its bins are built once.
+    Returns the study's trials."""
     spark = train.sparkSession
     digests = [trk.dataset_profile(df, "search", "split")["digest"] for df in (train, validate)]
     study = f"{study}-{trk.key_of(digests, space, kind, objective, seed, settings)}"
     done = {r["trial"] for r in trk.read_table(spark, "trials", root).where(F.col("study") == study).select("trial").collect()}
-    todo = [t for t in range(n_trials) if t not in done]
+    todo = [(t, sample_params(space, seed, t)) for t in range(n_trials) if t not in done]
     if todo:
         training = balance(train, seed=seed, **settings)
-        validate = materialize(validate)
-        lock = threading.Lock()
+        if kind == "boosted":
+            training.cut()
+            held = materialize(assemble(smp.apply_scaler(validate, training.stats), training.features))
+            tasks = bst.n_tasks(training.rows, training.rows.count())
+            fits = parallelism or max(1, spark.sparkContext.defaultParallelism // tasks)
+            for at in range(0, len(todo), 2 * fits):
+                found = _prefix_trials(training, held, todo[at : at + 2 * fits], objective, fits)
+                trk.append(spark, "trials", [(study, trial, params, float(value)) for trial, params, value in found], root)
+        else:
+            validate = materialize(validate)
+            lock = threading.Lock()
 
-        def one(trial: int) -> None:
-            params = sample_params(space, seed, trial)
-            fitted = fit_on(training, kind, params, seed)
-            value = ev.metrics_map(score(fitted, validate))[objective]
-            with lock:  # one writer at a time into the table folder
-                trk.append(spark, "trials", [(study, trial, params, float(value))], root)
+            def one(task: tuple[int, dict]) -> None:
+                trial, params = task
+                value = ev.metrics_map(score(fit_on(training, kind, params, seed), validate))[objective]
+                with lock:  # one writer at a time into the table folder
+                    trk.append(spark, "trials", [(study, trial, params, float(value))], root)
 
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            list(pool.map(one, todo))
+            with ThreadPoolExecutor(max_workers=parallelism or 2) as pool:
+                list(pool.map(one, todo))
     return trk.read_table(spark, "trials", root).where(F.col("study") == study)
 
 
@@ -415,14 +465,15 @@ def refit_and_register(
     model_name: str,
     run_name: str,
     source: str,
-    kind: str = "gbt",
+    kind: str = "boosted",
     seed: int = SEED,
     root: str | None = None,
     **settings,
 ) -> str:
     """Fit with the chosen parameters (the seed kept), score the validation
     rows, log the run with its metrics, the training data profile and the
-    training curve, and register the model as the next version."""
+    curves (boosted trees: every metric by round on training and validation rows;
+    other models: the training loss), and register the model as the next version."""
     spark = train.sparkSession
     import datetime as dt
 
@@ -436,16 +487,35 @@ def refit_and_register(
         profile["digest"], start_ts, root=root
     )
     trk.register_model(spark, fitted, model_name, run_id, root)
-    curve = training_curve(fitted)
-    if curve:
-        trk.log_curve(spark, run_id, "logistic_loss", curve, root)
+    if kind == "boosted":
+        trk.append(spark, "curves", [(run_id, *row) for row in round_metrics(fitted, validate)], root)
+    else:
+        curve = training_curve(fitted)
+        if curve:
+            trk.log_curve(spark, run_id, "logistic_loss", curve, root)
     return run_id
 
 
+#: Metrics of a round, in the order of the curve table.
+ROUND_METRICS = ["loss", "precision", "recall", "roc_auc", "pr_auc"]
+
+
+def round_metrics(fitted: BalancedModel, validate: DataFrame, label: str = S.LABEL_COLUMN) -> list[tuple[int, str, float]]:
+    """``iteration, metric, value`` of boosted trees: loss, precision, recall and areas after
+    every round, on the rows that the model was fitted on and on ``validate``."""
+    held = assemble(smp.apply_scaler(validate, fitted.stats), fitted.features, label)
+    counts = bst.round_counts(fitted.model, fitted.training_rows, "training").union(bst.round_counts(fitted.model, held, "validation"))
+    rows = bst.metrics_by_round(counts).collect()  # two rows a round
+    return [(r["round"], f"{r['dataset']}_{m}", r[m]) for r in sorted(rows, key=lambda r: (r["dataset"], r["round"])) for m in ROUND_METRICS]
+
+
 def training_curve(fitted: BalancedModel) -> list[float]:
     """Loss per iteration: boosted trees re-evaluated on their training rows,
     logistic regression from its objective history."""
     model = fitted.model
+    if isinstance(model, bst.BoostedModel):
+        losses = bst.metrics_by_round(bst.round_counts(model, fitted.training_rows, "training"))
+        return [r["loss"] for r in losses.orderBy("round").select("loss").collect()]
     if hasattr(model, "evaluateEachIteration") and fitted.training_rows is not None:
         return list(model.evaluateEachIteration(fitted.training_rows))
     summary = getattr(model, "summary", None) if getattr(model, "hasSummary", False) else None
