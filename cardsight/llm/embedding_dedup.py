@@ -239,18 +239,19 @@ def near_duplicates(
         (sound & F.col(id_col).isNotNull()).alias("sound"),
         F.xxhash64(vector_col).alias("h1"), F.xxhash64(F.lit(seed), vector_col).alias("h2"),
     )
-    # Equal vectors (by 128 bits of hash) are one class, named by their smallest id.
+    # Equal vectors (by 128 bits of hash) are one class. Classes are numbered by their smallest
+    # ids, which several classes may share, so a component's smallest number has its smallest id.
     classes = stored(
-        rows.where("sound").groupBy("h1", "h2").agg(
-            F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("v").alias("v")
-        ),
+        rows.where("sound").groupBy("h1", "h2")
+        .agg(F.min("id").alias("first"), F.count("*").alias("copies"), F.first("v").alias("v"))
+        .orderBy("first", "h1", "h2").withColumn("rep", F.monotonically_increasing_id()),
         "embedding-classes",
     )
     listed = []
     for r in sorted(classes.groupBy(F.size("v").alias("dim")).count().collect()):
         of_dim = classes.where(F.size("v") == r["dim"])
         most = n_pivots(r["count"])
-        chosen = of_dim.orderBy(F.xxhash64("rep", F.lit(seed)), "rep").limit(2 * most).select("v").toArrow()
+        chosen = of_dim.orderBy(F.xxhash64("first", F.lit(seed)), "first", "h1", "h2").limit(2 * most).select("v").toArrow()
         pivots = apart(unit(_matrix(chosen.column(0)).astype(np.float64)), most)
         element = dict(vectors.dtypes)[vector_col]
         listed.append(
@@ -276,12 +277,13 @@ def near_duplicates(
     every = found.unionByName(across)
     links = every.where(F.col("rep").isNotNull()).groupBy("rep").agg(F.sum("links").alias("links"))
     labels = connected_components(every.where(F.col("src").isNotNull()).select("src", "dst"))
+    numbered = classes.select("h1", "h2", "rep", "first", "copies")
+    smallest = classes.select(F.col("rep").alias("label"), F.col("first").alias("component"))
     by_class = stored(
-        classes.select("h1", "h2", "rep", "copies").join(links, "rep", "left")
-        .join(labels, F.col("rep") == F.col("node"), "left")
+        numbered.join(links, "rep", "left").join(labels, F.col("rep") == F.col("node"), "left").join(smallest, "label", "left")
         .select(
             "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-            F.coalesce("label", "rep").alias("label"),
+            F.coalesce("component", "first").alias("label"),
         ),
         "embedding-by-class",
     )

@@ -82,3 +82,11 @@ def test_whole_table(spark):
 
 def test_number_of_pivots_grows_within_bounds():
     assert [D.n_pivots(n) for n in (0, 1, 10_000, 10**6, 10**12)] == [32, 32, 128, 1024, 8192]
+
+
+def test_rows_of_one_id_are_separate_vectors(spark):
+    rng = np.random.default_rng(7)
+    a, b = rng.normal(size=(2, 16))
+    near = lambda v: v + rng.normal(size=16) * 0.01
+    vectors = [(1, a), (1, b), (2, near(a)), (3, near(a)), (4, near(b)), (-5, near(b)), (9, rng.normal(size=16)), (9, a), (9, a)]
+    assert rows_of(D.near_duplicates(frame(spark, vectors)).collect()) == sorted(map(str, brute(vectors)))
