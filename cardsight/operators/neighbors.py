@@ -293,24 +293,18 @@ def smote(
 # --------------------------------------------------------------------------- k-NN classifier
 
 
-def _row_number(rows: DataFrame) -> Column:
-    """A negative id from the row itself; equal synthetic rows may share it, and count as one neighbour."""
-    return -1 - F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << 62) - 1))
-
-
 class KnnModel:
     """k-NN vote: score = share of fraudulent labels among the k nearest
     training rows, prediction = score > 0.5."""
 
     def __init__(self, training: DataFrame, features: Sequence[str], id_col: str, k: int = 5):
-        # Training rows need unique ids (synthetic rows get one from their position).
+        # Rows without an id, the synthetic ones, get negative numbers from their place in the
+        # materialised rows: equal rows stay as many neighbours as they are.
         self.features = list(features)
         self.id_col = id_col
         self.k = k
-        self.training = materialize(
-            training.withColumn("_rid", F.coalesce(F.col(id_col), _row_number(training.select(*features, "label"))))
-            .dropDuplicates(["_rid"])
-        )
+        number = -1 - F.monotonically_increasing_id()
+        self.training = materialize(training.withColumn("_rid", F.coalesce(F.col(id_col), number)))
 
     @classmethod
     def of(cls, training: DataFrame, features: Sequence[str], k: int = 5, id_col: str = S.TRANSACTION_ID) -> KnnModel:

@@ -119,3 +119,13 @@ print("rows", nb.knn_join(df, df, ["a"], k=2).count())
     with tempfile.TemporaryDirectory() as folder:
         out = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=200)
     assert "rows 60" in out.stdout, out.stderr[-2000:]
+
+
+def test_equal_training_rows_are_as_many_neighbours(spark):
+    train = spark.createDataFrame(
+        [(None, 0.0, 1.0), (None, 0.0, 1.0), (None, 0.0, 1.0), (1, 1.0, 0.0), (2, 2.0, 0.0), (3, 3.0, 0.0)],
+        "TRANSACTION_ID long, a double, label double",
+    )
+    model = nb.KnnModel(train, ["a"], "TRANSACTION_ID", k=5)
+    row = model.transform(spark.createDataFrame([(7, 0.0)], "TRANSACTION_ID long, a double")).first()
+    assert (row["score"], row["prediction"]) == (0.6, 1.0)
