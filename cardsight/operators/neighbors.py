@@ -1,21 +1,21 @@
 """Exact k-nearest-neighbour join, SMOTE oversampling and a k-NN classifier.
 
-``knn_join`` is exact and never forms a cross join or a row per pair:
-
-1. ``P`` pivots are drawn from the reference rows (seeded order, bounded P)
-   and shipped to the tasks.
-2. Each query row gets its cell (nearest pivot) and ``theta`` = distance to
-   its (k+1)-th nearest pivot. Pivots are reference rows, so the query has k
-   neighbours (itself excluded) within ``theta``. Per cell, ``U`` = max
-   distance of its queries to the pivot and ``T`` = max ``theta`` (one small
-   aggregate, one row per cell).
-3. A reference row ``p`` can be a neighbour of a query of cell ``i`` only if
-   ``d(p, pivot_i) <= U_i + T_i`` (triangle inequality); it is sent to those
-   cells only.
-4. Queries are split into chunks and candidates into blocks per cell; each
-   (cell, chunk, block) group computes its distance matrix in NumPy and emits
-   the k best per query, so a task holds at most ``chunk x block`` distances.
-   A last window over at most ``k x blocks`` rows per query keeps the k best.
+``knn_join`` is exact and never forms a cross join or a row per pair. It has
+two rounds over a k-d partition of the reference rows:
+
+1. Boxes are cut at the medians of a bounded, seeded sample, feature by
+   feature along the widest side, until a box holds about ``box_rows`` rows; one
+   aggregate gives the real bounds of each box. Any cuts give the same result.
+2. In the first round each query meets one block of its own box, which gives
+   it a bound of its own: the distance of its k-th nearest row there.
+3. In the second round a query is sent to the boxes that its ball meets (found
+   by walking down the tree of boxes) and no others, and takes the k best of
+   each. A last window over ``k`` rows per block that it met keeps the k best.
+
+Rows of a box are dealt to blocks of about ``block`` rows, so a box that no cut
+divides (equal rows) is many blocks; queries of a box are dealt to chunks of
+about ``chunk`` rows, one for all but hot boxes. A group of (box, block, chunk) is
+streamed: its reference rows are held, its queries pass by.
 
 Distances are Euclidean; ties are broken by reference id.
 """
@@ -23,13 +23,12 @@ Distances are Euclidean; ties are broken by reference id.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cardsight import schema as S
 from cardsight.functions.hashing import seeded_int, seeded_uniform
@@ -53,16 +52,6 @@ def _dist(X: np.ndarray, Y: np.ndarray, budget: int = BLOCK_DOUBLES) -> np.ndarr
     return out
 
 
-def _pivots(reference: DataFrame, features: list[str], id_col: str, n_ref: int, cell_target: int,
-            max_pivots: int, seed: int) -> np.ndarray:
-    """The ``P`` reference rows with the smallest seeded keys: a bounded top-k
-    (each task keeps P rows), ``P <= max_pivots``."""
-    p = max(1, min(max_pivots, math.ceil(n_ref / cell_target)))
-    keyed = reference.withColumn("_ok", smp.order_key(seed, id_col))
-    rows = keyed.orderBy("_ok", id_col).limit(p).select(*features).collect()
-    return np.array([[float(r[c]) for c in features] for r in rows])
-
-
 def _points(df: DataFrame, features: list[str], id_col: str) -> DataFrame:
     """``_id`` and the features as doubles; a NULL or NaN feature has no distance and raises an error."""
 
@@ -74,11 +63,129 @@ def _points(df: DataFrame, features: list[str], id_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("_id"), *[sound(c) for c in features])
 
 
-def _batches(pdf: pd.DataFrame, width: int):
-    """Slices whose distances to ``width`` points stay within ``BLOCK_DOUBLES``."""
-    rows = max(1, BLOCK_DOUBLES // max(1, width))
-    for at in range(0, len(pdf), rows):
-        yield pdf.iloc[at : at + rows]
+# --------------------------------------------------------------------------- the tree of boxes
+
+
+class Boxes:
+    """A k-d tree of ``n`` leaves: node ``i`` asks ``x[feature[i]] > cut[i]`` and has the children
+    ``2 i + 1`` and ``2 i + 2``; leaves come last. ``low`` and ``high`` are the bounds of each node's rows."""
+
+    def __init__(self, depth: int, sample: np.ndarray):
+        self.depth, inner = depth, (1 << depth) - 1
+        self.feature, self.cut = np.zeros(inner, int), np.zeros(inner)
+        parts = {0: sample}
+        for i in range(inner):
+            part = parts.pop(i)
+            if len(part):
+                self.feature[i] = np.argmax(part.max(axis=0) - part.min(axis=0))
+                self.cut[i] = np.median(part[:, self.feature[i]])
+            above = part[:, self.feature[i]] > self.cut[i]
+            parts[2 * i + 1], parts[2 * i + 2] = part[~above], part[above]
+        self.low = self.high = None
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The box of each row."""
+        node = np.zeros(len(x), int)
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (x[np.arange(len(x)), self.feature[node]] > self.cut[node])
+        return node - ((1 << self.depth) - 1)
+
+    def bound(self, bounds: dict[int, tuple[list, list]], width: int) -> None:
+        """Bounds of the boxes that hold rows (box -> lows, highs), and so of all nodes."""
+        inner, n = (1 << self.depth) - 1, 1 << self.depth
+        self.low, self.high = np.full((inner + n, width), np.inf), np.full((inner + n, width), -np.inf)
+        for box, (low, high) in bounds.items():
+            self.low[inner + box], self.high[inner + box] = low, high
+        for i in range(inner - 1, -1, -1):
+            self.low[i] = np.minimum(self.low[2 * i + 1], self.low[2 * i + 2])
+            self.high[i] = np.maximum(self.high[2 * i + 1], self.high[2 * i + 2])
+
+    def met(self, x: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of rows and the boxes that hold rows within ``theta`` of them."""
+        row, node = np.arange(len(x)), np.zeros(len(x), int)
+        for level in range(self.depth + 1):
+            gap = np.maximum(np.maximum(self.low[node] - x[row], x[row] - self.high[node]), 0.0)
+            near = np.sqrt((gap * gap).sum(axis=1)) <= theta[row] * (1 + SLACK) + SLACK
+            near &= self.low[node, 0] <= self.high[node, 0]  # a box without rows is met by none
+            row, node = row[near], node[near]
+            if level < self.depth:
+                row, node = np.r_[row, row], np.r_[2 * node + 1, 2 * node + 2]
+        return row, node - ((1 << self.depth) - 1)
+
+
+# --------------------------------------------------------------------------- groups of reference rows and queries
+
+_BITS = 20  # of a block's and of a chunk's number
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """Pieces of one group and kind (``_g``, ``_query``) of a sorted stream."""
+    for batch in batches:
+        if batch.num_rows:
+            g, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_g", "_query"))
+            start = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (kind[1:] != kind[:-1])])
+            for s, e in zip(start, np.r_[start[1:], len(g)]):
+                yield int(g[s]), bool(kind[s]), batch.slice(s, e - s)
+
+
+def _meet(features: list[str], k: int, exclude_self: bool, bound: bool):
+    """Task: groups sorted with their reference rows first -> for each query its distance bound
+    (``_id``, features, ``_theta``), or its ``k`` nearest rows of the group (``q_id, r_id, distance``)."""
+
+    def values(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        return part.column("_id").to_numpy(), np.column_stack([part.column(c).to_numpy() for c in features])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, parts, held = None, [], None
+        for g, is_query, part in _runs(batches):
+            if g != group:
+                group, parts, held = g, [], None
+            if not is_query:
+                parts.append(values(part))
+                continue
+            if held is None:
+                rid, R = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, int), np.empty((0, len(features))))
+                order = np.argsort(rid, kind="stable")  # equal distances resolve by id
+                held, parts = (rid[order], R[order]), []
+            rid, R = held
+            rows = max(1, BLOCK_DOUBLES // max(1, len(rid)))
+            for s in range(0, part.num_rows, rows):
+                piece = part.slice(s, rows)
+                qid, Q = values(piece)
+                D = _dist(Q, R)
+                if exclude_self:
+                    D[qid[:, None] == rid[None, :]] = np.inf
+                take = min(k, D.shape[1])
+                if bound:
+                    theta = np.partition(D, k - 1, axis=1)[:, k - 1] if take == k else np.full(len(qid), np.inf)
+                    yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ["_id", *features]), pa.array(theta)], ["_id", *features, "_theta"])
+                elif take:
+                    idx = np.argsort(D, axis=1, kind="stable")[:, :take]
+                    distance = np.take_along_axis(D, idx, axis=1)
+                    known = np.isfinite(distance)
+                    columns = [np.repeat(qid, take).reshape(-1, take)[known], rid[idx][known], distance[known]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["q_id", "r_id", "distance"])
+
+    return run
+
+
+def _grouped(queries: DataFrame, reference: DataFrame, plan: dict[int, tuple[int, int]], columns: list[str], first_only: bool) -> DataFrame:
+    """Queries and reference rows (``_box``, ``columns``) by group, reference rows first. ``plan``
+    has the blocks and chunks of each box that has more than one of either."""
+    spark = queries.sparkSession
+    rows = [(box, *sizes) for box, sizes in plan.items() if sizes != (1, 1)] or [(-1, 1, 1)]
+    sizes = F.broadcast(spark.createDataFrame(rows, "_box int, _blocks long, _chunks long"))  # at most a row per box
+    n = lambda c: F.coalesce(F.col(c), F.lit(1))
+    all_of = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), n(c) - 1))
+    own = lambda c: F.pmod(F.xxhash64("_id"), n(c))
+    q = queries.join(sizes, "_box", "left").withColumn("_chunk", own("_chunks"))
+    q = q.withColumn("_block", F.lit(0).cast("long")) if first_only else q.withColumn("_block", all_of("_blocks"))
+    r = reference.join(sizes, "_box", "left").withColumn("_block", own("_blocks"))
+    r = (r.where("_block = 0") if first_only else r).withColumn("_chunk", all_of("_chunks"))
+    g = F.shiftleft(F.shiftleft(F.col("_box").cast("long"), _BITS) + F.col("_block"), _BITS) + F.col("_chunk")
+    both = r.select(g.alias("_g"), F.lit(False).alias("_query"), *columns).union(q.select(g.alias("_g"), F.lit(True).alias("_query"), *columns))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return both.repartition(tasks, "_g").sortWithinPartitions("_g", "_query")
 
 
 def knn_join(
@@ -88,136 +195,77 @@ def knn_join(
     k: int = 5,
     id_col: str = S.TRANSACTION_ID,
     exclude_self: bool = True,
-    cell_target: int = 1000,
-    max_pivots: int = 4096,
-    chunk: int = 1024,
-    block: int = 4096,
+    box_rows: int = 4096,
+    max_boxes: int = 1 << 16,
+    chunk: int = 1_000_000,
+    block: int = 16_384,
     seed: int = 0,
     n_ref: int | None = None,
 ) -> DataFrame:
     """``q_id, rank, r_id, distance``: the k nearest reference rows per query
     (rank 1 is nearest). With ``exclude_self`` a reference row with the
     query's id is skipped. ``n_ref`` (the reference row count, when known)
-    only sizes the pivot set."""
+    only sizes the boxes. ``max_boxes`` bounds the tree that goes to all tasks;
+    boxes beyond it are larger, and their blocks more."""
     features = list(features)
     spark = queries.sparkSession
     ship_package(spark)
-    q = _points(queries, features, id_col)
-    r = _points(reference, features, id_col)
+    columns = ["_id", *features]
+    q, r = _points(queries, features, id_col), _points(reference, features, id_col)
     n_ref = r.count() if n_ref is None else n_ref
     if n_ref == 0:
         return spark.createDataFrame([], "q_id long, rank int, r_id long, distance double")
-    piv = _pivots(r.withColumnRenamed("_id", id_col), features, id_col, n_ref, cell_target, max_pivots, seed)
-    n_piv = len(piv)
-    kk = k + 1 if exclude_self else k
-    sc = spark.sparkContext
-    piv_b = sc.broadcast(piv)  # at most max_pivots x features doubles
-
-    # 2. per query: cell, distance to its pivot, theta.
-    def assign(batches):
-        pv = piv_b.value
-        for pdf in (part for batch in batches for part in _batches(batch, n_piv)):
-            X = pdf[features].to_numpy(float)
-            D = _dist(X, pv)
-            cell = D.argmin(axis=1)
-            own = D[np.arange(len(X)), cell]
-            theta = np.partition(D, kk - 1, axis=1)[:, kk - 1] if n_piv >= kk else np.full(len(X), np.inf)
-            out = pdf.copy()
-            out["_cell"] = cell.astype("int32")
-            out["_own"] = own
-            out["_theta"] = theta
-            yield out
-
-    # The assignment carries the query's features along, so the chunked side
-    # below needs no join back to the queries.
-    assign_schema = T.StructType(
-        q.schema.fields
-        + [T.StructField("_cell", T.IntegerType()), T.StructField("_own", T.DoubleType()),
-           T.StructField("_theta", T.DoubleType())]
-    )
-    # Read for the cells' bounds and again for the chunks: materialised once.
-    assigned = materialize(q.mapInPandas(assign, assign_schema))
-    cells = {
-        row["_cell"]: (row["n"], row["u"], row["t"])
-        for row in assigned.groupBy("_cell")
-        .agg(F.count("*").alias("n"), F.max("_own").alias("u"), F.max("_theta").alias("t"))
-        .collect()
-    }  # at most n_piv rows
-    radius = np.full(n_piv, -1.0)
-    for c, (_, u, t) in cells.items():
-        radius[c] = (u + t) * (1 + SLACK) + SLACK
-    radius_b = sc.broadcast(radius)
-    q_chunks = np.ones(n_piv, dtype=int)
-    for c, (n, _, _) in cells.items():
-        q_chunks[c] = max(1, math.ceil(n / chunk))
-
-    # 3. candidates: each reference row goes to the cells it can serve.
-    def candidates(batches):
-        pv, rad = piv_b.value, radius_b.value
-        for pdf in (part for batch in batches for part in _batches(batch, n_piv)):
-            X = pdf[features].to_numpy(float)
-            D = _dist(X, pv)
-            hit_rows, hit_cells = np.nonzero(D <= rad[None, :])
-            for at in range(0, len(hit_rows), PIECE_ROWS):
-                out = pdf.iloc[hit_rows[at : at + PIECE_ROWS]].copy()
-                out["_cell"] = hit_cells[at : at + PIECE_ROWS].astype("int32")
-                yield out
-
-    cand_schema = T.StructType(r.schema.fields + [T.StructField("_cell", T.IntegerType())])
-    cand = materialize(r.mapInPandas(candidates, cand_schema))
-    cand_counts = {row["_cell"]: row["n"] for row in cand.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
-    c_blocks = np.ones(n_piv, dtype=int)
-    for c, n in cand_counts.items():
-        c_blocks[c] = max(1, math.ceil(n / block))
-
-    # One row per cell (at most max_pivots rows): a proven bound, so broadcast.
-    plan_rows = [(int(c), int(q_chunks[c]), int(c_blocks[c])) for c in range(n_piv)]
-    cell_plan = F.broadcast(spark.createDataFrame(plan_rows, "_cell int, _nchunks int, _nblocks int"))
-    qside = (
-        assigned.drop("_own", "_theta")
-        .join(cell_plan, "_cell")
-        .withColumn("_chunk", F.pmod(F.xxhash64("_id"), F.col("_nchunks").cast("long")).cast("int"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_nblocks") - 1)))
-        .drop("_nchunks", "_nblocks")
-    )
-    rside = (
-        cand.join(cell_plan, "_cell")
-        .withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_nblocks").cast("long")).cast("int"))
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_nchunks") - 1)))
-        .drop("_nchunks", "_nblocks")
-    )
-
-    # 4. exact distances per (cell, chunk, block), k best per query.
-    def best(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or rpdf.empty:
-            return pd.DataFrame({"q_id": [], "r_id": [], "distance": []}).astype(
-                {"q_id": "int64", "r_id": "int64", "distance": "float64"}
-            )
-        rpdf = rpdf.sort_values("_id", kind="stable")  # equal distances resolve by id
-        D = _dist(qpdf[features].to_numpy(float), rpdf[features].to_numpy(float))
-        qid = qpdf["_id"].to_numpy()
-        rid = rpdf["_id"].to_numpy()
-        if exclude_self:
-            D[qid[:, None] == rid[None, :]] = np.inf
-        take = min(k, D.shape[1])
-        idx = np.argsort(D, axis=1, kind="stable")[:, :take] if take else np.empty((len(D), 0), dtype=int)
-        out_q = np.repeat(qid, take)
-        out_r = rid[idx].ravel()
-        out_d = np.take_along_axis(D, idx, axis=1).ravel()
-        keep = np.isfinite(out_d)
-        return pd.DataFrame({"q_id": out_q[keep], "r_id": out_r[keep], "distance": out_d[keep]})
-
-    keys = ["_cell", "_chunk", "_block"]
-    partial = (
-        qside.groupBy(*keys)
-        .cogroup(rside.groupBy(*keys))
-        .applyInPandas(best, "q_id long, r_id long, distance double")
+    depth = max(0, min(math.ceil(math.log2(n_ref / box_rows)), int(math.log2(max_boxes))))
+    spec = ", ".join(f"`{c}` {'long' if c == '_id' else 'double'}" for c in columns)
+    q, r = (df.select(F.col("_id").cast("long").alias("_id"), *features) for df in (q, r))
+    if depth == 0:
+        counts = {0: n_ref}
+        rboxed, met = r.withColumn("_box", F.lit(0)), q.withColumn("_box", F.lit(0))
+        chunks = {0: -(-q.count() // chunk)}
+    else:
+        # At most 64 rows a box: any cuts give the same neighbours.
+        sample = r.withColumn("_ok", smp.order_key(seed, "_id")).orderBy("_ok", "_id").limit(64 << depth).select(*features)
+        tree = Boxes(depth, sample.toPandas().to_numpy(float))
+        cut = spark.sparkContext.broadcast(tree)
+
+        def boxed(df: DataFrame) -> DataFrame:
+            def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    x = np.column_stack([batch.column(c).to_numpy() for c in features])
+                    yield batch.append_column("_box", pa.array(cut.value.of(x).astype(np.int32)))
+
+            return df.mapInArrow(run, f"{spec}, _box int")
+
+        rboxed = materialize(boxed(r))
+        ends = [f(c).alias(f"{n}{i}") for i, c in enumerate(features) for n, f in (("l", F.min), ("h", F.max))]
+        found = rboxed.groupBy("_box").agg(F.count("*").alias("n"), *ends).collect()  # a row for each box
+        counts = {x["_box"]: x["n"] for x in found}
+        tree.bound({x["_box"]: tuple([x[f"{e}{i}"] for i in range(len(features))] for e in "lh") for x in found}, len(features))
+
+        qboxed = materialize(boxed(q))
+        n_queries = {x["_box"]: x["count"] for x in qboxed.groupBy("_box").count().collect()}  # a row for each box
+        plan = {b: (-(-counts.get(b, 1) // block), -(-n // chunk)) for b, n in n_queries.items()}
+        once = _grouped(qboxed, rboxed, plan, columns, first_only=True)
+        bounded = once.mapInArrow(_meet(features, k, exclude_self, bound=True), f"{spec}, _theta double")
+        shared = spark.sparkContext.broadcast(tree)
+
+        def ship(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for s in range(0, batch.num_rows, PIECE_ROWS):
+                    part = batch.slice(s, PIECE_ROWS)
+                    x = np.column_stack([part.column(c).to_numpy() for c in features])
+                    row, box = shared.value.met(x, part.column("_theta").to_numpy())
+                    yield part.select(columns).take(pa.array(row)).append_column("_box", pa.array(box.astype(np.int32)))
+
+        met = materialize(bounded.mapInArrow(ship, f"{spec}, _box int"))
+        chunks = {x["_box"]: -(-x["count"] // chunk) for x in met.groupBy("_box").count().collect()}  # a row for each box
+    plan = {b: (-(-n // block), chunks.get(b, 1)) for b, n in counts.items()}
+    near = _grouped(met, rboxed, plan, columns, first_only=False).mapInArrow(
+        _meet(features, k, exclude_self, bound=False), "q_id long, r_id long, distance double"
     )
-    w = Window.partitionBy("q_id").orderBy("distance", "r_id")  # at most k x blocks rows per query
-    return (
-        partial.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
-        .select("q_id", F.col("rank").cast("int"), "r_id", "distance")
+    w = Window.partitionBy("q_id").orderBy("distance", "r_id")  # at most k rows for each block that the query met
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
+        "q_id", F.col("rank").cast("int"), "r_id", "distance"
     )
 
 

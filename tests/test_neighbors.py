@@ -40,7 +40,7 @@ def _points(spark, n, seed, clustered=False):
 @pytest.mark.parametrize("clustered", [False, True])
 def test_knn_join_is_exact(spark, clustered):
     df, pdf = _points(spark, 400, 1, clustered)
-    got = nb.knn_join(df, df, FEATS, k=5, cell_target=30, max_pivots=16, chunk=37, block=53).toPandas()
+    got = nb.knn_join(df, df, FEATS, k=5, box_rows=30, max_boxes=16, chunk=37, block=17).toPandas()
     want = knn_brute_force(pdf, pdf, FEATS, 5, "TRANSACTION_ID")
     got = got.sort_values(["q_id", "rank"]).reset_index(drop=True)
     assert (got[["q_id", "rank", "r_id"]].to_numpy() == want[["q_id", "rank", "r_id"]].to_numpy()).all()
@@ -52,7 +52,7 @@ def test_knn_join_other_side(spark):
     r, rp = _points(spark, 250, 3)
     r = r.withColumn("TRANSACTION_ID", F.col("TRANSACTION_ID") + 1000)
     rp["TRANSACTION_ID"] += 1000
-    got = nb.knn_join(q, r, FEATS, k=3, exclude_self=False, cell_target=20, chunk=16, block=40).toPandas()
+    got = nb.knn_join(q, r, FEATS, k=3, exclude_self=False, box_rows=20, chunk=16, block=40).toPandas()
     want = knn_brute_force(qp, rp, FEATS, 3, "TRANSACTION_ID", exclude_self=False)
     got = got.sort_values(["q_id", "rank"]).reset_index(drop=True)
     assert (got[["q_id", "rank", "r_id"]].to_numpy() == want[["q_id", "rank", "r_id"]].to_numpy()).all()
@@ -129,3 +129,30 @@ def test_equal_training_rows_are_as_many_neighbours(spark):
     model = nb.KnnModel(train, ["a"], "TRANSACTION_ID", k=5)
     row = model.transform(spark.createDataFrame([(7, 0.0)], "TRANSACTION_ID long, a double")).first()
     assert (row["score"], row["prediction"]) == (0.6, 1.0)
+
+
+def test_equal_rows_that_no_cut_divides(spark):
+    rng = np.random.default_rng(8)
+    X = np.r_[np.zeros((200, 3)), rng.integers(-9, 10, (300, 3)), np.full((40, 3), 30.0)]  # whole: exact distances
+    pdf = pd.DataFrame(X, columns=FEATS)
+    pdf.insert(0, "TRANSACTION_ID", np.arange(len(X), dtype="int64"))
+    df = spark.createDataFrame(pdf).repartition(5)
+    for k, block in ((4, 16), (30, 64)):
+        got = nb.knn_join(df, df, FEATS, k=k, box_rows=25, chunk=50, block=block).toPandas()
+        got = got.sort_values(["q_id", "rank"]).reset_index(drop=True)
+        want = knn_brute_force(pdf, pdf, FEATS, k, "TRANSACTION_ID")
+        assert (got[["q_id", "rank", "r_id"]].to_numpy() == want[["q_id", "rank", "r_id"]].to_numpy()).all()
+
+
+def test_a_query_meets_only_the_boxes_of_its_ball():
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(2000, 3))
+    tree = nb.Boxes(5, X[:500])
+    box = tree.of(X)
+    tree.bound({int(b): (X[box == b].min(axis=0), X[box == b].max(axis=0)) for b in set(box)}, 3)
+    Q, theta = rng.normal(size=(50, 3)), np.full(50, 0.3)
+    row, met = tree.met(Q, theta)
+    near = [{int(b) for b in box[np.linalg.norm(X - x, axis=1) <= 0.3]} for x in Q]
+    got = [set(met[row == i].tolist()) for i in range(50)]
+    assert all(a <= b for a, b in zip(near, got))
+    assert sum(map(len, got)) < 50 * 32 / 3
