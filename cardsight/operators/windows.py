@@ -27,9 +27,13 @@ Two physical strategies, same answers:
        hashing on the second spreads a hot entity's rows over all tasks. Rows
        without an entity are an entity of their own, as in a window.
 
-    An aggregate without prefix form (``func`` given as a function, say
-    ``F.max``) takes the rows themselves through the same blocks, so that its
-    groups are bounded alike.
+    Minimum, maximum, variance and standard deviation (by name, or as ``F.max``
+    and so on) have no prefix form, but states that merge: one per (entity,
+    second) as above, merged by powers of two (``mergeable``).
+
+    Any other aggregate, given as a function of a column, takes the rows
+    themselves through the same blocks; Spark goes through its moving frame for
+    every row, so it costs rows times rows of a frame.
 
 ``"sliding"``
     The direct form: ``func(field).over(partitionBy(entity).orderBy(sec)
@@ -44,7 +48,7 @@ by default); a value that needs more raises an error and asks for a larger
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,9 +56,16 @@ from pyspark.sql import functions as F
 from cardsight import schema as S
 from cardsight.functions.numeric import DEFAULT_SCALE, from_fixed, ratio_or_zero, safe_ratio, to_fixed
 from cardsight.functions.time import SECONDS_PER_DAY, epoch_seconds_of
+from cardsight.operators.mergeable import MERGEABLE, can_merge, framed, state
+from cardsight.session import ship_package
 
 SEC = "_sec"
-SUPPORTED = ("count", "sum", "avg", "risk")
+SUPPORTED = ("count", "sum", "avg", "risk", *MERGEABLE)
+#: Spark's functions that have a name of their own here.
+NAMED = {
+    F.min: "min", F.max: "max", F.stddev_pop: "stddev_pop", F.stddev_samp: "stddev_samp", F.stddev: "stddev_samp",
+    F.std: "stddev_samp", F.var_pop: "var_pop", F.var_samp: "var_samp", F.variance: "var_samp",
+}
 
 
 @dataclass(frozen=True)
@@ -126,11 +137,19 @@ def trailing_aggregates(
         out = _sliding(df, entity, specs, sec, scale)
     elif strategy == "block":
         out = df
-        named = [spec for spec in specs if not callable(spec.func)]
-        if named:
-            out = attach(out, per_second_features(df, entity, named, sec, scale, block_factor), entity, sec)
-        if len(named) < len(specs):
-            out = _row_blocks(out, entity, [spec for spec in specs if callable(spec.func)], sec, block_factor)
+        kinds: dict[str, list[FrameAgg]] = {"sums": [], "merged": [], "rows": []}
+        for spec in specs:
+            func = spec.func if isinstance(spec.func, str) else NAMED.get(spec.func)
+            mergeable = func in MERGEABLE and can_merge(df.schema[spec.field].dataType)
+            kind = "merged" if mergeable else "sums" if func in SUPPORTED and func not in MERGEABLE else "rows"
+            aggregate = getattr(F, func) if kind == "rows" and func in MERGEABLE else spec.func
+            kinds[kind].append(replace(spec, func=func if kind == "merged" else aggregate))
+        if kinds["sums"]:
+            out = attach(out, per_second_features(df, entity, kinds["sums"], sec, scale, block_factor), entity, sec)
+        if kinds["merged"]:
+            out = attach(out, _merged(df, entity, kinds["merged"], sec, block_factor), entity, sec)
+        if kinds["rows"]:
+            out = _row_blocks(out, entity, kinds["rows"], sec, block_factor)
         out = out.select(*df.columns, *[spec.name for spec in specs])
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -152,6 +171,8 @@ def _sliding(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, sc
         cnt = F.count(spec.field).over(w)
         if spec.func == "count":
             expr = cnt
+        elif spec.func in MERGEABLE:
+            expr = getattr(F, spec.func)(spec.field).over(w)
         elif spec.func == "sum":
             expr = from_fixed(F.sum(to_fixed(spec.field, dtype, scale)).over(w), dtype, scale)
         elif spec.func == "avg":
@@ -180,6 +201,15 @@ def _blocked(df: DataFrame, specs: Sequence[FrameAgg], sec: str, block_factor: i
     )
 
 
+def _merged(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, block_factor: int) -> DataFrame:
+    """One row per (entity, second) with the frames of aggregates whose states merge."""
+    ship_package(df.sparkSession)
+    fields = {f: (f"_state{i}", df.schema[f].dataType) for i, f in enumerate(dict.fromkeys(s.field for s in specs))}
+    states = [part for f, (name, dtype) in fields.items() for part in state(f, dtype, name)]
+    per_second = df.groupBy(entity, sec).agg(*states).where(F.col(sec).isNotNull())
+    return framed(_blocked(per_second, specs, sec, block_factor), entity, sec, specs, fields)
+
+
 def _row_blocks(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, block_factor: int) -> DataFrame:
     """Any aggregate over the rows of a block and of the lookback before it."""
     w = Window.partitionBy(entity, "_blk").orderBy(sec)

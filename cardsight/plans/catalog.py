@@ -144,6 +144,31 @@ def q_features_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return feat.build_features(load_transactions(spark, sf), strategy="sliding")
 
 
+def _merged_sql() -> str:
+    second = "floor(epoch(TX_DATETIME))"
+    near = "(PARTITION BY TERMINAL_ID ORDER BY sec RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)"
+    late = "(PARTITION BY TERMINAL_ID ORDER BY sec RANGE BETWEEN 691200 PRECEDING AND 604800 PRECEDING)"
+    return f"""WITH {Q.TX_CTE}, t AS (SELECT *, CAST({second} AS BIGINT) AS sec FROM tx)
+      SELECT TRANSACTION_ID, min(TX_AMOUNT) OVER {near} AS min_7_day, max(TX_AMOUNT) OVER {near} AS max_7_day,
+             round(stddev_pop(TX_AMOUNT) OVER {near}, 6) AS std_7_day, max(TX_AMOUNT) OVER {late} AS late_max,
+             round(coalesce(stddev_samp(TX_AMOUNT) OVER {late}, -1), 5) AS late_std FROM t"""
+
+
+@register("w1_merged_states", _merged_sql())
+def q_merged_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Extremes and deviations of the amounts at each terminal, of the last 7 days and of a day a week before."""
+    specs = [
+        win.FrameAgg("min_7_day", "min", S.TX_AMOUNT, 7),
+        win.FrameAgg("max_7_day", "max", S.TX_AMOUNT, 7),
+        win.FrameAgg("std_7_day", "stddev_pop", S.TX_AMOUNT, 7),
+        win.FrameAgg("late_max", "max", S.TX_AMOUNT, 1, 7),
+        win.FrameAgg("late_std", "stddev_samp", S.TX_AMOUNT, 1, 7),
+    ]
+    out = win.trailing_aggregates(load_transactions(spark, sf), S.TERMINAL_ID, specs)
+    late_std = F.round(F.coalesce("late_std", F.lit(-1.0)), 5).alias("late_std")
+    return out.select(S.TRANSACTION_ID, "min_7_day", "max_7_day", F.round("std_7_day", 6).alias("std_7_day"), "late_max", late_std)
+
+
 def _odd_windows(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
     tx = load_transactions(spark, sf)
     mills = F.round(F.col(S.TX_AMOUNT) * 100).cast("long") * 10 + F.col(S.TRANSACTION_ID) % 10

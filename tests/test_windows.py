@@ -185,3 +185,51 @@ def test_a_value_beyond_the_scale_raises(spark):
     with pytest.raises(Exception, match="needs more than 6 decimals"):
         win.trailing_aggregates(_tx(spark, rows), S.CUSTOMER_ID, [spec]).collect()
     assert _by_id(win.trailing_aggregates(_tx(spark, rows), S.CUSTOMER_ID, [spec], scale=8), "a") == {0: 1.00000001}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_mergeable_aggregates_equal_the_sliding_form(spark, seed):
+    import math
+
+    from pyspark.sql import types as T
+
+    rnd = random.Random(seed)
+    values = [1.5, -2.25, 1e9, 1e9 + 0.25, 0.0, None, float("nan")]
+    rows = [(T0 + dt.timedelta(seconds=rnd.choice([rnd.randrange(0, 40 * 86400), 5 * 86400, 5 * 86400 + 1])), rnd.choice([1, 1, 1, 2, None]), 1,
+             rnd.choice(values[: rnd.choice([4, 6, 7])]), rnd.choice([0, 1, None])) for _ in range(300)]
+    df = _tx(spark, rows).withColumn("whole", (F.col(S.TRANSACTION_ID) * 7919 % 13).cast("int"))
+    specs = [win.FrameAgg(f"{f}_{field}_{n}_{shift}", f, field, n, shift)
+             for f in ("min", "max", "stddev_pop", "var_samp") for field in (S.TX_AMOUNT, "whole") for n, shift in ((0, 0), (2, 0), (30, 3))]
+    specs.append(win.FrameAgg("named", F.stddev, "whole", 7))
+    block, sliding = (
+        {r[S.TRANSACTION_ID]: r for r in win.trailing_aggregates(df, S.CUSTOMER_ID, specs, strategy=s).collect()} for s in ("block", "sliding")
+    )
+    out = win.trailing_aggregates(df, S.CUSTOMER_ID, specs)
+    assert out.schema["min_whole_2_0"].dataType == T.IntegerType() and out.schema["max_TX_AMOUNT_2_0"].dataType == T.DoubleType()
+    assert len(block) == len(rows)
+    for i, want in sliding.items():
+        for spec in specs:
+            a, b = block[i][spec.name], want[spec.name]
+            if a is None or b is None or math.isnan(b):
+                assert a is b or (a is not None and b is not None and math.isnan(a) and math.isnan(b)), (spec.name, a, b)
+            else:
+                assert a == pytest.approx(b, rel=1e-9, abs=1e-3 if "TX_AMOUNT" in spec.name and "m" not in spec.name[:1] else 1e-9)
+
+
+def test_frames_of_one_hot_entity_are_not_quadratic(spark):
+    import time
+
+    n = 40_000
+    df = spark.range(n).select(
+        F.col("id").alias(S.TRANSACTION_ID), F.lit(1).alias(S.TERMINAL_ID), ((F.col("id") * 7919) % 1009).cast("double").alias(S.TX_AMOUNT),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 3).alias(S.TX_DATETIME),
+    )
+    specs = [win.FrameAgg(f, f, S.TX_AMOUNT, 1) for f in ("max", "min", "stddev_pop")]
+    began = time.time()
+    got = win.trailing_aggregates(df, S.TERMINAL_ID, specs).toPandas().sort_values(S.TRANSACTION_ID)
+    assert time.time() - began < 30
+    amounts = got[S.TX_AMOUNT].to_numpy()
+    for i in (0, 1, 777, 28_800, 28_801, 39_999):
+        frame = amounts[max(0, i - 28_800) : i + 1]
+        row = got.iloc[i]
+        assert (row["max"], row["min"]) == (frame.max(), frame.min()) and row["stddev_pop"] == pytest.approx(frame.std())
