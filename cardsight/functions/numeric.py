@@ -12,6 +12,15 @@ def _col(c: str | Column) -> Column:
 
 
 DEFAULT_SCALE = 6
+#: The scale of values that need more: 18 decimals, held as decimals, which no double of a usual size exceeds.
+WIDE_SCALE = 18
+
+
+def fits_scale(value: Column, scale: int = DEFAULT_SCALE) -> Column:
+    """Whether a double is a whole number of ``10**-scale``: units back in double give it, but for its last bit."""
+    unit = float(10**scale)
+    back = F.round(value * unit) / unit
+    return F.coalesce((F.abs(value) < 9e18 / unit) & (F.abs(back - value) <= F.abs(value) * 4.5e-16), F.lit(True))
 
 
 def to_fixed(c: str | Column, data_type: T.DataType, scale: int = DEFAULT_SCALE) -> Column:
@@ -19,12 +28,15 @@ def to_fixed(c: str | Column, data_type: T.DataType, scale: int = DEFAULT_SCALE)
 
     Integral columns are widened to ``long``; fractional ones count in units of
     ``10**-scale``. A value that is not a whole number of these units raises an error.
+    At ``WIDE_SCALE`` a value is a decimal of 18 places instead, rounded to them.
     """
     col = _col(c)
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return col.cast("long")
     if isinstance(data_type, T.BooleanType):
         return col.cast("int").cast("long")
+    if scale == WIDE_SCALE:
+        return col.cast(f"decimal(38,{WIDE_SCALE})")
     value, unit = col.cast("double"), float(10**scale)
     units = F.round(value * unit).cast("long")
     # Units back in double give the value itself, but for its last bit.
@@ -37,6 +49,8 @@ def from_fixed(total: Column, data_type: T.DataType, scale: int = DEFAULT_SCALE)
     """Inverse of ``to_fixed`` for a sum: integral stays ``long``, else double."""
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
         return total
+    if scale == WIDE_SCALE:
+        return total.cast("double")
     return total.cast("double") / float(10**scale)
 
 

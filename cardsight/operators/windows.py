@@ -7,7 +7,14 @@ Semantics (for a row at whole epoch second ``t`` of entity ``k``): aggregate
 same second. ``count`` ignores NULLs, ``sum``/``avg`` of an empty frame is
 NULL, ``risk`` is ``sum / count`` with NULL (empty frame) replaced by 0.
 
-Two physical strategies, same answers:
+Three physical strategies, same answers:
+
+``"measured"``
+    Entities of more than ``HEAVY_ROWS`` rows go through ``block``; the rows of all others
+    are shuffled once, by entity, and their frames are differences of running
+    sums over the rows themselves, a linear pass. One count finds out whether there can
+    be heavy entities, and only then they are counted; they are at most the
+    rows over ``HEAVY_ROWS``. This serves ``count``, ``sum``, ``avg`` and ``risk``.
 
 ``"block"`` (default, skew safe)
     1. Pre-aggregate to one row per (entity, second): partial aggregation runs
@@ -57,9 +64,13 @@ from cardsight import schema as S
 from cardsight.functions.numeric import DEFAULT_SCALE, from_fixed, ratio_or_zero, safe_ratio, to_fixed
 from cardsight.functions.time import SECONDS_PER_DAY, epoch_seconds_of
 from cardsight.operators.mergeable import MERGEABLE, can_merge, framed, state
-from cardsight.session import ship_package
+from cardsight.session import materialize, ship_package
 
 SEC = "_sec"
+#: Rows of an entity from which its frames are cut into blocks; its rows would be one task's else.
+HEAVY_ROWS = 200_000
+#: Heavy entities that are broadcast; more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
 SUPPORTED = ("count", "sum", "avg", "risk", *MERGEABLE)
 #: Spark's functions that have a name of their own here.
 NAMED = {
@@ -128,13 +139,27 @@ def trailing_aggregates(
     seconds_col: str | None = None,
     scale: int = DEFAULT_SCALE,
     block_factor: int = 2,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
-    """Append one column per spec to ``df``; row count and order-free content kept."""
+    """Append one column per spec to ``df``; row count and order-free content kept.
+    ``measured`` takes the entities in ``heavy`` (see ``heavy_entities``) through blocks."""
     if not specs:
         return df
     df, sec, added = _with_seconds(df, time_col, seconds_col)
     if strategy == "sliding":
         out = _sliding(df, entity, specs, sec, scale)
+    elif strategy == "measured":
+        if any(spec.func not in ("count", "sum", "avg", "risk") for spec in specs):
+            raise ValueError("measured takes count, sum, avg and risk")
+        if heavy is None:
+            out = _running(df, entity, specs, sec, scale)
+        else:
+            marked = heavy.select(F.col(entity).alias("_entity"), F.lit(True).alias("_heavy"))
+            rows = df.join(marked, F.col(entity).eqNullSafe(F.col("_entity")), "left").drop("_entity")
+            light = rows.where("_heavy IS NULL").drop("_heavy")
+            hot = rows.where("_heavy").drop("_heavy")
+            blocks = attach(hot, per_second_features(hot, entity, specs, sec, scale, block_factor), entity, sec)
+            out = _running(light, entity, specs, sec, scale).unionByName(blocks)
     elif strategy == "block":
         out = df
         kinds: dict[str, list[FrameAgg]] = {"sums": [], "merged": [], "rows": []}
@@ -184,6 +209,60 @@ def _sliding(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, sc
     return df.select("*", *cols)
 
 
+# --------------------------------------------------------------------------- measured
+
+
+def heavy_entities(df: DataFrame, entity: str, n_rows: int, heavy_rows: int | None = None) -> DataFrame | None:
+    """The entities of ``df`` (``n_rows`` rows) with more than ``heavy_rows`` rows, or None if there are none."""
+    heavy_rows = HEAVY_ROWS if heavy_rows is None else heavy_rows
+    if n_rows <= heavy_rows:
+        return None
+    found = materialize(df.groupBy(entity).agg(F.count("*").alias("_n")).where(F.col("_n") > heavy_rows).select(entity))
+    n = found.count()
+    if not n:
+        return None
+    return F.broadcast(found) if n <= MOST_BROADCAST else found
+
+
+def _running(df: DataFrame, entity: str, specs: Sequence[FrameAgg], sec: str, scale: int) -> DataFrame:
+    """Frames as differences of running sums over the rows of an entity."""
+    names = list(dict.fromkeys(spec.field for spec in specs))
+    parts = {}
+    for i, field in enumerate(names):
+        parts[f"_c{i}"] = F.col(field).isNotNull().cast("long")
+        if any(spec.field == field and spec.needs_sum for spec in specs):
+            parts[f"_s{i}"] = to_fixed(field, df.schema[field].dataType, scale)
+    w = Window.partitionBy(entity).orderBy(sec)
+    return df.withColumns(parts).select(*df.columns, *_prefix_frames(w, specs, names, df.schema, scale))
+
+
+def _prefix_frames(w, specs: Sequence[FrameAgg], names: list[str], schema, scale: int) -> list[Column]:
+    """Each spec as a difference of running sums of the counts ``_c{i}`` and sums ``_s{i}`` of field ``i``."""
+
+    def prefix(col: str, offset: int) -> Column:
+        frame = w.rangeBetween(Window.unboundedPreceding, -offset)
+        return F.coalesce(F.sum(col).over(frame), F.lit(0))
+
+    out = []
+    for spec in specs:
+        i = names.index(spec.field)
+        dtype = schema[spec.field].dataType
+        cnt = prefix(f"_c{i}", spec.upper_offset) - prefix(f"_c{i}", spec.lower_offset + 1)
+        if spec.func == "count":
+            expr = cnt
+        else:
+            total = prefix(f"_s{i}", spec.upper_offset) - prefix(f"_s{i}", spec.lower_offset + 1)
+            total = F.when(cnt > 0, total)
+            if spec.func == "sum":
+                expr = from_fixed(total, dtype, scale)
+            elif spec.func == "avg":
+                expr = safe_ratio(from_fixed(total, dtype, scale), cnt)
+            else:  # risk
+                expr = ratio_or_zero(total, cnt)
+        out.append(expr.alias(spec.name))
+    return out
+
+
 # --------------------------------------------------------------------------- block
 
 
@@ -250,31 +329,8 @@ def per_second_features(
 
     # 3. frames as differences of running prefix sums.
     w = Window.partitionBy(entity, "_blk").orderBy(sec)
-
-    def prefix(col: str, offset: int) -> Column:
-        frame = w.rangeBetween(Window.unboundedPreceding, -offset)
-        return F.coalesce(F.sum(col).over(frame), F.lit(0))
-
-    names = list(fields)
-    out_cols = []
-    for spec in specs:
-        i = names.index(spec.field)
-        dtype = df.schema[spec.field].dataType
-        cnt = prefix(f"_c{i}", spec.upper_offset) - prefix(f"_c{i}", spec.lower_offset + 1)
-        if spec.func == "count":
-            expr = cnt
-        else:
-            total = prefix(f"_s{i}", spec.upper_offset) - prefix(f"_s{i}", spec.lower_offset + 1)
-            total = F.when(cnt > 0, total)
-            if spec.func == "sum":
-                expr = from_fixed(total, dtype, scale)
-            elif spec.func == "avg":
-                expr = safe_ratio(from_fixed(total, dtype, scale), cnt)
-            else:  # risk
-                expr = ratio_or_zero(total, cnt)
-        out_cols.append(expr.alias(spec.name))
-
-    return blocked.select(entity, sec, "_copy", *out_cols).where(F.col("_copy") == 0).drop("_copy")
+    frames = _prefix_frames(w, specs, list(fields), df.schema, scale)
+    return blocked.select(entity, sec, "_copy", *frames).where(F.col("_copy") == 0).drop("_copy")
 
 
 # --------------------------------------------------------------------------- fraud risk

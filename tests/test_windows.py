@@ -136,7 +136,7 @@ def test_block_plan_has_no_cartesian_and_pruned_aggregation_scan(spark):
     from tests.conftest import SF001
     from cardsight.sources.transactions import load_transactions
 
-    df = feat.build_features(load_transactions(spark, SF001))
+    df = feat.build_features(load_transactions(spark, SF001), strategy="block")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # The per-second customer aggregation reads only the three columns it needs.
@@ -233,3 +233,29 @@ def test_frames_of_one_hot_entity_are_not_quadratic(spark):
         frame = amounts[max(0, i - 28_800) : i + 1]
         row = got.iloc[i]
         assert (row["max"], row["min"]) == (frame.max(), frame.min()) and row["stddev_pop"] == pytest.approx(frame.std())
+
+
+@pytest.mark.parametrize("heavy_rows", [10, 60, 10_000])
+def test_heavy_entities_take_blocks_with_the_same_values(spark, monkeypatch, heavy_rows):
+    rnd = random.Random(heavy_rows)
+    rows = [(T0 + dt.timedelta(seconds=rnd.choice([rnd.randrange(0, 60 * 86400), 5 * 86400])), rnd.choice([1, 1, 1, 2, 3, None]), rnd.choice([7, 7, 8, 9, None]),
+             rnd.choice([1.25, 1.2345678, 3.0, None]), rnd.choice([0, 1, None])) for _ in range(250)]
+    tx = _tx(spark, rows)
+    monkeypatch.setattr(win, "HEAVY_ROWS", heavy_rows)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(feat.build_features(tx)) == key(feat.build_features(tx, strategy="sliding"))
+    assert key(feat.build_features(tx.limit(0))) == []
+
+
+def test_features_of_light_entities_take_two_exchanges(spark):
+    from cardsight.sources.transactions import load_transactions
+    from tests.conftest import SF001
+
+    plan = feat.build_features(load_transactions(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_amounts_of_more_than_six_decimals_have_features(spark):
+    rows = [(T0 + dt.timedelta(minutes=i), 1, 1, a, 0) for i, a in enumerate([1.2345678, 0.1 + 0.2, 5.0])]
+    got = _by_id(feat.build_features(_tx(spark, rows)), "CUSTOMER_TX_AVG_1_DAY")
+    assert got == pytest.approx({0: 1.2345678, 1: (1.2345678 + 0.3) / 2, 2: 6.5345678 / 3}, rel=1e-15)
