@@ -160,10 +160,14 @@ def _meet(features: list[str], k: int, exclude_self: bool, bound: bool):
                     theta = np.partition(D, k - 1, axis=1)[:, k - 1] if take == k else np.full(len(qid), np.inf)
                     yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ["_id", *features]), pa.array(theta)], ["_id", *features, "_theta"])
                 elif take:
-                    idx = np.argsort(D, axis=1, kind="stable")[:, :take]
-                    distance = np.take_along_axis(D, idx, axis=1)
-                    known = np.isfinite(distance)
-                    columns = [np.repeat(qid, take).reshape(-1, take)[known], rid[idx][known], distance[known]]
+                    least = np.partition(D, take - 1, axis=1)[:, take - 1]
+                    row, at = np.nonzero((D <= least[:, None]) & np.isfinite(D))
+                    order = np.lexsort([at, D[row, at], row])
+                    row, at = row[order], at[order]
+                    first = np.searchsorted(row, np.arange(len(qid)))
+                    best = np.arange(len(row)) - first[row] < take  # of equal distances the lowest ids
+                    row, at = row[best], at[best]
+                    columns = [qid[row], rid[at], D[row, at]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["q_id", "r_id", "distance"])
 
     return run
@@ -221,7 +225,10 @@ def knn_join(
     if depth == 0:
         counts = {0: n_ref}
         rboxed, met = r.withColumn("_box", F.lit(0)), q.withColumn("_box", F.lit(0))
-        chunks = {0: -(-q.count() // chunk)}
+        # One box only: its few rows go to as many tasks as there are, each with a part of the queries.
+        n_queries = n_ref if queries is reference else q.count()
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        chunks = {0: max(-(-n_queries // chunk), min(tasks, -(-n_queries // 256)))}
     else:
         # At most 64 rows a box: any cuts give the same neighbours.
         sample = r.withColumn("_ok", smp.order_key(seed, "_id")).orderBy("_ok", "_id").limit(64 << depth).select(*features)

@@ -156,6 +156,41 @@ def q_balanced_counts(spark: SparkSession, sf: str) -> DataFrame:
     return md.balance(train).rows.groupBy("label").agg(F.count("*").alias("count"))
 
 
+#: Quick fits whose scored rows are checked against SQL.
+CHECKED = {
+    "boosted": {"iterations": 20, "depth": 4}, "logistic": {}, "naive_bayes": {}, "decision_tree": {}, "knn": {"k": 5},
+}
+
+
+def _split_ctes() -> str:
+    from cardsight.plans.split_queries import _test_sql
+
+    return f"""WITH {Q.TX_CTE}, {_test_sql("tx", START, 21, 7, 7, p="outer_")}, {_test_sql("outer_train", START, 7, 7, 7, p="inner_")}"""
+
+
+def _scored_sql() -> str:
+    models = ", ".join(f"('{m}')" for m in CHECKED)
+    return f"""{_split_ctes()} SELECT model, TRANSACTION_ID AS id, CAST(TX_FRAUD AS INTEGER) AS label, true AS is_probability, true AS is_call
+      FROM inner_test, (VALUES {models}) AS m(model)"""
+
+
+@register("m_scored_rows", _scored_sql())
+def q_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every validation row once for each model (M1, M2, M4, M5, M6, M8, M9): its label, and
+    whether the score is a probability and the prediction a call at one half."""
+    train, validate, _ = _splits(spark, sf)
+    training = md.balance(train)
+    out = None
+    for kind, params in CHECKED.items():
+        scored = md.score(md.fit_on(training, kind, params), validate)
+        is_call = (F.col("prediction") == (F.col("score") > 0.5).cast("int")) | (F.col("score") == 0.5)
+        rows = scored.select(
+            F.lit(kind).alias("model"), "id", "label", F.col("score").between(0, 1).alias("is_probability"), is_call.alias("is_call")
+        )
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 @register("m10_competition")
 def q_competition(spark: SparkSession, sf: str) -> DataFrame:
     """5-fold cross-validated scores of every competitor on the training split."""
@@ -179,6 +214,19 @@ def q_search(spark: SparkSession, sf: str) -> DataFrame:
     return md.random_search(train, validate, "card_fraud", TRIALS)
 
 
+@register(
+    "m11_trial_grid",
+    f"SELECT CAST(range AS INTEGER) AS trial, {len(md.REFERENCE_SPACE)} AS n_in_range, true AS is_share FROM range({TRIALS})",
+)
+def q_trial_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Each trial once, how many of its draws lie in the tuned ranges, and whether its recall is a share."""
+    trials = q_search(spark, sf)
+    inside = [F.col("params")[name].between(low, high).cast("int") for name, (_, low, high) in md.REFERENCE_SPACE.items()]
+    return trials.select(
+        F.col("trial").cast("int").alias("trial"), sum(inside[1:], inside[0]).alias("n_in_range"), F.col("value").between(0, 1).alias("is_share")
+    )
+
+
 @register("a7_best_trial")
 def q_best(spark: SparkSession, sf: str) -> DataFrame:
     train, validate, _ = _splits(spark, sf)
@@ -201,6 +249,25 @@ def q_refit(spark: SparkSession, sf: str) -> DataFrame:
     return trk.read_table(spark, "runs").where(F.col("run_id") == run_id)
 
 
+def _run_sql() -> str:
+    return f"""{_split_ctes()} SELECT 'gbt validation' AS name, 'FINISHED' AS status, 'boosted' AS kind, '42' AS seed, true AS has_metrics,
+      (SELECT count(*) FROM inner_train) AS num_rows, true AS is_registered"""
+
+
+@register("s6_run_summary", _run_sql())
+def q_run_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The logged refit (M12, S6, S7, S8): its run, its training data and whether its model is registered."""
+    run_id = _refit(spark, sf)
+    run = trk.read_table(spark, "runs").where(F.col("run_id") == run_id)
+    data = trk.read_table(spark, "datasets").select(F.col("digest").alias("dataset_digest"), "num_rows").distinct()
+    models = trk.model_versions(spark).select("run_id", "version")
+    return run.join(data, "dataset_digest").join(models, "run_id", "left").select(
+        run["name"], "status", F.col("params")["kind"].alias("kind"), F.col("params")["seed"].alias("seed"),
+        F.forall(F.array(*[F.lit(m) for m in ("accuracy", "f1", "precision", "recall")]), lambda m: F.col("metrics")[m].between(0, 1)).alias("has_metrics"),
+        "num_rows", (F.col("version") >= 1).alias("is_registered"),
+    )
+
+
 @register("s7_model_registry")
 def q_registry(spark: SparkSession, sf: str) -> DataFrame:
     run_id = _refit(spark, sf)
@@ -223,6 +290,21 @@ def q_curve(spark: SparkSession, sf: str) -> DataFrame:
     return trk.read_table(spark, "curves").where(F.col("run_id") == run_id)
 
 
+def _curve_sql() -> str:
+    named = ", ".join(f"('{d}_{m}')" for d in ("training", "validation") for m in md.ROUND_METRICS)
+    return f"SELECT metric, 1 AS first_round, true AS is_whole FROM (VALUES {named}) AS m(metric)"
+
+
+@register("e9_curve_grid", _curve_sql())
+def q_curve_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """Each curve of the refitted model: its first round, and whether it has a value for every round."""
+    run_id = _refit(spark, sf)
+    rounds = trk.read_table(spark, "runs").where(F.col("run_id") == run_id).first()["params"]["iterations"]
+    curves = trk.read_table(spark, "curves").where(F.col("run_id") == run_id)
+    whole = (F.count_distinct("iteration") == int(float(rounds))) & (F.count("value") == int(float(rounds)))
+    return curves.groupBy("metric").agg(F.min("iteration").alias("first_round"), whole.alias("is_whole"))
+
+
 def _rounds_sql() -> str:
     return f"""WITH {Q.TX_CTE},
   s AS (SELECT CASE WHEN TX_TIME_DAYS % 2 = 0 THEN 'training' ELSE 'validation' END AS dataset, CAST(round AS INTEGER) AS round,
