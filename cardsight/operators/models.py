@@ -380,7 +380,9 @@ def _prefix_trials(training: TrainingSet, validate: DataFrame, trials: list[tupl
     shared: dict[tuple, list[tuple[int, dict]]] = {}
     for trial, params in trials:
         shared.setdefault(tuple(sorted((k, v) for k, v in params.items() if k != "iterations")), []).append((trial, params))
-    groups = list(shared.values())
+    # The longest fits first, so that none is left alone at the end.
+    cost = lambda p: p.get("iterations", 200) * 2 ** min(p.get("depth", 6), 8)
+    groups = sorted(shared.values(), key=lambda g: -max(cost(p) for _, p in g))
     most = [max(g, key=lambda x: x[1].get("iterations", 200))[1] for g in groups]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         models = list(pool.map(lambda params: fit_on(training, "boosted", params).model, most))
@@ -431,8 +433,8 @@ def random_search(
             held = materialize(assemble(smp.apply_scaler(validate, training.stats), training.features))
             tasks = bst.n_tasks(training.rows, training.rows.count())
             fits = parallelism or max(1, spark.sparkContext.defaultParallelism // tasks)
-            for at in range(0, len(todo), 2 * fits):
-                found = _prefix_trials(training, held, todo[at : at + 2 * fits], objective, fits)
+            for at in range(0, len(todo), 4 * fits):
+                found = _prefix_trials(training, held, todo[at : at + 4 * fits], objective, fits)
                 trk.append(spark, "trials", [(study, trial, params, float(value)) for trial, params, value in found], root)
         else:
             validate = materialize(validate)

@@ -177,14 +177,19 @@ def _grouped(queries: DataFrame, reference: DataFrame, plan: dict[int, tuple[int
     """Queries and reference rows (``_box``, ``columns``) by group, reference rows first. ``plan``
     has the blocks and chunks of each box that has more than one of either."""
     spark = queries.sparkSession
-    rows = [(box, *sizes) for box, sizes in plan.items() if sizes != (1, 1)] or [(-1, 1, 1)]
-    sizes = F.broadcast(spark.createDataFrame(rows, "_box int, _blocks long, _chunks long"))  # at most a row per box
+    if list(plan) == [0]:
+        only = {c: F.lit(n).cast("long") for c, n in zip(("_blocks", "_chunks"), plan[0])}
+        sized = lambda df: df.withColumns(only)
+    else:
+        rows = [(box, *sizes) for box, sizes in plan.items() if sizes != (1, 1)] or [(-1, 1, 1)]
+        sizes = F.broadcast(spark.createDataFrame(rows, "_box int, _blocks long, _chunks long"))  # at most a row per box
+        sized = lambda df: df.join(sizes, "_box", "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(1))
     all_of = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), n(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("_id"), n(c))
-    q = queries.join(sizes, "_box", "left").withColumn("_chunk", own("_chunks"))
+    q = sized(queries).withColumn("_chunk", own("_chunks"))
     q = q.withColumn("_block", F.lit(0).cast("long")) if first_only else q.withColumn("_block", all_of("_blocks"))
-    r = reference.join(sizes, "_box", "left").withColumn("_block", own("_blocks"))
+    r = sized(reference).withColumn("_block", own("_blocks"))
     r = (r.where("_block = 0") if first_only else r).withColumn("_chunk", all_of("_chunks"))
     g = F.shiftleft(F.shiftleft(F.col("_box").cast("long"), _BITS) + F.col("_block"), _BITS) + F.col("_chunk")
     both = r.select(g.alias("_g"), F.lit(False).alias("_query"), *columns).union(q.select(g.alias("_g"), F.lit(True).alias("_query"), *columns))

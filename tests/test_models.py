@@ -92,7 +92,7 @@ def test_digest_tells_repeated_rows_apart(spark):
     assert digest([1, 2, 9, 9]) == digest([9, 2, 1, 9])
 
 
-@pytest.mark.parametrize("kind", ["gbt", "naive_bayes", "knn"])
+@pytest.mark.parametrize("kind", ["boosted", "gbt", "naive_bayes", "knn"])
 def test_saved_model_scores_raw_rows(spark, splits, tmp_path, kind):
     train, validate = splits
     fitted = md.fit_balanced(train, kind, {"iterations": 3})
@@ -126,8 +126,8 @@ def test_competitors_have_whole_sizes(spark):
         if kind in ("gbt", "random_forest", "decision_tree"):
             estimator = md.make_estimator(kind, params)
             sizes[name] = {p: estimator.getOrDefault(p) for p in ("maxIter", "numTrees", "maxDepth") if estimator.hasParam(p)}
+    assert md.COMPETITORS["Gradient Boosting"] == ("boosted", {"iterations": 200, "depth": 6})
     assert sizes == {
-        "Gradient Boosting": {"maxIter": 200, "maxDepth": 6},
         "Random Forest": {"numTrees": 100, "maxDepth": 30},
         "Decision Tree": {"maxDepth": 30},
     }
