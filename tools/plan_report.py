@@ -41,24 +41,23 @@ def main() -> None:
         lines.append(f"| `{name}` | " + " | ".join(str(c) for c in counts) + " |")
         scans[name] = sorted(set(re.findall(r"(PushedFilters: \[[^\]\n]*\]?|ReadSchema: struct<[^>\n]*>?)", plan)))
     lines += ["", "## Reading the plans", "",
-              "- `d1_features`: the wide rows are exchanged twice (one sort-merge join per entity, keyed on "
-              "(entity, second) so a hot entity spreads over all tasks); each per-second table costs a "
-              "partial-aggregate exchange, a (entity, block) window exchange and a join exchange. No broadcast: "
-              "the per-second tables grow with the data.",
+              "- `d1_features`: one exchange and one linear window pass for each entity, as no entity here has more "
+              "than 200,000 rows; heavy entities would go through blocks of their timeline beside it. One "
+              "aggregate before it finds the number of rows and the scale of the amounts.",
               "- `w1_sliding_features`: the direct form, 2 exchanges and 2 windows, but one task per entity and "
               "a per-row frame re-aggregation; kept as the cross-check.",
               "- `d2_split_test`: one anti join against a pre-aggregated per-customer table (broadcast here only "
               "because Catalyst measured it small; at scale it is a sort-merge join with AQE skew splitting).",
-              "- `j2_day_loop_split_test`: the day-by-day form costs 7 anti joins and 35 exchanges, which is why "
-              "the single-join form is the default.",
+              "- `j2_day_loop_split_test`: the same rows by set operations (the name is of an earlier form).",
               "- `d3_three_way_split`: the feature table is materialised once (checkpoint), then both splits "
               "read it.",
               "- `b3_undersample`, `b7_folds`, `e7_quartiles`: the final plans are scan + filter (or a tiny "
               "result); the cut points were found by bounded histogram rounds before.",
               "- `e4_roc` / `e5_roc_auc`: group by score, bucket windows and a per-bucket offsets join; no "
               "single-partition window over the data.",
-              "- `j5_knn` / `b2_smote`: map-side pivot assignment, one co-grouped distance stage, one window "
-              "over at most k x blocks rows per query; no cross join.",
+              "- `j5_knn` / `b2_smote`: one box at this size: one exchange by (box, block, chunk), distances in a "
+              "streamed Arrow stage, one window over at most k rows per block that a query met; no cross join. "
+              "Larger sets are cut into boxes by a tree and take a first round for the bounds.",
               ]
     lines += ["", "## Scans", ""]
     for name, items in scans.items():
