@@ -1,9 +1,9 @@
 """Embedding near-dedup by a pivot-permutation index (operator 8).
 
-Every vector is described by its nearest reference points (pivots), in
-order: near vectors see nearly the same ones first. The inverted lists are
-those of pairs of pivots: a vector stands in the list of each pair among its
-``NEAREST`` first pivots, so two vectors meet if and only if they share two
+Every vector is described by its nearest reference points (pivots): near
+vectors see nearly the same ones first. Of a vector's permutation of the
+pivots the ``NEAREST`` first are kept, as a set. The inverted lists are
+those of pairs of pivots: a vector stands in the list of each pair of that set, so two vectors meet if and only if they share two
 pivots or more, and they are compared where the two first shared ones meet.
 All that meet are verified by their cosine in double precision. Links are
 never below the threshold; the share of them that is found grows with

@@ -25,7 +25,8 @@ join is frequent.
 
 Defined cases: null and wordless texts have no tokens, losses and score null;
 null ids are scored but are no targets; a target id that several rows have
-makes all of them targets; repeated rows are separate rows; without targets
+makes all of them targets; a text of any length is one document, never cut;
+words of equal count are numbered in the order of their bytes; repeated rows are separate rows; without targets
 the target model is uniform; an empty table gives an empty result; other
 columns are ignored.
 """

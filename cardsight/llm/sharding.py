@@ -16,7 +16,8 @@ and checksums are shuffled, and everything is a DataFrame function.
 Defined cases: null texts count as empty (size 1, checksum 0); null sources
 are a source of their own; null ids share one seeded key, ordered by checksum
 and size; repeated rows are separate rows. Rows equal in all of these columns
-are interchangeable. An empty table gives an empty result, and other columns
+are interchangeable; of a text only its size and checksum are kept, whatever its
+length. An empty table gives an empty result, and other columns
 of the input are ignored.
 """
 

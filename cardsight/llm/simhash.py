@@ -13,8 +13,9 @@ variant emits a tree over each linked set, never its pairs; a group beyond
 
 Defined cases: a null or wordless text has fingerprint zero and links like
 any other; repeated rows each get a row; a null id takes part in linking but
-never is the smallest id of a component with other ids. An empty table gives
-an empty result. Other columns are ignored.
+never is the smallest id of a component with other ids; a bit that is set in
+exactly half of the hashes is 0; a text of any length is one row, whole. An
+empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
