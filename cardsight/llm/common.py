@@ -51,6 +51,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def identity(key: Column, text: Column) -> Column:
+    """What a seeded draw of a row hangs on: its id, or a checksum of its text where it has none."""
+    return F.coalesce(key.cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(text, F.lit("")))))
+
+
 def source_key(source: Column) -> Column:
     """A never-null key that sorts sources by code point with null last."""
     return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source.cast("string")))

@@ -5,35 +5,43 @@
    the excess is shared again by weight (``source_targets``, water filling in
    two running sums).
 2. Within a source, documents are permuted by a seeded md5 and cut into
-   blocks of near equal words. A source contributes every block once for each
-   full epoch, and of the last epoch the first blocks of the permutation up
-   to the document that reaches the target.
-3. The exact block quotas go down a binary tree over the output shards: each
-   node splits its vector of quotas by a multivariate hypergeometric draw, so
-   shards get equal numbers of blocks and no block is drawn twice.
-4. A source's drawn blocks, in permuted order, go to the shards by their
-   counts, and rows are shuffled within a shard by a seeded key.
+   blocks of near equal words, the same for all sources. A source's blocks are
+   permuted anew for each epoch; its exact quota is the number of blocks in
+   that order whose words come nearest its target.
+3. The quotas go down a binary tree over the output shards. A node draws the
+   blocks of its left half without replacement from all that it has, so the
+   counts by source are multivariate hypergeometric; shards get equal numbers
+   of blocks, and no block of an epoch is given twice.
+4. Each shard draws as many of a source's permuted blocks as the tree gave it,
+   next to those of the shard before. The blocks drawn are the mix: a document
+   is taken once for each draw of its block. Rows are shuffled within a shard
+   by a seeded key.
 
 Prefix sums over a source run in hash buckets with offsets from a table of
 bucket totals, so a source with a third of all rows is spread over many
-tasks. The tree sees one row per source, and draws one row per block; neither
-holds documents.
+tasks. The tree sees one row per source, and draws one row per block (at most
+``blocks_per_shard`` for each shard and one for each source); neither holds
+documents.
 
 Defined cases: a null or wordless text has size 0, and any copies of it take
-no words; null sources are the last source; repeated rows are separate rows;
-an empty table gives an empty result. All randomness is seeded: reruns agree.
-Columns of the input keep their names in ``mixed_rows``; nothing of the
-operator's own is added to them.
+no words; null sources are the last source; a source without words is drawn
+once; a document of any length is whole in one block; rows without id are
+permuted by their texts, and those of equal text are interchangeable; several
+rows of one id or text are separate rows; an empty table gives an empty
+result. All randomness is seeded: reruns agree. Columns of the input keep
+their names in ``mixed_rows``; nothing of the operator's own is added to them.
 """
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsight.llm.common import n_buckets, n_words, python_on, source_key, stored
+from cardsight.llm.common import identity, n_buckets, n_words, python_on, source_key, stored
 
 #: Fixed values of the contract.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -41,7 +49,8 @@ MAX_EPOCHS = 3
 
 SEED = 42
 BUCKET_ROWS = 20_000
-BLOCKS_PER_SHARD = 64
+#: Blocks are this fine, so that the quota of a source of 1 % of the words is within 0.2 % of its target.
+BLOCKS_PER_SHARD = 4096
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -74,32 +83,35 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_e
     )
 
 
-def split_quotas(quotas: np.ndarray, n_shards: int, seed: int) -> np.ndarray:
+def split_quotas(quotas: np.ndarray, n_shards: int, seed: int, names: list[str] | None = None) -> np.ndarray:
     """``[shard, source]`` block counts: a binary tree of multivariate
-    hypergeometric draws from the root's quotas; shard totals differ by at most one."""
+    hypergeometric draws from the root's quotas; shard totals differ by at most one.
+
+    A node puts its blocks in a seeded order (of the ``names`` of their sources
+    and their numbers) and gives the first to its left half.
+    """
+    names = [str(i) for i in range(len(quotas))] if names is None else names
     out = np.zeros((n_shards, len(quotas)), dtype=np.int64)
 
-    def walk(lo: int, hi: int, have: np.ndarray) -> None:
+    def walk(lo: int, hi: int, blocks: list[tuple[int, int]]) -> None:
         if hi - lo == 1:
-            out[lo] = have
+            out[lo] = np.bincount([s for s, _ in blocks], minlength=len(quotas))
             return
         mid = (lo + hi) // 2
-        total = int(have.sum())
-        # Blocks of the shards lo..mid, as if all were dealt in turn.
-        take = sum(total // (hi - lo) + (i < total % (hi - lo)) for i in range(mid - lo))
-        rng = np.random.default_rng([seed, lo, hi])
-        left = rng.multivariate_hypergeometric(have, take, method="marginals") if total else have
-        walk(lo, mid, left)
-        walk(mid, hi, have - left)
-
-    walk(0, n_shards, quotas.astype(np.int64))
+        each, more = divmod(len(blocks), hi - lo)
+        take = each * (mid - lo) + min(more, mid - lo)
+        drawn = sorted(blocks, key=lambda b: md5(f"{seed}:{lo}:{hi}:{names[b[0]]}:{b[1]}".encode()).digest())
+        walk(lo, mid, drawn[:take])
+        walk(mid, hi, drawn[take:])
+
+    walk(0, n_shards, [(s, i) for s, quota in enumerate(quotas.tolist()) for i in range(quota)])
     return out
 
 
 def _tree(n_shards: int, seed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("stratum", ignore_index=True)
-        counts = split_quotas(pdf["quota"].to_numpy(), n_shards, seed)
+        counts = split_quotas(pdf["quota"].to_numpy(), n_shards, seed, pdf["stratum"].tolist())
         upto = counts.cumsum(axis=0)
         shards = np.repeat(np.arange(n_shards), len(pdf))
         return pd.DataFrame(
@@ -141,7 +153,7 @@ def mix(
         source_key(F.col(source_col)).alias("stratum"),
         n_words(text).alias("size"),
         F.coalesce(F.crc32(text), F.lit(0)).alias("crc"),
-        F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("draw"),
+        F.md5(F.concat_ws(":", F.lit(str(seed)), identity(F.col(id_col), text))).alias("draw"),
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row") if carry else F.struct(F.lit(0).alias("none")).alias("row"),
     )
     narrow = stored(rows.drop("row"), "mix-sizes")
@@ -170,41 +182,38 @@ def mix(
         .withColumn("at", F.col("at") + F.col("before"))
         .join(sources, "stratum")
     )
-    # Full epochs, and the words that the last one still has to give.
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    in_rest = F.col("at") + F.col("size") / 2 <= F.col("rest")
-    placed = (
-        placed.withColumn("epochs", F.least(epochs, F.lit(max_epochs)).cast("int"))
-        .withColumn("rest", rest)
-        .withColumn("block", F.floor(F.col("at") / F.lit(block_words)).cast("long"))
-        .withColumn("times", (F.col("epochs") + F.when(in_rest & (F.col("epochs") < max_epochs), 1).otherwise(0)).cast("int"))
-    )
+    placed = placed.withColumn("block", F.floor(F.col("at") / F.lit(block_words)).cast("long"))
 
-    # Draws: a row for each (source, block, epoch) that gives any document.
-    blocks = stored(placed.groupBy("stratum", "block").agg(F.max("times").alias("times")), "mix-blocks")
-    draws = blocks.where("times > 0").select("stratum", "block", F.explode(F.sequence(F.lit(1), "times")).alias("epoch"))
+    # A source's turns: all its blocks, permuted anew in each epoch. Its quota is
+    # the number of turns that bring its words nearest the target.
+    blocks = stored(placed.groupBy("stratum", "block").agg(F.sum("size").alias("words")), "mix-blocks")
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), "stratum", "epoch", "block"))
-    turn = Window.partitionBy("stratum").orderBy("epoch", "permuted", "block")
-    draws = draws.withColumn("permuted", key).withColumn("turn", (F.row_number().over(turn) - 1).cast("long"))
-    quotas = blocks.groupBy("stratum").agg(F.sum("times").alias("quota"))
+    by_turn = Window.partitionBy("stratum").orderBy("epoch", "permuted", "block")
+    turns = (
+        blocks.select("*", F.explode(F.sequence(F.lit(1), F.lit(max_epochs))).alias("epoch"))
+        .withColumn("permuted", key)
+        .withColumn("turn", (F.row_number().over(by_turn) - 1).cast("long"))
+        .withColumn("given", F.sum("words").over(by_turn.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("words"))
+        .join(sources, "stratum")
+        .where((F.col("given") + F.col("words") / 2 <= F.col("target")) & ((F.col("source_size") > 0) | (F.col("epoch") == 1)))
+        .select("stratum", "block", "epoch", "turn")
+    )
+    turns = stored(turns, "mix-turns")
+    quotas = turns.groupBy("stratum").agg(F.count("*").alias("quota"))
     dealt = quotas.groupBy(F.lit(0).alias("all_sources")).applyInPandas(
         _tree(n_shards, seed), "stratum string, shard int, first long, upto long"
     )
-    turns = stored(dealt, "mix-dealt").where("upto > first").select(
+    draws = stored(dealt, "mix-dealt").where("upto > first").select(
         "stratum", "shard", F.explode(F.expr("sequence(first, upto - 1)")).alias("turn")
     )
     drawn = (
-        draws.join(turns, ["stratum", "turn"])
+        turns.join(draws, ["stratum", "turn"])
         .groupBy("stratum", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("epoch", "shard"))).alias("draws"))  # at most max_epochs each
+        .agg(F.sort_array(F.collect_list(F.struct("epoch", "shard"))).alias("copies"))  # at most max_epochs each
     )
     out = placed.join(drawn, ["stratum", "block"], "left")
-    copies = F.filter("draws", lambda d: d["epoch"] <= F.col("times"))
     none = F.array().cast("array<struct<epoch:int,shard:int>>")
-    return out.select(
-        "id", "size", "source_size", "target", F.coalesce(copies, none).alias("copies"), "row"
-    )
+    return out.select("id", "size", "source_size", "target", F.coalesce("copies", none).alias("copies"), "row")
 
 
 def mixed_rows(docs: DataFrame, n_shards: int = 8, seed: int = SEED, **options) -> DataFrame:
@@ -220,34 +229,67 @@ def mixed_rows(docs: DataFrame, n_shards: int = 8, seed: int = SEED, **options)
     return dealt.sortWithinPartitions("copy.shard", "local").select("row.*")
 
 
-#: The same digest in DuckDB SQL.
+def _split_sql(n_shards: int) -> str:
+    """The nodes of each level of the tree over ``n_shards`` (a power of two), each a table of its blocks."""
+    levels = ["node_1 AS (SELECT stratum, turn, 0 AS lo, %d AS hi FROM turns)" % n_shards]
+    size = n_shards
+    while size > 1:
+        half = size // 2
+        levels.append(f"""node_{2 * n_shards // size} AS (
+  SELECT stratum, turn, CASE WHEN nth <= take THEN lo ELSE lo + {half} END AS lo,
+    CASE WHEN nth <= take THEN lo + {half} ELSE hi END AS hi
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY lo ORDER BY md5('{SEED}:' || lo || ':' || hi || ':' || stratum || ':' || turn)) AS nth,
+      count(*) OVER (PARTITION BY lo) // {size} * {half} + least(count(*) OVER (PARTITION BY lo) % {size}, {half}) AS take
+    FROM node_{n_shards // size}
+  )
+)""")
+        size = half
+    return ", ".join(levels)
+
+
+#: The same digest for eight shards in DuckDB SQL.
 ORACLE_SQL = f"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
-    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+  SELECT doc_id, source, coalesce('0' || source, '1') AS stratum,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, '')))) AS draw
   FROM documents
 ), sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size, sum(size)::DOUBLE * {MAX_EPOCHS} AS most,
-    [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight
-  FROM sized GROUP BY source
+  SELECT stratum, sum(size)::BIGINT AS source_size, sum(size)::DOUBLE * {MAX_EPOCHS} AS most,
+    [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY stratum) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight
+  FROM sized GROUP BY stratum
 ), levels AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER before, 0))
       / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
-  FROM sources WINDOW before AS (ORDER BY most / weight, source NULLS LAST
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  FROM sources WINDOW before AS (ORDER BY most / weight, stratum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), targets AS (
-  SELECT source, source_size,
+  SELECT stratum, source_size,
     least(most, coalesce(max(CASE WHEN most / weight > level THEN level END) OVER () * weight, most)) AS target
   FROM levels
 ), placed AS (
-  SELECT s.*, t.source_size, t.target,
-    sum(size) OVER (PARTITION BY s.source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-      - size AS words_before,
-    CASE WHEN t.source_size > 0 THEN least(floor(t.target / t.source_size), {MAX_EPOCHS}) ELSE 0 END AS epochs
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+  SELECT s.*, (sum(size) OVER (PARTITION BY stratum ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      - size)::BIGINT // (SELECT greatest(1, sum(source_size)::BIGINT // {8 * BLOCKS_PER_SHARD}) FROM sources) AS block
+  FROM sized s
+), turns AS (
+  SELECT stratum, block, epoch, turn
+  FROM (
+    SELECT *, row_number() OVER by_turn - 1 AS turn, sum(words) OVER by_turn - words AS given
+    FROM (
+      SELECT stratum, block, epoch, sum(size) AS words, md5('{SEED}:' || stratum || ':' || epoch || ':' || block) AS permuted
+      FROM placed, (SELECT unnest(range(1, {MAX_EPOCHS + 1})) AS epoch) GROUP BY stratum, block, epoch
+    )
+    WINDOW by_turn AS (PARTITION BY stratum ORDER BY epoch, permuted ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  ) JOIN targets USING (stratum)
+  WHERE given + words / 2 <= target AND (source_size > 0 OR epoch = 1)
+), {_split_sql(8)}, drawn AS (
+  SELECT stratum, block, count(*) AS times, string_agg(shard::VARCHAR, ',' ORDER BY epoch) AS shards
+  FROM turns JOIN (
+    SELECT stratum, lo AS shard, row_number() OVER (PARTITION BY stratum ORDER BY lo) - 1 AS turn FROM node_8
+  ) USING (stratum, turn)
+  GROUP BY stratum, block
 )
-SELECT doc_id, size::BIGINT AS size, source_size, target,
-  (size * (epochs + CASE WHEN epochs < {MAX_EPOCHS} AND words_before + size / 2 <= target - epochs * source_size
-    THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM placed
+SELECT doc_id, size::BIGINT AS size, source_size, target, (size * coalesce(times, 0))::BIGINT AS taken,
+  coalesce(shards, '') AS shards
+FROM placed JOIN targets USING (stratum) LEFT JOIN drawn USING (stratum, block)
 """

@@ -63,7 +63,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(table(spark, sf_dir, "documents"), n_shards=8)
     taken = (F.col("size") * F.size("copies")).cast("long")
-    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))
+    shards = F.array_join(F.transform("copies", lambda c: c["shard"].cast("string")), ",")  # in the order of epochs
+    return rows.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), shards.alias("shards")
+    )
 
 
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,3 +100,59 @@ def test_shards_get_near_equal_words(spark):
         for c in r["copies"]:
             words[c["shard"]] += r["size"]
     assert len(words) == 4 and max(words.values()) < 1.1 * min(words.values())
+
+
+def digest(docs):
+    rows = mixing.mix(docs, n_shards=8).collect()
+    return sorted(str((r["id"], r["size"], [c["shard"] for c in r["copies"]])) for r in rows)
+
+
+def test_the_tree_decides_what_is_taken_and_where(spark, odd_docs, monkeypatch):
+    right = digest(odd_docs)
+    whole = mixing.split_quotas
+    zero = lambda *a: np.where(np.arange(8)[:, None] == 0, whole(*a).sum(axis=0), 0)
+    less = lambda *a: np.maximum(whole(*a) - 1, 0)
+    for broken, same_taken in ((zero, True), (less, False)):
+        monkeypatch.setattr(mixing, "split_quotas", broken)
+        monkeypatch.setattr(mixing, "_tree", tree_here(broken))
+        found = digest(odd_docs)
+        assert found != right
+        taken = lambda rows: [r.split("[")[0] + str(r.count(",")) for r in rows]
+        assert (taken(found) == taken(right)) == same_taken
+
+
+def tree_here(split):
+    """``mixing._tree`` with another way to split."""
+
+    def tree(n_shards, seed):
+        def run(pdf):
+            import pandas as pd
+
+            pdf = pdf.sort_values("stratum", ignore_index=True)
+            out = []
+            counts = split(pdf["quota"].to_numpy(), n_shards, seed, pdf["stratum"].tolist())
+            upto = counts.cumsum(axis=0)
+            for shard in range(n_shards):
+                for i, name in enumerate(pdf["stratum"]):
+                    out.append((name, shard, int(upto[shard, i] - counts[shard, i]), int(upto[shard, i])))
+            return pd.DataFrame(out, columns=["stratum", "shard", "first", "upto"])
+
+        return run
+
+    return tree
+
+
+def test_a_third_of_the_rows_without_id(spark):
+    from conftest import make_docs
+
+    rows = [(None if i % 3 == 0 else i, f"w{i} " * (1 + i % 9), "abc"[i % 2]) for i in range(900)]
+    docs = make_docs(spark, rows)
+    found = mixing.mix(docs).collect()
+    check(rows, found)
+    taken = Counter()
+    for r in found:
+        taken[r["source_size"], r["target"]] += r["size"] * len(r["copies"])
+    assert len(taken) == 2 and all(abs(n - target) <= 9 for (_, target), n in taken.items())
+    assert digest(docs) == digest(docs.repartition(7))
+    draws = docs.select(mixing.identity(mixing.F.col("doc_id"), mixing.F.col("text")).alias("i")).distinct().count()
+    assert draws == 900
