@@ -14,8 +14,8 @@ The fractional rank is dealt the same way. Texts never move: only ids, sizes
 and checksums are shuffled, and everything is a DataFrame function.
 
 Defined cases: null texts count as empty (size 1, checksum 0); null sources
-are a source of their own; null ids share one seeded key, ordered by checksum
-and size; repeated rows are separate rows. Rows equal in all of these columns
+are a source of their own; rows without id are drawn by a checksum of their
+texts, and those of equal text are ordered by checksum and size; repeated rows are separate rows. Rows equal in all of these columns
 are interchangeable; of a text only its size and checksum are kept, whatever its
 length. An empty table gives an empty result, and other columns
 of the input are ignored.
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsight.llm.common import n_buckets, source_key, stored
+from cardsight.llm.common import identity, n_buckets, source_key, stored
 
 #: Rows of a bucket: one window group, sorted in one task.
 BUCKET_ROWS = 20_000
@@ -58,7 +58,6 @@ def shard_documents(
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    identity = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = stored(
         docs.select(
             F.col(id_col).alias("doc_id"),
@@ -66,7 +65,7 @@ def shard_documents(
             source_key(F.col(source_col)).alias("stratum"),
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
-            F.md5(F.concat_ws(":", F.lit(str(seed)), identity)).alias("draw"),
+            F.md5(F.concat_ws(":", F.lit(str(seed)), identity(F.col(id_col), text))).alias("draw"),
         ),
         "shard-rows",
     )
@@ -110,7 +109,7 @@ WITH crc_table AS (
     xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
       list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32,
-    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, '')))) AS draw
   FROM documents, crc_table
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY draw, doc_id, text_crc32, size) AS r,

@@ -13,7 +13,8 @@ def brute(rows, n=8):
     sized = []
     for i, t, s in rows:
         data = (t or "").encode()
-        sized.append((s, md5(f"42:{'' if i is None else i}".encode()).hexdigest(), (i is not None, i or 0), crc32(data), len(data) + 1, i))
+        unit = f"text {md5(data).hexdigest()}" if i is None else i  # rows without id are drawn by their texts
+        sized.append((s, md5(f"42:{unit}".encode()).hexdigest(), (i is not None, i or 0), crc32(data), len(data) + 1, i))
     placed = []
     for source in {r[0] for r in sized}:
         own = sorted((r for r in sized if r[0] == source), key=lambda r: r[1:5])
@@ -56,3 +57,15 @@ def test_empty_table(no_docs):
 def test_plan_is_native(odd_docs, capsys):
     sharding.shard_documents(odd_docs).explain("formatted")
     assert not any(word in capsys.readouterr().out for word in ("Python", "Pandas", "Arrow", "Cartesian"))
+
+
+def test_a_third_of_the_rows_without_id(spark):
+    from conftest import make_docs
+
+    rows = [(None if i % 3 == 0 else i, f"text {i}", "ab"[i % 2]) for i in range(600)]
+    got = sharding.shard_documents(make_docs(spark, rows)).collect()
+    found = [(r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"], r["source"]) for r in got]
+    assert sorted(map(str, found)) == sorted(map(str, brute(rows)))
+    nulls = [r for r in got if r["doc_id"] is None]
+    per_shard = [sum(r["shard"] == s for r in nulls) for s in range(8)]
+    assert max(per_shard) < 50  # not side by side in the order
