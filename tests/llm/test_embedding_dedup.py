@@ -90,3 +90,28 @@ def test_rows_of_one_id_are_separate_vectors(spark):
     near = lambda v: v + rng.normal(size=16) * 0.01
     vectors = [(1, a), (1, b), (2, near(a)), (3, near(a)), (4, near(b)), (-5, near(b)), (9, rng.normal(size=16)), (9, a), (9, a)]
     assert rows_of(D.near_duplicates(frame(spark, vectors)).collect()) == sorted(map(str, brute(vectors)))
+
+
+def test_candidates_count_shared_pivots_and_compare_places():
+    def brute(x, y):
+        k = len(x)
+        place = lambda t, p: list(t).index(p) if p in t else k
+        rule = sum(abs(place(x, p) - place(y, p)) for p in set(x) | set(y))
+        return len(set(x) & set(y)) >= D.MIN_SHARED and rule <= D.MAX_FOOTRULE * k * (k + 1)
+
+    rng = np.random.default_rng(1)
+    x, y = (np.array([rng.permutation(12)[:6] for _ in range(80)], np.int32) for _ in range(2))
+    want = np.array([[brute(a, b) for b in y.tolist()] for a in x.tolist()])
+    assert (D.candidates(x, y) == want).all() and 0 < want.sum() < want.size
+    # Equal sets in other orders: the places alone decide.
+    first, last = np.int32([[1, 2, 3, 4, 5, 6]]), np.int32([[7, 8, 9, 10, 1, 2]])
+    assert not D.candidates(last, np.int32([[11, 12, 13, 14, 1, 2]])).any()
+    assert D.candidates(first, np.int32([[1, 2, 11, 12, 13, 14]])).all()
+
+
+def test_permutations_are_in_the_order_of_nearness():
+    rng = np.random.default_rng(3)
+    pivots, vectors = (D.unit(rng.normal(size=(n, 8))) for n in (40, 25))
+    want = np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")[:, :6]
+    assert (D.nearest_pivots(vectors, pivots, 6) == want).all()
+    assert D.nearest_pivots(vectors, pivots[:1], 6).tolist() == [[0]] * 25
