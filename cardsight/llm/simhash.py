@@ -218,14 +218,22 @@ def near_duplicates(
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (null
-    ids last), and of several rows of that id the one of the smallest hash."""
+    ids last), and of several rows of that id the one of the smallest hash.
+
+    Survivors are chosen on narrow rows. Whole rows are joined with them once;
+    only survivors that stand in the table several times are grouped.
+    """
     found = near_duplicates(docs, id_col, **options)
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row_hash").alias("row_hash"))
-    first = found.groupBy("component").agg(F.min(order).alias("k")).select(
-        F.coalesce("k.id", F.lit(0)).alias("k1"), F.col("k.row_hash").alias("k2")
+    alike = found.groupBy("component", order.alias("k")).agg(F.count("*").alias("copies"))
+    first = alike.groupBy("component").agg(F.min(F.struct("k", "copies")).alias("first")).select(
+        F.coalesce("first.k.id", F.lit(0)).alias("k1"), F.col("first.k.row_hash").alias("k2"), F.col("first.copies").alias("copies")
     )
+    first = stored(first, "simhash-first")
     rows = docs.select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias("k1"), row_hash(docs).alias("k2"), F.struct("*").alias("row")
     )
-    kept = rows.join(stored(first, "simhash-first"), ["k1", "k2"], "left_semi")
-    return kept.groupBy("k1", "k2").agg(F.first("row").alias("row")).select("row.*")
+    single = rows.join(first.where("copies = 1"), ["k1", "k2"], "left_semi")
+    several = rows.join(first.where("copies > 1"), ["k1", "k2"], "left_semi")
+    one = several.groupBy("k1", "k2").agg(F.first("row").alias("row"))
+    return single.select("row.*").union(one.select("row.*"))
