@@ -31,14 +31,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(table: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def python_on(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor, and
     bound the bytes of the batches they get, so long texts cannot fill memory."""

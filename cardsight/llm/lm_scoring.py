@@ -15,13 +15,18 @@ seen.
 Texts are read once and are never shuffled: tasks cut them into chunks of
 about ``CHUNK_TOKENS`` tokens, each with its own dictionary. The dictionaries
 are counted and joined with the vocabulary, which is numbered by falling
-count and has no bound, and go back to their chunks, whose tokens become
-vocabulary numbers. Each task adds up its bigrams before the shuffle. Counts of
-the first ``HOT_WORDS`` numbers go to every task, those of the rest are joined.
-The bigrams that occur most often, at most ``HOT_BIGRAMS``, go to every task
-with their losses, which covers most tokens where the documents are read; only
-the rest is joined, once for each bigram of a document, and no bigram of the
-join is frequent.
+count and has no bound, and go back to their chunks, whose tokens (one packed
+row a document) become vocabulary numbers. Each task adds up its bigrams, and
+its words and histories, before the shuffle. Bigrams that occur once are
+counted but not kept: their losses follow from the counts of their words.
+
+Counts of the first ``HOT_WORDS`` numbers go to every task, and so do the
+bigrams that occur most often, at most ``HOT_BIGRAMS``, with their losses, and
+a bit set of ``FILTER_BITS`` over all others that occur twice or more. A
+bigram outside both occurs once and is scored in place, where its words are
+among the first numbers. The rest is joined with the counts, one row for each
+such bigram of a document; no bigram of that join is frequent. The bit set
+decides only what is joined: where it is crowded, more is.
 
 Defined cases: null and wordless texts have no tokens, losses and score null;
 null ids are scored but are no targets; a target id that several rows have
@@ -40,16 +45,17 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardsight.llm.common import python_on, stored
+from cardsight.llm.common import freed, python_on, stored
 
 #: Tokens of a chunk of documents with one dictionary (a document is never cut).
 CHUNK_TOKENS = 1 << 19
 #: Words whose counts go to every task.
 HOT_WORDS = 1 << 18
 HOT_BIGRAMS = 2_000_000
+FILTER_BITS = 1 << 27
 BIGRAM_WEIGHT = 0.7
 #: Tokens that a task sorts at a time, and different bigrams that it holds.
 SORTED_TOKENS = 1 << 21
@@ -60,6 +66,8 @@ MOST_COUNTED = 65_536
 UNKNOWN, BEGIN, FIRST_WORD = 0, 1, 2
 _NUMBER = np.uint32
 _SHIFT = 31  # bits of a vocabulary number, and in a bigram's key
+_LOW = (1 << _SHIFT) - 1
+ANY = _LOW  # no vocabulary number: with it a key stands for a word or a history alone
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -179,7 +187,7 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bigrams of a task with their counts in all and in target documents."""
+    """Bigrams, histories and words of a task with their counts in all and in target documents."""
     tokens: list[np.ndarray] = []  # keys, each with a last bit for target documents
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -188,9 +196,12 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         keys = marked >> 1
         first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        columns = keys[first], np.add.reduceat(counts, first), np.add.reduceat(counts * (marked & 1), first)
-        for at in range(0, len(first), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], ["key", "n", "n_target"])
+        key, n, n_target = keys[first], np.add.reduceat(counts, first), np.add.reduceat(counts * (marked & 1), first)
+        for some in (key, key >> _SHIFT << _SHIFT | ANY, ANY << _SHIFT | key & _LOW):
+            total, columns = _added([(some, n)]), _added([(some, n_target)])
+            columns = (*total, columns[1])
+            for at in range(0, len(total[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000]) for c in columns], ["key", "n", "n_target"])
 
     def sort() -> None:
         if sum(map(len, tokens)):
@@ -211,64 +222,101 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit()
 
 
-def _sides(counts: DataFrame, part: str, n_hot: int) -> tuple[np.ndarray, DataFrame]:
-    """Counts of all and of target tokens by vocabulary number, as history (``h``) or as
-    word (``w``): an array for numbers below ``n_hot``, rows for the rest."""
-    sums = counts.groupBy(part).agg(F.sum("n").alias(f"{part}_n"), F.sum("n_target").alias(f"{part}_t"))
-    out = np.zeros((2, n_hot))
-    for r in sums.where(F.col(part) < n_hot).collect():  # at most ``n_hot`` rows
-        out[0, r[0]], out[1, r[0]] = r[1], r[2]
-    return out, sums.where(F.col(part) >= n_hot)
-
-
-def _losses(counts: DataFrame, n_words: int, weight: float) -> DataFrame:
-    """``key, n, target_loss, background_loss`` for each bigram."""
-    split = counts.withColumns({
-        "h": F.shiftright("key", _SHIFT), "w": F.col("key").bitwiseAND(F.lit((1 << _SHIFT) - 1)),
-    })
-    size = n_words + FIRST_WORD
-    n_hot = min(size, HOT_WORDS)
-    history, rare_history = _sides(split, "h", n_hot)
-    words, rare_words = _sides(split, "w", n_hot)
-    totals = counts.agg(F.sum("n"), F.sum("n_target")).first()
-    shared = counts.sparkSession.sparkContext.broadcast((history, words, [t or 0 for t in totals]))
-
-    none = F.lit(None).cast("long")
-    rows = split
-    for part, rare in (("h", rare_history), ("w", rare_words)):
-        names = {f"{part}_n": none, f"{part}_t": none}
-        hot = rows.where(F.col(part) < n_hot).withColumns(names)
-        # A rare number has few bigrams, so no key of this join is frequent.
-        rows = hot.unionByName(rows.where(F.col(part) >= n_hot).join(rare.hint("merge"), part)) if size > n_hot else hot
+def _loss(pair, history, word, total, n_words: int, weight: float) -> np.ndarray:
+    """Losses of bigrams from the counts of pair, history, word and all tokens."""
+    single = (word + 1) / (total + n_words + 1)
+    after = np.divide(pair, history, out=np.zeros(len(history)), where=history > 0)
+    return -np.log(np.where(history > 0, weight * after + (1 - weight) * single, single))
+
+
+class _Model:
+    """Counts of histories and words: arrays for the first numbers, which go to
+    every task, and tables for the rest."""
+
+    def __init__(self, counts: DataFrame, n_words: int, weight: float):
+        self.n_words, self.weight = n_words, weight
+        self.n_hot = min(n_words + FIRST_WORD, HOT_WORDS)
+        self.has_rare = n_words + FIRST_WORD > self.n_hot
+        key = F.col("key")
+        history, word = F.shiftright(key, _SHIFT), key.bitwiseAND(F.lit(_LOW))
+        sides = {"h": counts.where(word == ANY).select(history.alias("h"), "n", "n_target"),
+                 "w": counts.where(history == ANY).select(word.alias("w"), "n", "n_target")}
+        self.rare = {p: side.where(F.col(p) >= self.n_hot).toDF(p, f"{p}_n", f"{p}_t") for p, side in sides.items()}
+        hot = {}
+        for p, side in sides.items():
+            hot[p] = np.zeros((2, self.n_hot))
+            for r in side.where(F.col(p) < self.n_hot).collect():  # at most HOT_WORDS rows
+                hot[p][0, r[0]], hot[p][1, r[0]] = r[1], r[2]
+        totals = [t or 0 for t in sides["w"].agg(F.sum("n"), F.sum("n_target")).first()]
+        self.shared = counts.sparkSession.sparkContext.broadcast((hot, totals))
+
+    def losses(self, rows: DataFrame) -> DataFrame:
+        """``row, times, key, target_loss, background_loss`` from ``row, times, key, n, n_target``."""
+        n_hot, n_words, weight, shared = self.n_hot, self.n_words, self.weight, self.shared
+        rows = rows.select("row", "times", "key", "n", "n_target").withColumns(
+            {"h": F.shiftright("key", _SHIFT), "w": F.col("key").bitwiseAND(F.lit(_LOW))}
+        )
+        none = F.lit(None).cast("long")
+        for part in ("h", "w"):
+            hot = rows.where(F.col(part) < n_hot).withColumns({f"{part}_n": none, f"{part}_t": none})
+            # A rare number has few bigrams, so no key of this join is frequent.
+            rare = self.rare[part].hint("merge")
+            rows = hot.unionByName(rows.where(F.col(part) >= n_hot).join(rare, part)) if self.has_rare else hot
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            arrays, totals = shared.value
+            for batch in batches:
+                key = batch.column("key").to_numpy()
+                at = {"h": key >> _SHIFT, "w": key & _LOW}
+
+                def counted(part: str, side: int) -> np.ndarray:
+                    joined = batch.column(f"{part}_{'nt'[side]}").fill_null(0).to_numpy()  # noqa: B023
+                    return np.where(at[part] < n_hot, arrays[part][side][np.minimum(at[part], n_hot - 1)], joined)  # noqa: B023
+
+                loss = [
+                    _loss(batch.column(c).to_numpy(), counted("h", side), counted("w", side), totals[side], n_words, weight)
+                    for side, c in ((1, "n_target"), (0, "n"))
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row"), batch.column("times"), batch.column("key"), *map(pa.array, loss)],
+                    ["row", "times", "key", "target_loss", "background_loss"],
+                )
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        history, words, totals = shared.value
-        for batch in batches:
-            key = batch.column("key").to_numpy()
-            at = {"h": key >> _SHIFT, "w": key & ((1 << _SHIFT) - 1)}
-
-            def counted(part: str, side: int, hot: np.ndarray) -> np.ndarray:
-                joined = batch.column(f"{part}_{'nt'[side]}").fill_null(0).to_numpy()
-                return np.where(at[part] < n_hot, hot[side][np.minimum(at[part], n_hot - 1)], joined)  # noqa: B023
-
-            loss = []
-            for side, column in ((1, "n_target"), (0, "n")):
-                seen = counted("h", side, history)
-                single = (counted("w", side, words) + 1) / (totals[side] + n_words + 1)
-                pair = np.divide(batch.column(column).to_numpy(), seen, out=np.zeros(len(key)), where=seen > 0)
-                loss.append(-np.log(np.where(seen > 0, weight * pair + (1 - weight) * single, single)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("n"), *map(pa.array, loss)], ["key", "n", "target_loss", "background_loss"]
-            )
-
-    return rows.select("key", "n", "n_target", "h_n", "h_t", "w_n", "w_t").mapInArrow(
-        run, "key long, n long, target_loss double, background_loss double"
+        columns = ["row", "times", "key", "n", "n_target", "h_n", "h_t", "w_n", "w_t"]
+        return rows.select(*columns).mapInArrow(
+            run, "row long, times long, key long, target_loss double, background_loss double"
+        )
+
+
+#: Multipliers of the bit set's hash: odd, below 2**31 so that no product overflows.
+_FACTORS = 1_640_531_527, 1_013_904_223
+
+
+def _place(history, word, bits: int):
+    """The bit of a bigram, for columns and for arrays alike (``bits`` a power of two)."""
+    mixed = history * _FACTORS[0] + word * _FACTORS[1]
+    if isinstance(mixed, Column):
+        return F.shiftright(mixed, 20).bitwiseAND(F.lit(bits - 1))
+    return mixed >> 20 & bits - 1
+
+
+def _bit_set(bigrams: DataFrame, bits: int) -> np.ndarray:
+    """Bytes of a set of ``bits`` bits with those of all ``bigrams`` set; at most that many reach the driver."""
+    place = _place(F.shiftright("key", _SHIFT), F.col("key").bitwiseAND(F.lit(_LOW)), bits)
+    words = (
+        bigrams.select(place.alias("place"))
+        .groupBy(F.shiftright("place", 15).alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
     )
+    out = np.zeros((max(1, bits >> 15), 1 << 12), dtype=np.uint8)
+    for r in words.toLocalIterator():
+        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
 
-def _hot_count(losses: DataFrame, most: int) -> int:
+def _hot_count(bigrams: DataFrame, most: int) -> int:
     """The least count from which at most ``most`` bigrams are counted."""
-    by_count = losses.groupBy(F.least("n", F.lit(MOST_COUNTED)).alias("n")).agg(F.count("*").alias("bigrams"))
+    by_count = bigrams.groupBy(F.least("n", F.lit(MOST_COUNTED)).alias("n")).agg(F.count("*").alias("bigrams"))
     left, least = most, MOST_COUNTED + 1
     for r in sorted(by_count.collect(), key=lambda r: -r["n"]):  # at most MOST_COUNTED rows
         left -= r["bigrams"]
@@ -286,6 +334,7 @@ def cross_entropy_difference(
     vocabulary_size: int | None = None,
     hot_bigrams: int = HOT_BIGRAMS,
     weight: float = BIGRAM_WEIGHT,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``id, n_tokens, target_loss, background_loss, score``, one row per row of
     ``docs``; ``targets`` holds the ids (``id_col``) of the target documents.
@@ -294,60 +343,93 @@ def cross_entropy_difference(
     python_on(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     of_target = targets.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct()
-    coded = stored(_coded(rows), "lm-coded")
-    words = stored(_vocabulary(coded, vocabulary_size), "lm-vocabulary")
+    coded = stored(_coded(rows), "lm-coded", "zstd")
+    words = stored(_vocabulary(coded, vocabulary_size), "lm-vocabulary", "zstd")
     n_words = words.count()
-    if n_words + FIRST_WORD >= 1 << _SHIFT:
+    if n_words + FIRST_WORD >= ANY:
         raise ValueError("the vocabulary is too large for a bigram's key")
 
-    marked = stored(_numbered(coded, words, of_target), "lm-numbered")
+    marked = stored(_numbered(coded, words, of_target), "lm-numbered", "zstd")
+    freed(coded)
+    alone = (F.shiftright("key", _SHIFT) == ANY) | (F.col("key").bitwiseAND(F.lit(_LOW)) == ANY)
     counts = stored(
         marked.select("tokens", "is_target").mapInArrow(_counted, "key long, n long, n_target long")
-        .groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")),
-        "lm-counts",
+        .groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+        .where((F.col("n") >= 2) | alone),
+        "lm-counts", "zstd",
     )
-    losses = stored(_losses(counts, n_words, weight), "lm-losses")
-    least = _hot_count(losses, hot_bigrams)
-    hot = losses.where(F.col("n") >= least).select("key", "target_loss", "background_loss").toArrow().sort_by("key")
-    shared = spark.sparkContext.broadcast(tuple(c.to_numpy() for c in hot.columns))
+    model = _Model(counts, n_words, weight)
+    bigrams = counts.where(~alone)
+    least = _hot_count(bigrams, hot_bigrams)
+    known, rest = bigrams.where(F.col("n") >= least), bigrams.where(F.col("n") < least)
+    none = F.lit(0).cast("long")
+    hot = model.losses(known.withColumns({"row": none, "times": none}))
+    hot = hot.select("key", "target_loss", "background_loss").toArrow().sort_by("key")  # at most ``hot_bigrams``
+    shared = spark.sparkContext.broadcast((*(c.to_numpy() for c in hot.columns), _bit_set(rest, filter_bits)))
+    singles, n_hot = model.shared, model.n_hot
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with the sums of its hot tokens (its key is no bigram's), and one for each other bigram of it."""
-        hot_key, hot_target, hot_background = shared.value
+        """A row for each document with the sums of the tokens scored here (its key is no bigram's), and one for each other bigram of it."""
+        hot_key, hot_target, hot_background, bits = shared.value
+        arrays, totals = singles.value
         for batch in batches:
             row = batch.column(0).to_numpy()
             cold = []
             sums = np.zeros((2, len(row)))
             n = np.zeros(len(row), dtype=np.int64)
-            for i, tokens in enumerate(batch.column(2).to_pylist()):
+            for i, (tokens, is_target) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 keys = _keys(tokens)
                 n[i] = len(keys)
                 at = np.minimum(np.searchsorted(hot_key, keys), max(len(hot_key) - 1, 0))
                 is_hot = hot_key[at] == keys if len(hot_key) else np.zeros(len(keys), dtype=bool)
                 sums[0, i], sums[1, i] = hot_target[at[is_hot]].sum(), hot_background[at[is_hot]].sum()
                 rest, times = np.unique(keys[~is_hot], return_counts=True)
-                if len(rest):
-                    cold.append((np.full(len(rest), row[i]), rest, times))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(-1 - row), pa.array(n), *map(pa.array, sums)], _NAMES
-            )
+                h, w = rest >> _SHIFT, rest & _LOW
+                place = _place(h, w, filter_bits)
+                once = (bits[place >> 3] >> (place & 7) & 1) == 0
+                here = once & (h < n_hot) & (w < n_hot)
+                for at_sum, side, pair in ((0, 1, float(is_target)), (1, 0, 1.0)):
+                    history, word = arrays["h"][side][h[here]], arrays["w"][side][w[here]]
+                    sums[at_sum, i] += _loss(np.full(len(word), pair), history, word, totals[side], n_words, weight).sum()
+                if not here.all():
+                    left = ~here
+                    cold.append((np.full(left.sum(), row[i]), rest[left], times[left], np.full(left.sum(), int(is_target)), once[left]))
+            size = len(row)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array(-1 - row), pa.array(n), *map(pa.array, sums),
+                pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()),
+            ], _NAMES)
             if cold:
-                at, key, times = (np.concatenate(c) for c in zip(*cold))
-                none = pa.nulls(len(at), pa.float64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at), pa.nulls(len(at), pa.int64()), pa.array(key), pa.array(times.astype(np.int64)), none, none], _NAMES
-                )
-
-    parts = marked.select(F.monotonically_increasing_id().alias("row"), "id", "tokens").mapInArrow(
-        run, "row long, id long, key long, n long, target_sum double, background_sum double"
+                at, key, times, target, once = (np.concatenate(c) for c in zip(*cold))
+                sum_none = pa.nulls(len(at), pa.float64())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(at), pa.nulls(len(at), pa.int64()), pa.array(key), pa.array(times.astype(np.int64)), sum_none, sum_none,
+                    pa.array(target.astype(np.int64)), pa.array(once),
+                ], _NAMES)
+
+    parts = stored(
+        marked.select(F.monotonically_increasing_id().alias("row"), "id", "tokens", "is_target").mapInArrow(
+            run, "row long, id long, key long, n long, target_sum double, background_sum double, n_target long, once boolean"
+        ),
+        "lm-parts", "zstd",
+    )
+    freed(marked)
+    cold = parts.where("key >= 0").select("row", "key", F.col("n").alias("times"), "n_target", "once")
+    single = cold.where("once").select("row", "times", "key", F.lit(1).cast("long").alias("n"), "n_target")
+    # What the bit set lets pass without a count occurs once as well.
+    of = rest.select("key", F.col("n").alias("all_n"), F.col("n_target").alias("all_target"))
+    counted = cold.where("not once").join(of, "key", "left").select(
+        "row", "times", "key", F.coalesce("all_n", F.lit(1)).alias("n"), F.coalesce("all_target", "n_target").alias("n_target")
     )
-    rest = losses.where(F.col("n") < least).select("key", "target_loss", "background_loss")
-    joined = parts.join(rest, "key", "left").select(
-        "row",
-        "id",
-        F.when(F.col("key") < 0, F.col("n")).alias("n_tokens"),
-        F.coalesce("target_sum", F.col("target_loss") * F.col("n")).alias("target"),
-        F.coalesce("background_sum", F.col("background_loss") * F.col("n")).alias("background"),
+    losses = model.losses(single.unionByName(counted))
+    nothing = F.lit(None).cast("long")
+    joined = parts.where("key < 0").select(
+        "row", "id", F.col("n").alias("n_tokens"), F.col("target_sum").alias("target"), F.col("background_sum").alias("background")
+    ).unionByName(
+        losses.select(
+            "row", nothing.alias("id"), nothing.alias("n_tokens"),
+            (F.col("target_loss") * F.col("times")).alias("target"), (F.col("background_loss") * F.col("times")).alias("background"),
+        )
     )
     sums = joined.groupBy("row").agg(
         F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"),
@@ -361,7 +443,7 @@ def cross_entropy_difference(
 
 
 _CODED = ["chunk", "id", "code", "tokens", "word", "n"]
-_NAMES = ["row", "id", "key", "n", "target_sum", "background_sum"]
+_NAMES = ["row", "id", "key", "n", "target_sum", "background_sum", "n_target", "once"]
 
 #: The same losses, rounded, in DuckDB SQL.
 ORACLE_SQL = rf"""

@@ -66,10 +66,15 @@ def test_counts_of_a_task_are_whole_whatever_it_holds(monkeypatch):
     docs = [rng.integers(0, 9, size=n).astype(L._NUMBER) for n in (0, 1, 50, 400, 30)]
     batch = pa.RecordBatch.from_arrays([pa.array([d.tobytes() for d in docs]), pa.array([True, False, True, False, True])], ["tokens", "is_target"])
     want = Counter()
+
+    def count(into, d, t):
+        for bigram in L._keys(d.tobytes()).tolist():
+            for k in (bigram, bigram >> L._SHIFT << L._SHIFT | L.ANY, L.ANY << L._SHIFT | bigram & L.ANY):
+                into[k, 0] += 1
+                into[k, 1] += t
+
     for d, t in zip(docs, [1, 0, 1, 0, 1]):
-        for k in L._keys(d.tobytes()).tolist():
-            want[k, 0] += 1
-            want[k, 1] += t
+        count(want, d, t)
     for tokens, held in ((1 << 21, 1 << 22), (3, 4), (100, 20)):
         monkeypatch.setattr(L, "SORTED_TOKENS", tokens)
         monkeypatch.setattr(L, "HELD_BIGRAMS", held)
@@ -80,9 +85,7 @@ def test_counts_of_a_task_are_whole_whatever_it_holds(monkeypatch):
                 got[k, 1] += t
         twice = Counter(want)
         for d, t in ((docs[2], 1), (docs[3], 0)):
-            for k in L._keys(d.tobytes()).tolist():
-                twice[k, 0] += 1
-                twice[k, 1] += t
+            count(twice, d, t)
         assert +got == +twice
 
 
@@ -122,3 +125,29 @@ def test_given_tables_equal_the_sql(spark):
     want = {r[0]: r for r in want}
     for r in got:
         assert tuple(r) == pytest.approx(want[r["id"]], abs=2e-6)
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 27])
+def test_bigrams_that_occur_once_or_seldom(spark, monkeypatch, bits):
+    """Rare words and bigrams, few and many of them in a crowded bit set."""
+    from conftest import make_docs
+
+    monkeypatch.setattr(L, "HOT_WORDS", 200)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(w)}" for w in rng.zipf(1.3, size=800) if w < 3000), "s") for i in range(60)]
+    targets = spark.createDataFrame([(i,) for i in range(0, 60, 4)], "doc_id long")
+    want = {i: (n, t, b) for i, n, t, b in brute(rows, set(range(0, 60, 4)), 10**6)}
+    found = L.cross_entropy_difference(make_docs(spark, rows), targets, hot_bigrams=100, filter_bits=bits).collect()
+    assert len(found) == 60
+    for r in found:
+        assert (r["n_tokens"], r["target_loss"], r["background_loss"]) == pytest.approx(want[r["id"]], rel=1e-9)
+
+
+def test_the_bit_set_holds_every_bigram(spark):
+    rng = np.random.default_rng(5)
+    key = rng.integers(0, 1 << 62, size=2000)
+    frame = spark.createDataFrame([(int(k),) for k in key], "key long")
+    bits = L._bit_set(frame, 1 << 16)
+    place = L._place(key >> L._SHIFT, key & L.ANY, 1 << 16)
+    assert (bits[place >> 3] >> (place & 7) & 1).all()
+    assert np.unpackbits(bits).sum() == len(set(place.tolist()))
