@@ -51,6 +51,8 @@ SEED = 42
 BUCKET_ROWS = 20_000
 #: Blocks are this fine, so that the quota of a source of 1 % of the words is within 0.2 % of its target.
 BLOCKS_PER_SHARD = 4096
+#: Blocks that go to every task, some 60 bytes each; more are joined by a shuffle.
+MAX_BROADCAST_BLOCKS = 250_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -211,7 +213,9 @@ def mix(
         .groupBy("stratum", "block")
         .agg(F.sort_array(F.collect_list(F.struct("epoch", "shard"))).alias("copies"))  # at most max_epochs each
     )
-    out = placed.join(drawn, ["stratum", "block"], "left")
+    drawn = stored(drawn, "mix-drawn")
+    small = drawn.count() <= MAX_BROADCAST_BLOCKS  # more only with as many sources
+    out = placed.join(F.broadcast(drawn) if small else drawn, ["stratum", "block"], "left")
     none = F.array().cast("array<struct<epoch:int,shard:int>>")
     return out.select("id", "size", "source_size", "target", F.coalesce("copies", none).alias("copies"), "row")
 
