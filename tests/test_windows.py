@@ -235,6 +235,22 @@ def test_frames_of_one_hot_entity_are_not_quadratic(spark):
         assert (row["max"], row["min"]) == (frame.max(), frame.min()) and row["stddev_pop"] == pytest.approx(frame.std())
 
 
+def test_sliding_sums_and_ends_have_no_moving_frame(spark):
+    rnd = random.Random(5)
+    rows = [(T0 + dt.timedelta(seconds=rnd.choice([rnd.randrange(0, 20 * 86400), 5 * 86400])), rnd.choice([1, 1, 2, None]), 1,
+             rnd.choice([1.5, -2.25, 7.0, None]), rnd.choice([0, 1, None])) for _ in range(200)]
+    df = _tx(spark, rows).withColumn(S.TX_DATETIME, F.when(F.col(S.TRANSACTION_ID) % 17 != 0, F.col(S.TX_DATETIME)))
+    df = df.withColumn(win.SEC, F.unix_timestamp(F.col(S.TX_DATETIME).cast("timestamp")))
+    ways = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+    specs = [win.FrameAgg(f"{f}_{n}_{a}", f, S.TX_AMOUNT, n, a) for f in ways for n, a in ((0, 0), (3, 0), (6, 2))]
+    # A function without a name goes through Spark's own moving frames.
+    plain = [win.FrameAgg(s.name, lambda c, f=s.func: ways[f](c), S.TX_AMOUNT, s.n_days, s.shift_days) for s in specs]
+    out, want = (win.trailing_aggregates(df, S.CUSTOMER_ID, x, strategy="sliding", seconds_col=win.SEC) for x in (specs, plain))
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    frames = [f for f in out._jdf.queryExecution().executedPlan().toString().split("specifiedwindowframe(")[1:]]
+    assert frames and all("unboundedpreceding" in f.split(")")[0] for f in frames)
+
+
 @pytest.mark.parametrize("heavy_rows", [10, 60, 10_000])
 def test_heavy_entities_take_blocks_with_the_same_values(spark, monkeypatch, heavy_rows):
     rnd = random.Random(heavy_rows)
