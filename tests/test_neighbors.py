@@ -7,6 +7,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +157,31 @@ def test_a_query_meets_only_the_boxes_of_its_ball():
     got = [set(met[row == i].tolist()) for i in range(50)]
     assert all(a <= b for a, b in zip(near, got))
     assert sum(map(len, got)) < 50 * 32 / 3
+
+
+def test_rows_within_a_bound_are_found_by_a_product_and_measured_exactly(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    R = np.round(rng.normal(size=(500, 15)) + 1e6, 3)  # far from the origin, where products lose most
+    R[250:] = R[:250]
+    Q = np.r_[R[:40], np.round(rng.normal(size=(40, 15)) + 1e6, 3)]
+    D = nb._dist(Q, R)
+    theta = np.sort(D, axis=1)[:, 4]
+    theta[3] = 0.0
+    for bound in (theta, theta + 5.0):
+        row, at, d = nb._within(Q, R, bound, 5, nb._shifted(R))
+        assert set(zip(*np.nonzero(D <= theta[:, None]))) <= set(zip(row, at)) and (d == D[row, at]).all()
+        assert len(row) < 4 * (D <= theta[:, None]).sum()
+    low = np.arange(80) % 400
+    row, at, d = nb._within(Q, R, theta + 5.0, 5, nb._shifted(R), (low, low + 3))
+    D[np.arange(80)[:, None], low[:, None] + np.arange(3)] = np.inf
+    assert set(zip(*np.nonzero(D <= np.sort(D, axis=1)[:, 4:5]))) <= set(zip(row, at)) and np.isfinite(D[row, at]).all()
+
+    measured = []
+    dist = nb._dist
+    monkeypatch.setattr(nb, "_dist", lambda X, Y: measured.append(X.shape) or dist(X, Y))
+    names = ["_g", "_query", "_id", "a", "_theta"]
+    rows = [(0, False, i, float(i), None) for i in range(100)] + [(0, True, 50, 50.0, 2.0), (0, True, 200, 3.5, np.inf)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    found = [tuple(x.values()) for b in nb._meet(["a"], 3, True, bound=False)([batch]) for x in b.to_pylist()]
+    assert found == [(50, 49, 1.0), (50, 51, 1.0), (50, 48, 2.0), (200, 3, 0.5), (200, 4, 0.5), (200, 2, 1.5)]
+    assert measured == [(1, 1)]  # the query without a bound only
