@@ -63,6 +63,28 @@ def test_equals_brute_force(spark):
     assert [r["loss"] for r in got] == sorted((r["loss"] for r in got), reverse=True)
 
 
+def test_level_sums_add_up_pairs_of_features(monkeypatch):
+    rng = np.random.default_rng(3)
+    n, n_nodes, n_bins = 5000, 3, 8
+    bins, node = rng.integers(0, n_bins, (5, n)).astype(np.uint8), rng.integers(0, n_nodes, n)
+    g, h = B.gradients(rng.normal(size=n), rng.integers(0, 2, n).astype(float))
+    want = np.zeros((2, n_nodes, 5, n_bins), np.int64)
+    for f in range(5):
+        for i, w in enumerate((g, h)):
+            np.add.at(want[i, :, f], (node, bins[f]), w.astype(np.int64))
+    counted = []
+    bincount = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda at, w, size: counted.append(len(at)) or bincount(at, w, size))
+    for few, pairs, chunk, entries in ((0, 1 << 16, 1 << 21, 6 * n), (0, 0, 1 << 21, 10 * n), (0, 1 << 16, 999, 6 * n), (n, 0, 999, 10 * n)):
+        monkeypatch.setattr(B, "FEW_ROWS", few)
+        monkeypatch.setattr(B, "PAIR_CELLS", pairs)
+        monkeypatch.setattr(B, "CHUNK", chunk)
+        monkeypatch.setattr(B, "PIECE", 700)
+        counted.clear()
+        assert (B.level_sums(bins, node, g, h, n_nodes, n_bins) == want).all()
+        assert sum(counted) == entries
+
+
 def test_tasks_stages_and_row_order_make_no_difference(spark, monkeypatch):
     x, y = table(seed=1)
     rows = frame(spark, x, y)
