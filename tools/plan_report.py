@@ -44,8 +44,8 @@ def main() -> None:
               "- `d1_features`: one exchange and one linear window pass for each entity, as no entity here has more "
               "than 200,000 rows; heavy entities would go through blocks of their timeline beside it. One "
               "aggregate before it finds the number of rows and the scale of the amounts.",
-              "- `w1_sliding_features`: the direct form, 2 exchanges and 2 windows, but one task per entity and "
-              "a per-row frame re-aggregation; kept as the cross-check.",
+              "- `w1_sliding_features`: the direct form, 2 exchanges and 2 windows, but one task per entity"
+              "; kept as the cross-check.",
               "- `d2_split_test`: one anti join against a pre-aggregated per-customer table (broadcast here only "
               "because Catalyst measured it small; at scale it is a sort-merge join with AQE skew splitting).",
               "- `j2_day_loop_split_test`: the same rows by set operations (the name is of an earlier form).",
