@@ -58,8 +58,8 @@ HOT_BIGRAMS = 2_000_000
 FILTER_BITS = 1 << 27
 BIGRAM_WEIGHT = 0.7
 #: Tokens that a task sorts at a time, and different bigrams that it holds.
-SORTED_TOKENS = 1 << 21
-HELD_BIGRAMS = 1 << 22
+SORTED_TOKENS = 1 << 18
+HELD_BIGRAMS = 1 << 19
 #: Counts beyond this are one class when the hot bigrams are chosen.
 MOST_COUNTED = 65_536
 
@@ -190,6 +190,7 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bigrams, histories and words of a task with their counts in all and in target documents."""
     tokens: list[np.ndarray] = []  # keys, each with a last bit for target documents
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    n_tokens = 0
 
     def emit() -> Iterator[pa.RecordBatch]:
         marked, counts = _added(held)
@@ -211,12 +212,14 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for packed, is_target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             tokens.append(_keys(packed) << 1 | int(is_target))
-        if sum(map(len, tokens)) >= SORTED_TOKENS:
-            sort()
-            if sum(len(k) for k, _ in held) >= HELD_BIGRAMS:
-                held[:] = [_added(held)]
-                if len(held[0][0]) >= HELD_BIGRAMS // 2:
-                    yield from emit()
+            n_tokens += len(tokens[-1])
+            if n_tokens >= SORTED_TOKENS:
+                sort()
+                n_tokens = 0
+                if sum(len(k) for k, _ in held) >= HELD_BIGRAMS:
+                    held[:] = [_added(held)]
+                    if len(held[0][0]) >= HELD_BIGRAMS // 2:
+                        yield from emit()
     sort()
     if held:
         yield from emit()
