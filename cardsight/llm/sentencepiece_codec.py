@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from cardsight.llm.common import python_on
 
 SPACE = "▁"  # fixed value: the mark for white space in the vocabulary
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 CACHE_WORD_LENGTH = 48
-CACHE_PAIRS = 600_000
+CACHE_PAIRS = 250_000
 
 
 class Model(NamedTuple):

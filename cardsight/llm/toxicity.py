@@ -59,7 +59,7 @@ MIN_LIFT = 8.0
 #: Letters beyond which a word is no term and not cached.
 LONGEST = 40
 WINDOW = 6
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 #: Reporting verbs and nouns that introduce a quotation.
 REPORTING = frozenset(
@@ -458,6 +458,8 @@ def score_column(spark, model: Model | None) -> Callable[[Column], Column]:
         match = _matcher(model.lexicon) if model else None
         for column in texts:
             yield pa.array([score_text(t or "", model, match) for t in column.to_pylist()], pa.float64())
+        if match:  # the worker goes on to other stages
+            match.cache.clear()
 
     scored = F.arrow_udf(run, "double")
     return lambda text: scored(text.cast("string"))
