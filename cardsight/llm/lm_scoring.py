@@ -16,17 +16,15 @@ Texts are read once and are never shuffled: tasks cut them into chunks of
 about ``CHUNK_TOKENS`` tokens, each with its own dictionary. The dictionaries
 are counted and joined with the vocabulary, which is numbered by falling
 count and has no bound, and go back to their chunks, whose tokens (one packed
-row a document) become vocabulary numbers. Each task adds up its bigrams, and
-its words and histories, before the shuffle. Bigrams that occur once are
-counted but not kept: their losses follow from the counts of their words.
-
-Counts of the first ``HOT_WORDS`` numbers go to every task, and so do the
-bigrams that occur most often, at most ``HOT_BIGRAMS``, with their losses, and
-a bit set of ``FILTER_BITS`` over all others that occur twice or more. A
-bigram outside both occurs once and is scored in place, where its words are
-among the first numbers. The rest is joined with the counts, one row for each
-such bigram of a document; no bigram of that join is frequent. The bit set
-decides only what is joined: where it is crowded, more is.
+row a document) become vocabulary numbers.
+
+The counts take the same way. A chunk sends its different bigrams, histories
+and words, each once and with its own counts, to the buckets of a hash; a
+bucket adds up what all chunks sent and answers each of them with the totals
+in the order it asked. A chunk then has all counts of its documents, whatever
+the size of the vocabulary and however rare a bigram is. Keys and counts of a
+chunk and a bucket travel as one packed row. A frequent bigram is in a bucket
+at most once a chunk; buckets grow in number, not in size.
 
 Defined cases: null and wordless texts have no tokens, losses and score null;
 null ids are scored but are no targets; a target id that several rows have
@@ -52,7 +50,9 @@ from cardsight.llm.common import freed, python_on, stored
 
 #: Tokens of a chunk of documents with one dictionary (a document is never cut).
 CHUNK_TOKENS = 1 << 19
-#: Words whose counts go to every task.
+#: Tokens for each bucket of counts.
+BUCKET_TOKENS = 1 << 20
+#: Sizes of shared tables that scoring no longer needs; kept for callers that give them.
 HOT_WORDS = 1 << 18
 HOT_BIGRAMS = 2_000_000
 FILTER_BITS = 1 << 27
@@ -60,8 +60,6 @@ BIGRAM_WEIGHT = 0.7
 #: Tokens that a task sorts at a time, and different bigrams that it holds.
 SORTED_TOKENS = 1 << 18
 HELD_BIGRAMS = 1 << 19
-#: Counts beyond this are one class when the hot bigrams are chosen.
-MOST_COUNTED = 65_536
 
 UNKNOWN, BEGIN, FIRST_WORD = 0, 1, 2
 _NUMBER = np.uint32
@@ -148,13 +146,18 @@ def _vocabulary(coded: DataFrame, size: int | None) -> DataFrame:
     )
 
 
-def _numbered(coded: DataFrame, words: DataFrame, of_target: DataFrame) -> DataFrame:
-    """``id``, ``tokens`` (vocabulary numbers, packed as integers) and ``is_target`` of each document."""
+def _codes(coded: DataFrame, words: DataFrame, of_target: DataFrame) -> DataFrame:
+    """``of_chunk, of_code, number``: the vocabulary numbers of a chunk's codes, and with
+    number 0, which no word has, the places of its target documents."""
     known = coded.where("word IS NOT NULL").select("chunk", "code", "word").join(words.hint("merge"), "word")
-    docs = coded.where("word IS NULL").select("chunk", "id", "code", "tokens")
-    marks = docs.select("chunk", "code", "id").join(of_target.hint("merge"), "id")  # as number 0, which no word has
+    marks = coded.where("word IS NULL").select("chunk", "code", "id").join(of_target.hint("merge"), "id")
     about = known.select("chunk", "code", "number").union(marks.select("chunk", "code", F.lit(0).cast("long")))
-    about = about.toDF("of_chunk", "of_code", "number")
+    return about.toDF("of_chunk", "of_code", "number")
+
+
+def _numbered(coded: DataFrame, codes: DataFrame) -> DataFrame:
+    """``chunk``, ``id``, ``n_tokens``, ``tokens`` (vocabulary numbers, packed as integers) and ``is_target`` of each document."""
+    docs = coded.where("word IS NULL").select("chunk", "id", "code", "tokens")
 
     def run(docs: pa.Table, about: pa.Table) -> pa.Table:
         code, number = about.column("of_code").to_numpy(), about.column("number").to_numpy()
@@ -163,12 +166,16 @@ def _numbered(coded: DataFrame, words: DataFrame, of_target: DataFrame) -> DataF
             int(np.frombuffer(t, _NUMBER).max(initial=0)) for t in docs.column("tokens").to_pylist())]), UNKNOWN, _NUMBER)
         of_code[code[is_word]] = number[is_word]
         return pa.table({
+            "chunk": docs.column("chunk"),
             "id": docs.column("id"),
+            "n_tokens": pa.array([len(t) // _NUMBER().itemsize for t in docs.column("tokens").to_pylist()], pa.int64()),
             "tokens": pa.array([of_code[np.frombuffer(t, _NUMBER)].tobytes() for t in docs.column("tokens").to_pylist()], pa.binary()),
             "is_target": pa.array(np.isin(docs.column("code").to_numpy(), code[~is_word])),
         })
 
-    return docs.groupBy("chunk").cogroup(about.groupBy("of_chunk")).applyInArrow(run, "id long, tokens binary, is_target boolean")
+    return docs.groupBy("chunk").cogroup(codes.groupBy("of_chunk")).applyInArrow(
+        run, "chunk long, id long, n_tokens long, tokens binary, is_target boolean"
+    )
 
 
 def _keys(tokens: bytes) -> np.ndarray:
@@ -232,63 +239,65 @@ def _loss(pair, history, word, total, n_words: int, weight: float) -> np.ndarray
     return -np.log(np.where(history > 0, weight * after + (1 - weight) * single, single))
 
 
-class _Model:
-    """Counts of histories and words: arrays for the first numbers, which go to
-    every task, and tables for the rest."""
-
-    def __init__(self, counts: DataFrame, n_words: int, weight: float):
-        self.n_words, self.weight = n_words, weight
-        self.n_hot = min(n_words + FIRST_WORD, HOT_WORDS)
-        self.has_rare = n_words + FIRST_WORD > self.n_hot
-        key = F.col("key")
-        history, word = F.shiftright(key, _SHIFT), key.bitwiseAND(F.lit(_LOW))
-        sides = {"h": counts.where(word == ANY).select(history.alias("h"), "n", "n_target"),
-                 "w": counts.where(history == ANY).select(word.alias("w"), "n", "n_target")}
-        self.rare = {p: side.where(F.col(p) >= self.n_hot).toDF(p, f"{p}_n", f"{p}_t") for p, side in sides.items()}
-        hot = {}
-        for p, side in sides.items():
-            hot[p] = np.zeros((2, self.n_hot))
-            for r in side.where(F.col(p) < self.n_hot).collect():  # at most HOT_WORDS rows
-                hot[p][0, r[0]], hot[p][1, r[0]] = r[1], r[2]
-        totals = [t or 0 for t in sides["w"].agg(F.sum("n"), F.sum("n_target")).first()]
-        self.shared = counts.sparkSession.sparkContext.broadcast((hot, totals))
-
-    def losses(self, rows: DataFrame) -> DataFrame:
-        """``row, times, key, target_loss, background_loss`` from ``row, times, key, n, n_target``."""
-        n_hot, n_words, weight, shared = self.n_hot, self.n_words, self.weight, self.shared
-        rows = rows.select("row", "times", "key", "n", "n_target").withColumns(
-            {"h": F.shiftright("key", _SHIFT), "w": F.col("key").bitwiseAND(F.lit(_LOW))}
-        )
-        none = F.lit(None).cast("long")
-        for part in ("h", "w"):
-            hot = rows.where(F.col(part) < n_hot).withColumns({f"{part}_n": none, f"{part}_t": none})
-            # A rare number has few bigrams, so no key of this join is frequent.
-            rare = self.rare[part].hint("merge")
-            rows = hot.unionByName(rows.where(F.col(part) >= n_hot).join(rare, part)) if self.has_rare else hot
-
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            arrays, totals = shared.value
-            for batch in batches:
-                key = batch.column("key").to_numpy()
-                at = {"h": key >> _SHIFT, "w": key & _LOW}
-
-                def counted(part: str, side: int) -> np.ndarray:
-                    joined = batch.column(f"{part}_{'nt'[side]}").fill_null(0).to_numpy()  # noqa: B023
-                    return np.where(at[part] < n_hot, arrays[part][side][np.minimum(at[part], n_hot - 1)], joined)  # noqa: B023
-
-                loss = [
-                    _loss(batch.column(c).to_numpy(), counted("h", side), counted("w", side), totals[side], n_words, weight)
-                    for side, c in ((1, "n_target"), (0, "n"))
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), batch.column("times"), batch.column("key"), *map(pa.array, loss)],
-                    ["row", "times", "key", "target_loss", "background_loss"],
-                )
-
-        columns = ["row", "times", "key", "n", "n_target", "h_n", "h_t", "w_n", "w_t"]
-        return rows.select(*columns).mapInArrow(
-            run, "row long, times long, key long, target_loss double, background_loss double"
-        )
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of one length, byte by byte (the high bytes are mostly zero), compressed."""
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T for c in columns]
+    return pa.compress(np.concatenate(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, size: int, *types: type) -> list[np.ndarray]:
+    widths = [np.dtype(t).itemsize for t in types]
+    flat = pa.decompress(packed, decompressed_size=size * sum(widths), codec="zstd", asbytes=True)
+    planes = np.split(np.frombuffer(flat, np.uint8).reshape(-1, size), np.cumsum(widths)[:-1])
+    return [np.ascontiguousarray(p.T).view(t).ravel() for p, t in zip(planes, types)]
+
+
+def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that puts sorted ``keys`` by their buckets, the buckets that have some, and where these start."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    bucket = (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    sizes = np.bincount(bucket, minlength=1)
+    used = np.flatnonzero(sizes)
+    return order, used, np.r_[0, np.cumsum(sizes[used])]
+
+
+def _totals(marked: DataFrame, buckets: int) -> DataFrame:
+    """``chunk``, ``bucket``, ``size`` and the packed totals, in all and in target
+    documents, of the keys of the chunk that are in the bucket, in their order."""
+
+    def ask(docs: pa.Table) -> pa.Table:
+        counted = [[c.to_numpy() for c in b.columns] for b in _counted(docs.select(["tokens", "is_target"]).to_batches())]
+        if not counted:
+            return _ASKED.empty_table()
+        keys, n, n_target = (np.concatenate(c) for c in zip(*counted))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])  # a key may have been emitted more than once
+        keys, n, n_target = keys[first], np.add.reduceat(n[order], first), np.add.reduceat(n_target[order], first)
+        order, used, at = _dealt(keys, buckets)
+        keys, n, n_target = keys[order], n[order].astype(np.uint32), n_target[order].astype(np.uint32)
+        packed = [_packed(np.diff(keys[s:e], prepend=0), n[s:e], n_target[s:e]) for s, e in zip(at, at[1:])]
+        chunk = np.full(len(used), docs.column("chunk")[0].as_py())
+        return pa.table([pa.array(chunk), pa.array(used.astype(np.int64)), pa.array(np.diff(at)), pa.array(packed, pa.binary())], schema=_ASKED)
+
+    def answer(asked: pa.Table) -> pa.Table:
+        sizes = asked.column("size").to_pylist()
+        parts = [_unpacked(p, size, np.int64, np.uint32, np.uint32) for p, size in zip(asked.column("packed").to_pylist(), sizes)]
+        keys = np.concatenate([np.cumsum(p[0]) for p in parts])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.r_[True, keys[1:] != keys[:-1]]
+        first, place = np.flatnonzero(new), np.empty(len(keys), np.int64)
+        place[order] = np.cumsum(new) - 1
+        n, n_target = (np.add.reduceat(np.concatenate([p[i] for p in parts]).astype(np.int64)[order], first)[place] for i in (1, 2))
+        at = np.cumsum([0, *sizes])
+        packed = [_packed(n[s:e], n_target[s:e]) for s, e in zip(at, at[1:])]
+        return asked.set_column(3, "packed", pa.array(packed, pa.binary()))
+
+    columns = "chunk long, bucket long, size long, packed binary"
+    asked = marked.select("chunk", "tokens", "is_target").groupBy("chunk").applyInArrow(ask, columns)
+    return asked.groupBy("bucket").applyInArrow(answer, columns)
 
 
 #: Multipliers of the bit set's hash: odd, below 2**31 so that no product overflows.
@@ -317,18 +326,6 @@ def _bit_set(bigrams: DataFrame, bits: int) -> np.ndarray:
     return out.ravel()
 
 
-def _hot_count(bigrams: DataFrame, most: int) -> int:
-    """The least count from which at most ``most`` bigrams are counted."""
-    by_count = bigrams.groupBy(F.least("n", F.lit(MOST_COUNTED)).alias("n")).agg(F.count("*").alias("bigrams"))
-    left, least = most, MOST_COUNTED + 1
-    for r in sorted(by_count.collect(), key=lambda r: -r["n"]):  # at most MOST_COUNTED rows
-        left -= r["bigrams"]
-        if left < 0:
-            break
-        least = r["n"]
-    return least
-
-
 def cross_entropy_difference(
     docs: DataFrame,
     targets: DataFrame,
@@ -341,7 +338,8 @@ def cross_entropy_difference(
 ) -> DataFrame:
     """``id, n_tokens, target_loss, background_loss, score``, one row per row of
     ``docs``; ``targets`` holds the ids (``id_col``) of the target documents.
-    ``vocabulary_size`` bounds the vocabulary to the most frequent words."""
+    ``vocabulary_size`` bounds the vocabulary to the most frequent words.
+    ``hot_bigrams`` and ``filter_bits`` sized shared tables that are no longer needed; they change nothing."""
     spark = docs.sparkSession
     python_on(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -352,91 +350,46 @@ def cross_entropy_difference(
     if n_words + FIRST_WORD >= ANY:
         raise ValueError("the vocabulary is too large for a bigram's key")
 
-    marked = stored(_numbered(coded, words, of_target), "lm-numbered", "zstd")
+    # Stored, so that the shuffled words are gone before the texts' tokens are shuffled.
+    codes = stored(_codes(coded, words, of_target), "lm-codes", "zstd")
+    freed(words)
+    marked = stored(_numbered(coded, codes), "lm-numbered", "zstd")
     freed(coded)
-    alone = (F.shiftright("key", _SHIFT) == ANY) | (F.col("key").bitwiseAND(F.lit(_LOW)) == ANY)
-    counts = stored(
-        marked.select("tokens", "is_target").mapInArrow(_counted, "key long, n long, n_target long")
-        .groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-        .where((F.col("n") >= 2) | alone),
-        "lm-counts", "zstd",
-    )
-    model = _Model(counts, n_words, weight)
-    bigrams = counts.where(~alone)
-    least = _hot_count(bigrams, hot_bigrams)
-    known, rest = bigrams.where(F.col("n") >= least), bigrams.where(F.col("n") < least)
-    none = F.lit(0).cast("long")
-    hot = model.losses(known.withColumns({"row": none, "times": none}))
-    hot = hot.select("key", "target_loss", "background_loss").toArrow().sort_by("key")  # at most ``hot_bigrams``
-    shared = spark.sparkContext.broadcast((*(c.to_numpy() for c in hot.columns), _bit_set(rest, filter_bits)))
-    singles, n_hot = model.shared, model.n_hot
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with the sums of the tokens scored here (its key is no bigram's), and one for each other bigram of it."""
-        hot_key, hot_target, hot_background, bits = shared.value
-        arrays, totals = singles.value
-        for batch in batches:
-            row = batch.column(0).to_numpy()
-            cold = []
-            sums = np.zeros((2, len(row)))
-            n = np.zeros(len(row), dtype=np.int64)
-            for i, (tokens, is_target) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                keys = _keys(tokens)
-                n[i] = len(keys)
-                at = np.minimum(np.searchsorted(hot_key, keys), max(len(hot_key) - 1, 0))
-                is_hot = hot_key[at] == keys if len(hot_key) else np.zeros(len(keys), dtype=bool)
-                sums[0, i], sums[1, i] = hot_target[at[is_hot]].sum(), hot_background[at[is_hot]].sum()
-                rest, times = np.unique(keys[~is_hot], return_counts=True)
-                h, w = rest >> _SHIFT, rest & _LOW
-                place = _place(h, w, filter_bits)
-                once = (bits[place >> 3] >> (place & 7) & 1) == 0
-                here = once & (h < n_hot) & (w < n_hot)
-                for at_sum, side, pair in ((0, 1, float(is_target)), (1, 0, 1.0)):
-                    history, word = arrays["h"][side][h[here]], arrays["w"][side][w[here]]
-                    sums[at_sum, i] += _loss(np.full(len(word), pair), history, word, totals[side], n_words, weight).sum()
-                if not here.all():
-                    left = ~here
-                    cold.append((np.full(left.sum(), row[i]), rest[left], times[left], np.full(left.sum(), int(is_target)), once[left]))
-            size = len(row)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(-1 - row), pa.array(n), *map(pa.array, sums),
-                pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()),
-            ], _NAMES)
-            if cold:
-                at, key, times, target, once = (np.concatenate(c) for c in zip(*cold))
-                sum_none = pa.nulls(len(at), pa.float64())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(at), pa.nulls(len(at), pa.int64()), pa.array(key), pa.array(times.astype(np.int64)), sum_none, sum_none,
-                    pa.array(target.astype(np.int64)), pa.array(once),
-                ], _NAMES)
-
-    parts = stored(
-        marked.select(F.monotonically_increasing_id().alias("row"), "id", "tokens", "is_target").mapInArrow(
-            run, "row long, id long, key long, n long, target_sum double, background_sum double, n_target long, once boolean"
-        ),
-        "lm-parts", "zstd",
-    )
-    freed(marked)
-    cold = parts.where("key >= 0").select("row", "key", F.col("n").alias("times"), "n_target", "once")
-    single = cold.where("once").select("row", "times", "key", F.lit(1).cast("long").alias("n"), "n_target")
-    # What the bit set lets pass without a count occurs once as well.
-    of = rest.select("key", F.col("n").alias("all_n"), F.col("n_target").alias("all_target"))
-    counted = cold.where("not once").join(of, "key", "left").select(
-        "row", "times", "key", F.coalesce("all_n", F.lit(1)).alias("n"), F.coalesce("all_target", "n_target").alias("n_target")
-    )
-    losses = model.losses(single.unionByName(counted))
-    nothing = F.lit(None).cast("long")
-    joined = parts.where("key < 0").select(
-        "row", "id", F.col("n").alias("n_tokens"), F.col("target_sum").alias("target"), F.col("background_sum").alias("background")
-    ).unionByName(
-        losses.select(
-            "row", nothing.alias("id"), nothing.alias("n_tokens"),
-            (F.col("target_loss") * F.col("times")).alias("target"), (F.col("background_loss") * F.col("times")).alias("background"),
-        )
-    )
-    sums = joined.groupBy("row").agg(
-        F.max("id").alias("id"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("target").alias("target"), F.sum("background").alias("background"),
+    freed(codes)
+    n_all, n_of_target = marked.agg(
+        F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("is_target"), F.col("n_tokens"))), F.lit(0))
+    ).first()
+    buckets = max(2 * spark.sparkContext.defaultParallelism, -(-n_all // BUCKET_TOKENS))
+    totals = stored(_totals(marked, buckets), "lm-totals").toDF("of_chunk", "bucket", "size", "packed")
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        """Sums of the losses of the tokens of each document of a chunk."""
+        sums = np.zeros((2, docs.num_rows))
+        if answers.num_rows:
+            keys = np.concatenate([_keys(t) for t in docs.column("tokens").to_pylist()])
+            of_doc = np.repeat(np.arange(docs.num_rows), docs.column("n_tokens").to_numpy())
+            pairs, of_pair = np.unique(keys, return_inverse=True)
+            histories, of_history = np.unique(pairs >> _SHIFT, return_inverse=True)
+            words, of_word = np.unique(pairs & _LOW, return_inverse=True)
+            asked = np.concatenate([pairs, histories << _SHIFT | ANY, ANY << _SHIFT | words])
+            by_key = np.argsort(asked, kind="stable")
+            by_bucket = by_key[_dealt(asked[by_key], buckets)[0]]  # the order in which the keys were asked
+            answers = answers.sort_by("bucket")
+            parts = [
+                _unpacked(p, size, np.int64, np.int64)
+                for p, size in zip(answers.column("packed").to_pylist(), answers.column("size").to_pylist())
+            ]
+            for at, side, total in ((0, 1, n_of_target), (1, 0, n_all)):
+                n = np.empty(len(asked), np.int64)
+                n[by_bucket] = np.concatenate([p[side] for p in parts])
+                pair, history, word = np.split(n, [len(pairs), len(pairs) + len(histories)])
+                loss = _loss(pair, history[of_history], word[of_word], total, n_words, weight)
+                sums[at] = np.bincount(of_doc, loss[of_pair], docs.num_rows)
+        return pa.table({"id": docs.column("id"), "n_tokens": docs.column("n_tokens"), "target": sums[0], "background": sums[1]})
+
+    docs = marked.select("chunk", "id", "n_tokens", "tokens")
+    sums = docs.groupBy("chunk").cogroup(totals.groupBy("of_chunk")).applyInArrow(
+        run, "id long, n_tokens long, target double, background double"
     )
     mean = lambda c: F.when(F.col("n_tokens") > 0, F.col(c) / F.col("n_tokens"))
     return sums.select(
@@ -446,7 +399,7 @@ def cross_entropy_difference(
 
 
 _CODED = ["chunk", "id", "code", "tokens", "word", "n"]
-_NAMES = ["row", "id", "key", "n", "target_sum", "background_sum", "n_target", "once"]
+_ASKED = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("size", pa.int64()), ("packed", pa.binary())])
 
 #: The same losses, rounded, in DuckDB SQL.
 ORACLE_SQL = rf"""

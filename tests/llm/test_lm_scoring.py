@@ -151,3 +151,46 @@ def test_the_bit_set_holds_every_bigram(spark):
     place = L._place(key >> L._SHIFT, key & L.ANY, 1 << 16)
     assert (bits[place >> 3] >> (place & 7) & 1).all()
     assert np.unpackbits(bits).sum() == len(set(place.tolist()))
+
+
+def test_totals_come_back_as_packed_rows(spark):
+    """Every key of a chunk gets the totals of all chunks; rows grow with chunks and buckets, not with bigrams."""
+    rng = np.random.default_rng(6)
+    docs = [(i % 3, rng.integers(0, 40, size=n).astype(L._NUMBER), i % 2 == 0) for i, n in enumerate((300, 0, 500, 1, 700, 20, 0))]
+    marked = spark.createDataFrame([(c, bytearray(w.tobytes()), t) for c, w, t in docs], "chunk long, tokens binary, is_target boolean")
+    want, of_chunk = Counter(), {}
+    for c, w, t in docs:
+        for bigram in L._keys(w.tobytes()).tolist():
+            for k in (bigram, bigram >> L._SHIFT << L._SHIFT | L.ANY, L.ANY << L._SHIFT | bigram & L.ANY):
+                want[k] += 1
+                want[k, "target"] += t
+                of_chunk.setdefault(c, set()).add(k)
+    got = {}
+    rows = L._totals(marked, 4).collect()
+    assert len(rows) <= 3 * 4
+    for r in rows:
+        got[r["chunk"], r["bucket"]] = L._unpacked(bytes(r["packed"]), r["size"], np.int64, np.int64)
+    for c, keys in of_chunk.items():
+        keys = np.array(sorted(keys))
+        order, used, at = L._dealt(keys, 4)
+        for b, s, e in zip(used.tolist(), at, at[1:]):
+            n, n_target = got.pop((c, b))
+            assert n.tolist() == [want[k] for k in keys[order][s:e].tolist()]
+            assert n_target.tolist() == [want[k, "target"] for k in keys[order][s:e].tolist()]
+    assert not got
+
+
+def test_words_are_not_shuffled_beside_the_tokens(odd_docs, spark):
+    rows = odd_docs.select("doc_id", "text").toDF("id", "text")
+    coded = L.stored(L._coded(rows), "lm-coded")
+    words = L.stored(L._vocabulary(coded, None), "lm-vocabulary")
+    codes = L.stored(L._codes(coded, words, rows.select("id").where("id < 9").distinct()), "lm-codes")
+    numbered = L._numbered(coded, codes)
+    assert "Join" not in numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert numbered.count() == odd_docs.count()
+
+
+def test_many_buckets_make_no_difference(odd_docs, odd_rows, spark, monkeypatch):
+    monkeypatch.setattr(L, "CHUNK_TOKENS", 50)
+    monkeypatch.setattr(L, "BUCKET_TOKENS", 10)
+    test_odd_rows(odd_docs, odd_rows, spark, 1000, 3)
