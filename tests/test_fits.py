@@ -36,3 +36,21 @@ def test_large_forest_grows_in_groups(spark, training, monkeypatch, tmp_path):
     fitted.save(str(tmp_path / "m"))
     again = md.load_model(spark, str(tmp_path / "m")).model.transform(training.rows).orderBy("id").select("score").toPandas()
     assert list(again["score"]) == list(found["score"])
+
+
+def test_groups_of_few_nodes_score_in_one_pass(spark, training, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    monkeypatch.setattr(md, "FOREST_ROWS", 2 * 900)
+    fitted = md.fit_on(training, "random_forest", {"trees": 6, "depth": 3})
+    groups = [RandomForestClassificationModel.load(p) for p in fitted.model.paths]
+    assert [g.getNumTrees for g in groups] == [2, 2, 2]
+    raw = sum(np.array([r[0] for r in g.transform(training.rows).orderBy("id").select(md.vector_to_array("rawPrediction")).collect()]) for g in groups)
+    written, checkpoint = [], md.materialize
+    monkeypatch.setattr(md, "materialize", lambda df: written.append(1) or checkpoint(df))
+    for limit, passes in ((64 * 900, 0), (1, 2)):
+        written.clear()
+        monkeypatch.setattr(md, "FOREST_ROWS", limit)
+        found = fitted.model.transform(training.rows).orderBy("id").select("score", "prediction").toPandas()
+        assert np.allclose(found["score"], raw[:, 1] / 6) and list(found["prediction"]) == list((raw[:, 1] > raw[:, 0]).astype(float))
+        assert len(written) == passes
